@@ -1,110 +1,181 @@
-"""Seasonal ARIMA (1,1,1)(1,1,1)12 by conditional sum of squares.
+"""Seasonal ARIMA (1,1,1)(1,1,1)12 for batches of monthly series.
 
-The kernel works on many series of one length at a time: the time recursion is
-the only Python loop, every step of it covers the whole batch.
+A series with a vague prior on its pre-sample state is jointly normal with
+covariance ``C = 1e6 V V' + s2 P P'``: V holds the loadings of the 27 initial
+states, P the response to past shocks. The Cholesky factor of C gives all
+one-step errors at once, so many series of one length are handled by a few
+stacked matrix operations. The likelihood leaves out the first 27 errors, which
+the prior dominates; coefficients are unconstrained; the shock variance stays at
+its regression estimate.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 
 SEASON = 12
-MIN_POINTS = 2 * SEASON + 4
-BOUND = 0.99
+STATES = 27
+PRIOR_VARIANCE = 1e6
+MIN_POINTS = STATES + 3
 Z95 = 1.959963984540054
-STARTS = (-0.6, 0.0, 0.6)
-STEPS = 40
+STEPS = 60
+CHUNK = 64
+LIMIT = 3.0
+
 
+def _loadings(p: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """V (B, n, 27) and the shock responses (B, n) under coefficients (B, 4).
 
-def _residuals(w: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """One-step errors of (B, m) differenced series under (B, 4) parameters; errors and values before the start are 0."""
-    m, s = w.shape[1], SEASON
+    States: the last level, twelve past changes, fourteen ARMA states.
+    """
     ar1, ma1, ar2, ma2 = p.T
-    padded = np.concatenate([np.zeros((len(w), s + 1)), w], axis=1)
-    errors = np.zeros_like(padded)
-    for t in range(s + 1, s + 1 + m):
-        errors[:, t] = (
-            padded[:, t] - ar1 * padded[:, t - 1] - ar2 * padded[:, t - s] + ar1 * ar2 * padded[:, t - s - 1]
-            - ma1 * errors[:, t - 1] - ma2 * errors[:, t - s] - ma1 * ma2 * errors[:, t - s - 1]
-        )
-    return errors[:, s + 1:]
-
-
-def _fit(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Parameters and error variance by damped Gauss-Newton from the best point of a coarse grid."""
-    count, m = w.shape
-    best, lowest = np.zeros((count, 4)), np.full(count, np.inf)
-    for start in itertools.product(STARTS, repeat=4):
-        p = np.tile(start, (count, 1))
-        sse = np.sum(_residuals(w, p) ** 2, axis=1)
-        better = sse < lowest
-        best[better], lowest[better] = p[better], sse[better]
-    damping = np.full(count, 1e-2)
-    for _ in range(STEPS):
-        base = _residuals(w, best)
-        shifted = np.repeat(best[:, None, :], 4, axis=1) + 1e-5 * np.eye(4)
-        moved = _residuals(np.repeat(w, 4, axis=0), shifted.reshape(-1, 4)).reshape(count, 4, m)
-        jac = (moved - base[:, None, :]) / 1e-5
-        normal = np.einsum("bim,bjm->bij", jac, jac)
-        scale = np.einsum("bii->bi", normal) + 1e-12
-        gradient = np.einsum("bim,bm->bi", jac, base)
-        lhs = normal + damping[:, None, None] * np.eye(4) * scale[:, None, :]
-        step = np.linalg.solve(lhs, gradient[:, :, None])[:, :, 0]
-        trial = np.clip(best - step, -BOUND, BOUND)
-        sse = np.sum(_residuals(w, trial) ** 2, axis=1)
-        better = sse < lowest
-        gain = np.where(better, (lowest - sse) / np.maximum(lowest, 1e-300), 0.0)
-        best[better], lowest[better] = trial[better], sse[better]
-        damping = np.clip(np.where(better, damping / 4, damping * 4), 1e-9, 1e9)
-        if gain.max() < 1e-10 and damping.min() > 1e2:
-            break
-    return best, lowest / m
+    ar = np.zeros((len(p), 14))
+    ma = np.zeros((len(p), 14))
+    ar[:, 0], ar[:, 11], ar[:, 12] = ar1, ar2, -ar1 * ar2
+    ma[:, 0], ma[:, 1], ma[:, 12], ma[:, 13] = 1.0, ma1, ma2, ma1 * ma2
+    rows = np.zeros((len(p), n, STATES))
+    rows[:, 0, [0, 12, 13]] = 1.0
+    for t in range(1, n):
+        last, new = rows[:, t - 1], rows[:, t]
+        total = last[:, 0] + last[:, 1]
+        new[:, 0] = last[:, 0]
+        new[:, 1:12] = last[:, 2:13]
+        new[:, 12] = total
+        new[:, 13] = total + np.sum(last[:, 13:] * ar, axis=1)
+        new[:, 14:] = last[:, 13:26]
+    return rows, np.einsum("bts,bs->bt", rows[:, :, 13:], ma)
 
 
-def _polynomials(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Full autoregressive (with both differences) and moving-average polynomials, one row per series."""
-    def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(a), a.shape[1] + b.shape[1] - 1))
-        for i in range(b.shape[1]):
-            out[:, i:i + a.shape[1]] += a * b[:, i:i + 1]
-        return out
+def _covariance(p: np.ndarray, s2: np.ndarray, n: int) -> np.ndarray:
+    rows, response = _loadings(p, n)
+    gap = np.arange(n)[:, None] - np.arange(n)[None, :] - 1
+    shocks = np.where(gap >= 0, response[:, np.maximum(gap, 0)], 0.0)
+    return PRIOR_VARIANCE * rows @ rows.transpose(0, 2, 1) + s2[:, None, None] * shocks @ shocks.transpose(0, 2, 1)
 
-    def lag_poly(coefficient: np.ndarray, lag: int) -> np.ndarray:
-        out = np.zeros((len(p), lag + 1))
-        out[:, 0], out[:, lag] = 1.0, coefficient
-        return out
 
-    ar1, ma1, ar2, ma2 = p.T
-    ones = np.ones(len(p))
-    ar = product(lag_poly(-ar1, 1), lag_poly(-ar2, SEASON))
-    ar = product(product(ar, lag_poly(-ones, 1)), lag_poly(-ones, SEASON))
-    return ar, product(lag_poly(ma1, 1), lag_poly(ma2, SEASON))
+def _factor(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cholesky factors of a stack and which of them exist; one by one only if the stack fails."""
+    valid = np.isfinite(c).all(axis=(1, 2))
+    lower = np.tile(np.eye(c.shape[1]), (len(c), 1, 1))
+    try:
+        lower[valid] = np.linalg.cholesky(c[valid])
+    except np.linalg.LinAlgError:
+        for i in np.flatnonzero(valid):
+            try:
+                lower[i] = np.linalg.cholesky(c[i])
+            except np.linalg.LinAlgError:
+                valid[i] = False
+    return lower, valid
 
 
-def sarima_batch(y: np.ndarray, start: np.datetime64, horizon: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mean and 95 % bounds, clamped at 0, of (B, n) series for the next ``horizon`` months."""
+def _loss(p: np.ndarray, y: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """Negative log likelihood per observation (up to a constant), infinite where there is none."""
+    sane = np.abs(p).max(axis=1) < LIMIT
+    lower, valid = _factor(_covariance(np.where(sane[:, None], p, 0.0), s2, y.shape[1]))
+    errors = np.linalg.solve(lower, y[:, :, None])[:, STATES:, 0]
+    logs = np.log(np.einsum("bii->bi", lower))[:, STATES:]
+    out = np.sum(0.5 * errors**2 + logs, axis=1) / y.shape[1]
+    return np.where(sane & valid & np.isfinite(out), out, np.inf)
+
+
+def _gradient(p: np.ndarray, y: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    width = 1e-5 * np.maximum(1.0, np.abs(p))
+    out = np.zeros_like(p)
+    for i in range(p.shape[1]):
+        move = np.zeros_like(p)
+        move[:, i] = width[:, i]
+        above, below = _loss(p + move, y, s2), _loss(p - move, y, s2)
+        known = np.isfinite(above) & np.isfinite(below)
+        out[known, i] = (above[known] - below[known]) / (2 * width[known, i])
+    return out
+
+
+def _shift(x: np.ndarray, lag: int) -> np.ndarray:
+    return np.concatenate([np.zeros((len(x), lag)), x[:, :-lag]], axis=1)
+
+
+def _regress(columns: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = np.stack(columns, axis=2)
+    beta = np.einsum("bkm,bm->bk", np.linalg.pinv(x), target)
+    return beta, target - np.einsum("bmk,bk->bm", x, beta)
+
+
+def _start(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two-step regression on the differenced series: (1,1) coefficients and shock variance."""
+    _, rest = _regress([_shift(w, 1)[:, 2:], _shift(w, 2)[:, 2:]], w[:, 2:])
+    beta, left = _regress([_shift(w, 1)[:, 3:], _shift(rest, 1)[:, 1:]], w[:, 3:])
+    zero = np.zeros(len(w))
+    variance = np.mean(left[:, 1:] ** 2, axis=1)
+    return np.column_stack([beta[:, 0], beta[:, 1], zero, zero]), variance
+
+
+def _maximise(y: np.ndarray, p: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """Quasi-Newton (BFGS) steps with backtracking, every series at its own pace."""
+    count, size = p.shape
+    inverse = np.tile(np.eye(size), (count, 1, 1))
+    value, slope = _loss(p, y, s2), _gradient(p, y, s2)
+    active = np.isfinite(value)
+    for _ in range(STEPS):
+        step = -np.einsum("bij,bj->bi", inverse, slope)
+        uphill = np.sum(step * slope, axis=1) > 0
+        inverse[uphill], step[uphill] = np.eye(size), -slope[uphill]
+        descent = np.sum(step * slope, axis=1)
+        length = np.where(active, 1.0, 0.0)
+        open_ = active.copy()
+        trial, trial_value = p.copy(), value.copy()
+        for _ in range(30):
+            if not open_.any():
+                break
+            where = np.flatnonzero(open_)
+            candidate = p[where] + length[where, None] * step[where]
+            found = _loss(candidate, y[where], s2[where])
+            good = found < value[where] + 1e-4 * length[where] * descent[where]
+            hit = where[good]
+            trial[hit], trial_value[hit] = candidate[good], found[good]
+            open_[hit] = False
+            length[where[~good]] /= 2
+        active &= ~open_
+        if not active.any():
+            break
+        where = np.flatnonzero(active)
+        fresh = _gradient(trial[where], y[where], s2[where])
+        dp, dg = trial[where] - p[where], fresh - slope[where]
+        curve = np.sum(dp * dg, axis=1)
+        update = curve > 1e-14
+        rho = 1.0 / np.where(update, curve, 1.0)
+        left = np.eye(size) - rho[:, None, None] * dp[:, :, None] * dg[:, None, :]
+        revised = left @ inverse[where] @ left.transpose(0, 2, 1) + rho[:, None, None] * dp[:, :, None] * dp[:, None, :]
+        inverse[where] = np.where(update[:, None, None], revised, inverse[where])
+        p[where], value[where], slope[where] = trial[where], trial_value[where], fresh
+        active[where] &= np.abs(fresh).max(axis=1) > 1e-6
+    return p
+
+
+def _forecast(y: np.ndarray, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """Conditional mean (NaN without a likelihood) and deviation of the next ``horizon`` months."""
     n = y.shape[1]
-    if n < MIN_POINTS:
-        raise ValueError(f"needs at least {MIN_POINTS} months, has {n}")
-    size = np.maximum(np.std(y, axis=1), 1e-9)
-    scaled = y / size[:, None]
-    w = np.diff(scaled, axis=1)
+    w = np.diff(y, axis=1)
     w = w[:, SEASON:] - w[:, :-SEASON]
-    p, variance = _fit(w)
-    errors = _residuals(w, p)
-    ar, ma = _polynomials(p)
-    history = np.concatenate([scaled, np.zeros((len(y), horizon))], axis=1)
-    shocks = np.concatenate([np.zeros((len(y), SEASON + 1)), errors, np.zeros((len(y), horizon))], axis=1)
-    for t in range(n, n + horizon):
-        past = sum(-ar[:, i] * history[:, t - i] for i in range(1, ar.shape[1]) if t - i >= 0)
-        history[:, t] = past + sum(ma[:, j] * shocks[:, t - j] for j in range(1, ma.shape[1]))
-    psi = np.zeros((len(y), horizon))
-    for h in range(horizon):
-        psi[:, h] = ma[:, h] if h < ma.shape[1] else 0.0
-        for i in range(1, min(h, ar.shape[1] - 1) + 1):
-            psi[:, h] -= ar[:, i] * psi[:, h - i]
-    spread = Z95 * np.sqrt(variance[:, None] * np.cumsum(psi**2, axis=1)) * size[:, None]
-    mean = history[:, n:] * size[:, None]
+    start, s2 = _start(w)
+    s2 = np.maximum(s2, 1e-6)
+    p = _maximise(y, start, s2)
+    usable = np.isfinite(_loss(p, y, s2))
+    p = np.where(usable[:, None], p, 0.0)
+    c = _covariance(p, s2, n + horizon)
+    past, cross, ahead = c[:, :n, :n], c[:, n:, :n], c[:, n:, n:]
+    weights = np.linalg.solve(past, cross.transpose(0, 2, 1)).transpose(0, 2, 1)
+    mean = np.einsum("bhn,bn->bh", weights, y)
+    variance = np.einsum("bhh->bh", ahead - weights @ cross.transpose(0, 2, 1))
+    return np.where(usable[:, None], mean, np.nan), np.sqrt(np.maximum(variance, 0.0))
+
+
+def sarima_batch(y: np.ndarray, start: np.datetime64, horizon: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean and 95 % bounds, clamped at 0, of (B, n) series for the next ``horizon`` months."""
+    if y.shape[1] < MIN_POINTS:
+        raise ValueError(f"needs at least {MIN_POINTS} months, has {y.shape[1]}")
+    # the prior must be wide against the data, so small-valued series are enlarged
+    unit = np.maximum(1.0, 1e3 / np.maximum(np.std(y, axis=1), 1e-9))[:, None]
+    parts = [_forecast(y[i:i + CHUNK] * unit[i:i + CHUNK], horizon) for i in range(0, len(y), CHUNK)]
+    mean = np.concatenate([m for m, _ in parts]) / unit
+    spread = Z95 * np.concatenate([s for _, s in parts]) / unit
     return np.maximum(mean, 0.0), np.maximum(mean - spread, 0.0), np.maximum(mean + spread, 0.0)
