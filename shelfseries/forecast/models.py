@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import ModelTrainingError
 from ..functions import calendar as cal
@@ -26,7 +27,10 @@ KERNELS = {
 COMPARED = ("SARIMA", "TrendSeasonal", "BoostedTrees")
 MAX_HORIZON = 6
 
-_RESULT = "mean array<double>, lower array<double>, upper array<double>, error string"
+_RESULT = T.StructType([
+    *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("mean", "lower", "upper")],
+    T.StructField("error", T.StringType()),
+])
 
 
 @F.pandas_udf(_RESULT)
@@ -112,7 +116,7 @@ def forecast(
         *cols(keys), F.lit(model).alias("Model"), "y",
         cal.month_start(F.element_at("dates", 1)).alias("first"),
         F.element_at("dates", -1).alias("last"),
-        F.lit(horizon).alias("horizon"), F.lit(None).cast("array<double>").alias("actual"),
+        F.lit(horizon).alias("horizon"), F.array().cast("array<double>").alias("actual"),
     )
     return _forecast_rows(tasks, [*cols(keys), F.col("Model")]).drop("actual")
 
@@ -144,7 +148,7 @@ def evaluate(
             F.col("y").alias("y"),
             F.element_at("dates", -1).alias("last"),
             F.lit(max(horizon, 3)).alias("horizon"),
-            F.lit(None).cast("array<double>").alias("actual"),
+            F.array().cast("array<double>").alias("actual"),
         ),
     )
     packed = pack(panel, keys, date_col, value_col)

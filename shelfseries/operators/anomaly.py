@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import flag
 from . import kpi, quality
@@ -71,7 +72,7 @@ def _isolation_scores(y: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return raw[np.searchsorted(values, y)]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _forest_batch(series: pd.Series, seeds: pd.Series) -> pd.Series:
     """Raw isolation scores per series; null where a series cannot be scored."""
     out = []

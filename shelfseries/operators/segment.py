@@ -73,7 +73,8 @@ def product_features(df: DataFrame, key: str | None = None, approximate_orders:
     grain = [_c(key), *[_c(m) for m in metas]]
     times = [c for c, there in (("Year", has_year), ("YearMonth", has_month)) if there]
     monthly = df.groupBy(*grain, *times).agg(F.sum("Sales").alias("s"), F.count(F.lit(1)).alias("n"))
-    monthly = hold(monthly, "product-months")
+    # laid out by product, so that none of the branches below shuffles it again
+    monthly = hold(monthly.repartition(_c(key)), "product-months")
 
     if "Order ID" in df.columns:
         counter = F.approx_count_distinct if approximate_orders else F.count_distinct
@@ -174,22 +175,24 @@ def with_vector(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"z_{f}" for f in FEATURES], outputCol="features").transform(scaled)
 
 
-def _best_model(vectors: DataFrame, k: int, starts: int) -> tuple[KMeansModel, float]:
-    """The cheapest of several seeded fits, run as concurrent jobs."""
-    def fit(start: int) -> KMeansModel:
-        return KMeans(k=k, seed=SEED + start, maxIter=100).fit(vectors)
+def _best_models(vectors: DataFrame, ks: list[int], starts: int) -> dict[int, tuple[KMeansModel, float]]:
+    """For each k the cheapest of several seeded fits and its cost; the fits run as concurrent jobs."""
+    def fit(task: tuple[int, int]) -> tuple[int, KMeansModel, float]:
+        k, start = task
+        model = KMeans(k=k, seed=SEED + start, maxIter=100).fit(vectors)
+        return k, model, model.summary.trainingCost
 
-    with ThreadPoolExecutor(max_workers=min(starts, 8)) as pool:
-        models = list(pool.map(fit, range(starts)))
-    return min(((m, m.summary.trainingCost) for m in models), key=lambda pair: pair[1])
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        fits = list(pool.map(fit, [(k, start) for k in ks for start in range(starts)]))
+    return {k: min(((m, cost) for n, m, cost in fits if n == k), key=lambda pair: pair[1]) for k in ks}
 
 
 def elbow(scaled: DataFrame, max_k: int = 10, starts: int = STARTS) -> DataFrame:
     """Inertia for k = 1..max_k as rows ``(k, Inertia)``; k = 1 is the total sum of squares."""
-    vectors = hold(with_vector(scaled), "segment-vectors").select("features")
+    vectors = hold(with_vector(scaled), "segment-vectors")
     spread = sum((F.var_pop(f"z_{f}") for f in FEATURES), F.lit(0.0)) * F.count(F.lit(1))
-    rows = [(1, float(scaled.agg(spread).first()[0]))]
-    rows += [(k, float(_best_model(vectors, k, starts)[1])) for k in range(2, max_k + 1)]
+    rows = [(1, float(vectors.agg(spread).first()[0]))]
+    rows += [(k, float(cost)) for k, (_, cost) in _best_models(vectors, list(range(2, max_k + 1)), starts).items()]
     return scaled.sparkSession.createDataFrame(rows, "k int, Inertia double")
 
 
@@ -219,7 +222,7 @@ def segment(scaled: DataFrame, k: int = 4, starts: int = STARTS) -> DataFrame:
     if k != 4:
         raise ValueError("the segment names are defined for exactly four clusters")
     vectors = hold(with_vector(scaled), "segment-vectors")
-    model, _ = _best_model(vectors.select("features"), k, starts)
+    model, _ = _best_models(vectors, [k], starts)[k]
     model.setFeaturesCol("features").setPredictionCol("Cluster")
     return label_clusters(model.transform(vectors)).drop("features")
 

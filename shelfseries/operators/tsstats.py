@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .packing import pack
 from .windows import cols, ordered
@@ -83,7 +84,7 @@ def _acf_arrays(panel: DataFrame, keys: tuple[str, ...], max_lag: int, date_col:
     return sums.select(*cols(keys), F.array(*ratio).alias("acf"))
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _durbin_levinson(acf: pd.Series) -> pd.Series:
     """Partial autocorrelations from autocorrelations, all series of the batch at once."""
     r = np.array([np.asarray(a, dtype=float) for a in acf])
@@ -158,10 +159,8 @@ def _adf(y: np.ndarray) -> dict:
 
 
 _ADF_FIELDS = ["statistic", "p_value", "used_lag", "n_obs", *CRITICAL, "error"]
-_ADF_TYPE = (
-    "statistic double, p_value double, used_lag long, n_obs long, "
-    "crit_1pct double, crit_5pct double, crit_10pct double, error string"
-)
+_ADF_KINDS = {"used_lag": T.LongType(), "n_obs": T.LongType(), "error": T.StringType()}
+_ADF_TYPE = T.StructType([T.StructField(f, _ADF_KINDS.get(f, T.DoubleType())) for f in _ADF_FIELDS])
 
 
 @F.pandas_udf(_ADF_TYPE)

@@ -9,25 +9,25 @@ REGION_COLUMNS = {"Region", "State"}
 CUSTOMER_COLUMNS = {"Segment"} | REGION_COLUMNS
 PART_COLUMNS = {"Category", "Sub-Category", "Profit"}
 
-_revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-
-EXPRESSIONS: dict[str, Column] = {
-    "Row ID": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-    "Order ID": F.col("l_orderkey"),
-    "Order Date": F.to_date("o_orderdate"),
-    "Ship Date": F.to_date("l_shipdate"),
-    "Customer ID": F.col("o_custkey"),
-    "Segment": F.col("c_mktsegment"),
-    "Region": F.col("r_name"),
-    "State": F.col("n_name"),
-    "Category": F.col("p_type"),
-    "Sub-Category": F.col("p_brand"),
-    "Product ID": F.col("l_partkey"),
-    "Product Name": F.col("l_partkey").cast("string"),
-    "Sales": _revenue,
-    "Quantity": F.col("l_quantity"),
-    "Discount": F.col("l_discount"),
-    "Profit": _revenue - F.col("l_quantity") * F.col("p_retailprice"),
+REVENUE = "l_extendedprice * (1 - l_discount)"
+
+EXPRESSIONS = {
+    "Row ID": "concat_ws('-', l_orderkey, l_linenumber)",
+    "Order ID": "l_orderkey",
+    "Order Date": "to_date(o_orderdate)",
+    "Ship Date": "to_date(l_shipdate)",
+    "Customer ID": "o_custkey",
+    "Segment": "c_mktsegment",
+    "Region": "r_name",
+    "State": "n_name",
+    "Category": "p_type",
+    "Sub-Category": "p_brand",
+    "Product ID": "l_partkey",
+    "Product Name": "cast(l_partkey as string)",
+    "Sales": REVENUE,
+    "Quantity": "l_quantity",
+    "Discount": "l_discount",
+    "Profit": f"{REVENUE} - l_quantity * p_retailprice",
 }
 
 
@@ -57,7 +57,7 @@ def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
             )
             who = who.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         out = out.join(who, F.col("o_custkey") == F.col("c_custkey"))
-    return out.select(*[EXPRESSIONS[c].alias(c) for c in wanted])
+    return out.select(*[F.expr(EXPRESSIONS[c]).alias(c) for c in wanted])
 
 
 def titles(spark: SparkSession, folder: str) -> DataFrame:
