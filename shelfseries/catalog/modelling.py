@@ -144,7 +144,7 @@ def _scaled(spark, folder):
     return segment.scale_features(segment.product_features(clean.sales_features(lines)))
 
 
-STARTS = 3
+STARTS = segment.STARTS
 
 
 @query("segment_elbow")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import label_prefix
 from ..sources.staging import hold
+from .kmeans import fit_many, nearest_centre
 
 FEATURES = ["Total_Sales", "YoY_Growth", "Monthly_Sales_Volatility", "Avg_Order_Value"]
 LOGGED = ["Total_Sales", "Monthly_Sales_Volatility", "Avg_Order_Value"]
@@ -175,24 +173,14 @@ def with_vector(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"z_{f}" for f in FEATURES], outputCol="features").transform(scaled)
 
 
-def _best_models(vectors: DataFrame, ks: list[int], starts: int) -> dict[int, tuple[KMeansModel, float]]:
-    """For each k the cheapest of several seeded fits and its cost; the fits run as concurrent jobs."""
-    def fit(task: tuple[int, int]) -> tuple[int, KMeansModel, float]:
-        k, start = task
-        model = KMeans(k=k, seed=SEED + start, maxIter=100).fit(vectors)
-        return k, model, model.summary.trainingCost
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        fits = list(pool.map(fit, [(k, start) for k in ks for start in range(starts)]))
-    return {k: min(((m, cost) for n, m, cost in fits if n == k), key=lambda pair: pair[1]) for k in ks}
+SCALED = [f"z_{f}" for f in FEATURES]
 
 
 def elbow(scaled: DataFrame, max_k: int = 10, starts: int = STARTS) -> DataFrame:
-    """Inertia for k = 1..max_k as rows ``(k, Inertia)``; k = 1 is the total sum of squares."""
-    vectors = hold(with_vector(scaled), "segment-vectors")
-    spread = sum((F.var_pop(f"z_{f}") for f in FEATURES), F.lit(0.0)) * F.count(F.lit(1))
-    rows = [(1, float(vectors.agg(spread).first()[0]))]
-    rows += [(k, float(cost)) for k, (_, cost) in _best_models(vectors, list(range(2, max_k + 1)), starts).items()]
+    """Inertia for k = 1..max_k as rows ``(k, Inertia)``, the best of several starts; all fits run together."""
+    points = hold(scaled.select(*SCALED), "segment-points")
+    best = fit_many(points, SCALED, list(range(1, max_k + 1)), starts, SEED)
+    rows = [(k, cost) for k, (_, cost) in sorted(best.items())]
     return scaled.sparkSession.createDataFrame(rows, "k int, Inertia double")
 
 
@@ -221,10 +209,9 @@ def segment(scaled: DataFrame, k: int = 4, starts: int = STARTS) -> DataFrame:
     """Product features with Cluster and ClusterLabel (and the scaled columns)."""
     if k != 4:
         raise ValueError("the segment names are defined for exactly four clusters")
-    vectors = hold(with_vector(scaled), "segment-vectors")
-    model, _ = _best_models(vectors, [k], starts)[k]
-    model.setFeaturesCol("features").setPredictionCol("Cluster")
-    return label_clusters(model.transform(vectors)).drop("features")
+    scaled = hold(scaled, "scaled-features")
+    centres, _ = fit_many(scaled, SCALED, [k], starts, SEED)[k]
+    return label_clusters(scaled.withColumn("Cluster", nearest_centre(SCALED, centres)))
 
 
 def project(segmented: DataFrame, key: str) -> DataFrame:

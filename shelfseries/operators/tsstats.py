@@ -110,14 +110,6 @@ def partial_autocorrelation(
     return wide.select(*cols(keys), F.posexplode(_durbin_levinson("acf")).alias("lag", "pacf"))
 
 
-def _ols(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-    """Coefficients, residual sum of squares and (X'X)^-1."""
-    inverse = np.linalg.pinv(x.T @ x)
-    beta = inverse @ (x.T @ y)
-    rest = y - x @ beta
-    return beta, float(rest @ rest), inverse
-
-
 def _adf_design(y: np.ndarray, lags: int) -> tuple[np.ndarray, np.ndarray]:
     """Regressors (level, lagged changes, constant) and the changes they explain."""
     change = np.diff(y)
@@ -132,18 +124,18 @@ def _adf(y: np.ndarray) -> dict:
     top = min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2)
     if top < 0 or np.ptp(y) == 0:
         return {"error": "too few or constant observations"}
+    # the designs are nested, so one QR on the common sample gives the residuals of every lag order
     x, target = _adf_design(y, top)
-    rows, best = len(target), (math.inf, 0)
-    for lags in range(top + 1):
-        chosen = np.column_stack([x[:, -1], x[:, 0], x[:, 1:lags + 1]])
-        _, ssr, _ = _ols(chosen, target)
-        aic = rows * math.log(max(ssr, 1e-300) / rows) + 2 * (lags + 2)
-        if aic < best[0]:
-            best = (aic, lags)
-    lags = best[1]
+    rows = len(target)
+    q, _ = np.linalg.qr(x[:, [-1, *range(top + 1)]])
+    left = float(target @ target) - np.cumsum((q.T @ target) ** 2)[1:]
+    aic = rows * np.log(np.maximum(left, 1e-300) / rows) + 2 * (np.arange(top + 1) + 2)
+    lags = int(np.argmin(aic))
     x, target = _adf_design(y, lags)
-    beta, ssr, inverse = _ols(x, target)
     rows = len(target)
+    inverse = np.linalg.pinv(x.T @ x)
+    beta = inverse @ (x.T @ target)
+    ssr = float(np.sum((target - x @ beta) ** 2))
     if rows <= x.shape[1] or ssr <= 0:
         return {"error": "too few or constant observations"}
     stat = beta[0] / math.sqrt(ssr / (rows - x.shape[1]) * inverse[0, 0])

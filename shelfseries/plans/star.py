@@ -35,6 +35,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal an input of fewer splits than cores out over the cores.
+
+    A single-row-group file is one task however many cores there are. Inputs with
+    enough splits, as any large one has, are returned unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """One row per order line with the named sales columns (all when none is named).
 
@@ -44,7 +54,7 @@ def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """
     wanted = list(columns) or list(EXPRESSIONS)
     named = set(wanted)
-    out = table(spark, folder, "lineitem").join(
+    out = spread(table(spark, folder, "lineitem"), "l_orderkey").join(
         table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     if named & PART_COLUMNS:
