@@ -254,34 +254,34 @@ _NUMBERS = ["MAE", "RMSE", "Forecast Month 1", "Forecast Month 2", "Forecast Mon
 
 
 @query("naive_errors", _NAIVE_SQL + """
-SELECT "State", "Model", round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 6) AS "MAPE" FROM metrics""")
+SELECT "State", "Model", round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 3) AS "MAPE" FROM metrics""")
 def naive_errors(spark, folder):
     scored = _naive_evaluation(spark, folder).where(F.col("split") == "validation")
-    return rounded(rounded(kpi.error_metrics(scored, ("State", "Model")), 4, "MAE", "RMSE"), 6, "MAPE")
+    return rounded(rounded(kpi.error_metrics(scored, ("State", "Model")), 4, "MAE", "RMSE"), 3, "MAPE")
 
 
 @query("naive_comparison", _NAIVE_SQL + """
-SELECT "State", "Model", round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 6) AS "MAPE",
+SELECT "State", "Model", round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 3) AS "MAPE",
        round(m1, 4) AS "Forecast Month 1", round(m2, 4) AS "Forecast Month 2", round(m3, 4) AS "Forecast Month 3"
 FROM metrics JOIN ahead USING ("State", "Model")""")
 def naive_comparison(spark, folder):
     out = models.comparison(_naive_evaluation(spark, folder), ("State",)).drop("error")
-    return rounded(rounded(out, 4, *_NUMBERS), 6, "MAPE")
+    return rounded(rounded(out, 4, *_NUMBERS), 3, "MAPE")
 
 
 @query("best_naive_model", _NAIVE_SQL + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY "State" ORDER BY rmse, "Model") AS k FROM metrics)
-SELECT "State", "Model", round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 6) AS "MAPE" FROM ranked WHERE k = 1""")
+SELECT "State", "Model", round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 3) AS "MAPE" FROM ranked WHERE k = 1""")
 def best_naive_model(spark, folder):
     out = models.best_models(models.comparison(_naive_evaluation(spark, folder), ("State",)), ("State",))
-    return rounded(rounded(out, 4, "MAE", "RMSE"), 6, "MAPE")
+    return rounded(rounded(out, 4, "MAE", "RMSE"), 3, "MAPE")
 
 
 @query("naive_drift", _NAIVE_SQL + """
-SELECT "State", "Model", round(mape, 6) AS "MAPE" FROM metrics WHERE mape > 0.15""")
+SELECT "State", "Model", round(mape, 3) AS "MAPE" FROM metrics WHERE mape > 0.15""")
 def naive_drift(spark, folder):
     compared = models.comparison(_naive_evaluation(spark, folder), ("State",))
-    return rounded(models.needs_retraining(compared).select("State", "Model", "MAPE"), 6, "MAPE")
+    return rounded(models.needs_retraining(compared).select("State", "Model", "MAPE"), 3, "MAPE")
 
 
 def _statistical_vote(spark, folder):

@@ -22,10 +22,10 @@ def pack(
         F.to_date(F.col(f"`{date_col}`")).alias("d"), F.col(f"`{value_col}`").cast("double").alias("v")
     )
     packed = panel.groupBy(*cols(keys)).agg(F.sort_array(F.collect_list(pair)).alias("obs"))
-    dates = F.col("obs.d")
     message = F.lit("a series has two rows for one date: roll transactions up to periods first")
-    distinct = F.size(F.array_distinct(dates)) == F.size(dates)
-    checked = F.when(distinct, dates).otherwise(F.raise_error(message).cast("array<date>"))
-    return packed.where(F.size("obs") > 0).select(
-        *cols(keys), checked.alias("dates"), F.col("obs.v").alias("y")
+    distinct = F.size(F.array_distinct("obs.d")) == F.size("obs")
+    # the check guards the array itself, so that no column can be read without it
+    checked = packed.where(F.size("obs") > 0).withColumn(
+        "obs", F.when(distinct, F.col("obs")).otherwise(F.raise_error(message))
     )
+    return checked.select(*cols(keys), F.col("obs.d").alias("dates"), F.col("obs.v").alias("y"))

@@ -66,89 +66,83 @@ def product_features(df: DataFrame, key: str | None = None, approximate_orders:
     months as 0 without writing them out.
     """
     key = key or product_key(df)
-    has_year, has_month = "Year" in df.columns, "YearMonth" in df.columns
     metas = [m for m in ("Category", "Sub-Category") if m in df.columns and m != key]
-    grain = [_c(key), *[_c(m) for m in metas]]
-    times = [c for c, there in (("Year", has_year), ("YearMonth", has_month)) if there]
-    monthly = df.groupBy(*grain, *times).agg(F.sum("Sales").alias("s"), F.count(F.lit(1)).alias("n"))
-    # laid out by product, so that none of the branches below shuffles it again
-    monthly = hold(monthly.repartition(_c(key)), "product-months")
+    times = [c for c in ("Year", "YearMonth") if c in df.columns]
+    monthly = df.groupBy(_c(key), *[_c(m) for m in metas], *times).agg(
+        F.sum("Sales").alias("s"), F.count(F.lit(1)).alias("n")
+    )
+    monthly = hold(monthly, "product-months")
 
     if "Order ID" in df.columns:
         counter = F.approx_count_distinct if approximate_orders else F.count_distinct
         orders = df.groupBy(_c(key)).agg(counter(_c("Order ID")).alias("orders"))
     else:
         orders = monthly.groupBy(_c(key)).agg(F.sum("n").alias("orders"))
-
-    out = monthly.groupBy(_c(key)).agg(F.sum("s").alias("Total_Sales"))
-    if has_year:
-        out = out.join(_yearly_growth(monthly, key), key)
-    else:
-        out = out.withColumn("YoY_Growth", F.lit(0.0))
-    if has_month:
-        out = out.join(_monthly_volatility(monthly, key), key)
-    else:
-        out = out.withColumn("Monthly_Sales_Volatility", F.lit(0.0))
-    out = out.join(orders, key).withColumn("Avg_Order_Value", F.col("Total_Sales") / (F.col("orders") + 1e-5))
-    for meta in metas:
-        out = out.join(_most_frequent(monthly, key, meta), key, "left")
+    out = _sales_history(monthly, key).join(orders, key).withColumn(
+        "Avg_Order_Value", F.col("Total_Sales") / (F.col("orders") + 1e-5)
+    )
+    if metas:
+        out = out.join(_most_frequent(monthly, key, metas), key)
     return out.select(_c(key), *FEATURES, *[_c(m) for m in metas])
 
 
-def _yearly_growth(monthly: DataFrame, key: str) -> DataFrame:
-    """Mean of (next - this) / (this + 1) over consecutive years of the whole data.
+def _sales_history(monthly: DataFrame, key: str) -> DataFrame:
+    """Total sales, yearly growth and monthly volatility of each product, in one chain of aggregations.
 
-    A pair of years contributes only if the product sold in one of them: the
-    later present year against the earlier one (0 if absent), or a present year
-    followed by an absent one.
+    Growth is the mean of (next - this) / (this + 1) over consecutive years of
+    the whole data. A pair of years contributes only if the product sold in one
+    of them: a present year against the year before (0 if absent), and a present
+    year followed by an absent one. Volatility is the sample deviation over all
+    N months of the data; absent months add nothing to the sums it needs.
     """
-    yearly = monthly.groupBy(_c(key), "Year").agg(F.sum("s").alias("s"))
-    # one row per calendar year
+    has_year, has_month = "Year" in monthly.columns, "YearMonth" in monthly.columns
+    if not has_year:
+        monthly = monthly.withColumn("Year", F.lit(0))
+    if not has_month:
+        monthly = monthly.withColumn("YearMonth", F.lit(""))
+    # one row per calendar year, and one row with the number of months
     years = monthly.select("Year").distinct().select(
         "Year", (F.row_number().over(Window.orderBy("Year")) - 1).alias("pos")
+    ).withColumn("pairs", F.max("pos").over(Window.partitionBy()))
+    months = monthly.agg(F.count_distinct("YearMonth").alias("months"))
+
+    yearly = (
+        monthly.groupBy(_c(key), "Year", "YearMonth").agg(F.sum("s").alias("s"))
+        .groupBy(_c(key), "Year").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("squares"))
+        .join(F.broadcast(years), "Year")
     )
-    years = years.withColumn("pairs", F.max("pos").over(Window.partitionBy()))
     w = Window.partitionBy(_c(key)).orderBy("pos")
-    placed = yearly.join(F.broadcast(years), "Year").withColumns({
-        "before": F.when(F.lag("pos").over(w) == F.col("pos") - 1, F.lag("s").over(w)).otherwise(F.lit(0.0)),
-        "gone_next": (F.col("pos") < F.col("pairs"))
-        & F.coalesce(F.lead("pos").over(w) != F.col("pos") + 1, F.lit(True)),
+    s, pos, pairs = F.col("s"), F.col("pos"), F.col("pairs")
+    placed = yearly.withColumns({
+        "before": F.when(F.lag(pos).over(w) == pos - 1, F.lag(s).over(w)).otherwise(F.lit(0.0)),
+        "ends": (pos < pairs) & F.coalesce(F.lead(pos).over(w) != pos + 1, F.lit(True)),
     })
-    rise = F.when(F.col("pos") > 0, (F.col("s") - F.col("before")) / (F.col("before") + 1.0)).otherwise(F.lit(0.0))
-    fall = F.when(F.col("gone_next"), -F.col("s") / (F.col("s") + 1.0)).otherwise(F.lit(0.0))
-    return placed.groupBy(_c(key)).agg(
-        (F.sum(rise + fall) / F.nullif(F.max("pairs"), F.lit(0))).alias("g")
-    ).select(_c(key), F.coalesce("g", F.lit(0.0)).alias("YoY_Growth"))
-
-
-def _monthly_volatility(monthly: DataFrame, key: str) -> DataFrame:
-    """Sample deviation over all months of the data, absent months 0, from sums and squared deviations.
-
-    With N months, m of them present: the deviations of the present ones around
-    their own mean, plus the shift of that mean to the mean over N. This keeps
-    the digits that a difference of large sums of squares would lose.
-    """
-    totals = monthly.groupBy(_c(key), "YearMonth").agg(F.sum("s").alias("s"))
-    # one row: the number of months in the data
-    months = monthly.agg(F.count_distinct("YearMonth").alias("months"))
-    stats = totals.groupBy(_c(key)).agg(
-        F.count(F.lit(1)).alias("m"), F.avg("s").alias("mean"), F.var_pop("s").alias("var")
+    rise = F.when(pos > 0, (s - F.col("before")) / (F.col("before") + 1.0)).otherwise(F.lit(0.0))
+    fall = F.when(F.col("ends"), -s / (s + 1.0)).otherwise(F.lit(0.0))
+    growth = F.coalesce(F.sum(rise + fall) / F.nullif(F.max(pairs), F.lit(0)), F.lit(0.0))
+    totals = placed.groupBy(_c(key)).agg(
+        F.sum(s).alias("Total_Sales"), growth.alias("YoY_Growth"), F.sum("squares").alias("squares")
     )
-    n, m = F.col("months"), F.col("m")
-    squares = F.col("var") * m + F.col("mean") * F.col("mean") * m * (n - m) / n
-    return stats.crossJoin(F.broadcast(months)).select(
-        _c(key), F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1))).alias("Monthly_Sales_Volatility")
+    n, total = F.col("months"), F.col("Total_Sales")
+    spread = F.sqrt(F.greatest(F.col("squares") - total * total / n, F.lit(0.0)) / (n - 1))
+    volatility = F.when(n > 1, spread) if has_month else F.lit(0.0)
+    return totals.crossJoin(F.broadcast(months)).select(
+        _c(key), "Total_Sales", "YoY_Growth", volatility.alias("Monthly_Sales_Volatility")
     )
 
 
-def _most_frequent(monthly: DataFrame, key: str, meta: str) -> DataFrame:
-    """The most frequent value of an attribute, smallest on ties, "Unknown" when there is none."""
-    counts = monthly.where(_c(meta).isNotNull()).groupBy(_c(key), _c(meta)).agg(F.sum("n").alias("n"))
-    best = counts.groupBy(_c(key)).agg(F.min_by(_c(meta), F.struct(-F.col("n"), _c(meta))).alias("best"))
-    return (
-        monthly.select(_c(key)).distinct().join(best, key, "left")
-        .select(_c(key), F.coalesce("best", F.lit("Unknown")).alias(meta))
+def _most_frequent(monthly: DataFrame, key: str, metas: list[str]) -> DataFrame:
+    """The most frequent value of each attribute, smallest on ties, "Unknown" when there is none."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _c(m).alias("v")) for i, m in enumerate(metas)])
+    counts = (
+        monthly.select(_c(key), "n", F.explode(pairs).alias("p"))
+        .groupBy(_c(key), "p.i", "p.v").agg(F.sum("n").alias("n"))
     )
+    best = [
+        F.min_by(F.col("v"), F.when((F.col("i") == i) & F.col("v").isNotNull(), F.struct(-F.col("n"), "v")))
+        for i in range(len(metas))
+    ]
+    return counts.groupBy(_c(key)).agg(*[F.coalesce(b, F.lit("Unknown")).alias(m) for b, m in zip(best, metas)])
 
 
 def scale_features(features: DataFrame) -> DataFrame:
