@@ -83,8 +83,9 @@ def _forecast_rows(tasks: DataFrame, names: list[Column]) -> DataFrame:
         F.col("r.mean").alias("m"), F.col("r.lower").alias("l"), F.col("r.upper").alias("u"),
         F.col("actual").alias("a"),
     )
-    opened = fitted.select(*names, "last", F.col("r.error").alias("error"), F.posexplode_outer(
-        F.when(F.col("r.error").isNull(), steps)
+    error = F.coalesce("reason", "r.error")
+    opened = fitted.select(*names, "last", error.alias("error"), F.posexplode_outer(
+        F.when(error.isNull(), steps)
     ).alias("pos", "s"))
     return opened.select(
         *names,
@@ -117,6 +118,7 @@ def forecast(
         cal.month_start(F.element_at("dates", 1)).alias("first"),
         F.element_at("dates", -1).alias("last"),
         F.lit(horizon).alias("horizon"), F.array().cast("array<double>").alias("actual"),
+        F.lit(None).cast("string").alias("reason"),
     )
     return _forecast_rows(tasks, [*cols(keys), F.col("Model")]).drop("actual")
 
@@ -134,34 +136,35 @@ def evaluate(
     """
     check_models(models)
     n = F.size("y")
-    first = cal.month_start(F.element_at("dates", 1))
-    tasks = F.array(
-        F.struct(
-            F.lit("validation").alias("split"),
-            F.slice("y", 1, F.greatest(n - val_periods, F.lit(0))).alias("y"),
-            F.element_at("dates", F.greatest(n - val_periods, F.lit(1))).alias("last"),
-            F.lit(val_periods).alias("horizon"),
-            F.slice("y", F.greatest(n - val_periods, F.lit(0)) + 1, val_periods).alias("actual"),
-        ),
-        F.struct(
-            F.lit("future").alias("split"),
-            F.col("y").alias("y"),
-            F.element_at("dates", -1).alias("last"),
-            F.lit(max(horizon, 3)).alias("horizon"),
-            F.array().cast("array<double>").alias("actual"),
-        ),
+    none = F.array().cast("array<double>")
+    no_reason = F.lit(None).cast("string")
+
+    def task(split: str, y: Column, last: Column, steps: int, actual: Column, reason: Column) -> Column:
+        return F.struct(
+            F.lit(split).alias("split"), y.alias("y"), last.alias("last"), F.lit(steps).alias("horizon"),
+            actual.alias("actual"), reason.alias("reason"),
+        )
+
+    kept = F.greatest(n - val_periods, F.lit(0))
+    newest = F.element_at("dates", -1)
+    both = F.array(
+        task("validation", F.slice("y", 1, kept), F.element_at("dates", F.greatest(kept, F.lit(1))), val_periods,
+             F.slice("y", kept + 1, val_periods), no_reason),
+        task("future", F.col("y"), newest, max(horizon, 3), none, no_reason),
     )
-    packed = pack(panel, keys, date_col, value_col)
-    names = F.array(*[F.lit(m) for m in models])
-    enough = packed.where(n >= 2 * val_periods).select(
-        *cols(keys), first.alias("first"), F.explode(names).alias("Model"), "dates", "y"
-    ).select(*cols(keys), "first", "Model", F.explode(tasks).alias("t")).select(*cols(keys), "first", "Model", "t.*")
-    done = _forecast_rows(enough, [*cols(keys), F.col("Model"), F.col("split")])
     reason = F.concat(F.lit("not enough periods for validation: "), n.cast("string"))
-    short = packed.where(n < 2 * val_periods).select(
-        *cols(keys), F.explode(names).alias("Model"), F.lit("validation").alias("split"), reason.alias("error")
+    refused = F.array(task("validation", none, newest, val_periods, none, reason))
+    tasks = (
+        pack(panel, keys, date_col, value_col)
+        .select(
+            *cols(keys), cal.month_start(F.element_at("dates", 1)).alias("first"),
+            F.explode(F.array(*[F.lit(m) for m in models])).alias("Model"),
+            F.when(n >= 2 * val_periods, both).otherwise(refused).alias("tasks"),
+        )
+        .select(*cols(keys), "first", "Model", F.explode("tasks").alias("t"))
+        .select(*cols(keys), "first", "Model", "t.*")
     )
-    return done.unionByName(short, allowMissingColumns=True)
+    return _forecast_rows(tasks, [*cols(keys), F.col("Model"), F.col("split")])
 
 
 def comparison(evaluated: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import flag
 from . import kpi, quality
-from .packing import pack
+from .packing import pack_rows
 from .windows import centred_bands, cols, per_period, top_rows, z_scores
 
 TREES = 100
@@ -95,29 +95,43 @@ def _offset(contamination: float) -> Column:
     return F.when(F.col("raw").isNotNull(), low + (high - low) * (spot - F.floor(spot)))
 
 
+def _with_raw_scores(
+    panel: DataFrame, keys: tuple[str, ...], contaminations: list[float], date_col: str, value_col: str,
+) -> DataFrame:
+    """The rows of the panel with their raw score ``_raw`` and an offset ``_o<i>`` per contamination.
+
+    The trees of a series are seeded by its keys, so the result does not depend
+    on partitioning or input order.
+    """
+    seed = F.xxhash64(*cols(keys)) if keys else F.lit(0).cast("long")
+    values = F.transform("obs", lambda o: o[value_col].cast("double"))
+    packed = pack_rows(panel, keys, date_col).withColumn("raw", _forest_batch(values, seed))
+    offsets = [_offset(c).alias(f"_o{i}") for i, c in enumerate(contaminations)]
+    rows = packed.select(*cols(keys), *offsets, F.explode(F.arrays_zip("obs", "raw")).alias("o"))
+    names = [c for c in panel.columns if c not in keys]
+    return rows.select(
+        *cols(keys), *[F.col("o.obs")[c].alias(c) for c in names],
+        *[f"_o{i}" for i in range(len(contaminations))], F.col("o.raw").alias("_raw"),
+    )
+
+
+def _forest_columns(i: int) -> tuple[Column, Column]:
+    """Flag and score under the i-th offset; a series that cannot be scored gets 0 and 0."""
+    margin = F.col("_raw") - F.col(f"_o{i}")
+    return flag(margin < 0).alias("Anomaly_IForest"), F.coalesce(margin, F.lit(0.0)).alias("IForest_Score")
+
+
 def forest_scores(
     panel: DataFrame, keys: tuple[str, ...] = (), contamination: float = 0.03,
     date_col: str = "Date", value_col: str = "Sales",
 ) -> DataFrame:
-    """IForest_Score and Anomaly_IForest per row: ``(keys..., Date, ...)``.
+    """The panel with IForest_Score and Anomaly_IForest.
 
     The score is the raw isolation score less its ``contamination`` quantile in
-    the series, so the flag is score < 0. A series that cannot be scored gets
-    flag 0 and score 0. The trees of a series are seeded by its keys, so the
-    result does not depend on partitioning or input order.
+    the series, so the flag is score < 0.
     """
-    seed = F.xxhash64(*cols(keys)) if keys else F.lit(0).cast("long")
-    scored = pack(panel, keys, date_col, value_col).withColumn("raw", _forest_batch("y", seed))
-    scored = scored.withColumn("offset", _offset(contamination))
-    return scored.select(
-        *cols(keys), "offset", F.posexplode(F.arrays_zip("dates", "y", "raw")).alias("i", "o")
-    ).select(
-        *cols(keys),
-        F.col("o.dates").alias(date_col),
-        F.col("o.y").alias(value_col),
-        flag(F.col("o.raw") < F.col("offset")).alias("Anomaly_IForest"),
-        F.coalesce(F.col("o.raw") - F.col("offset"), F.lit(0.0)).alias("IForest_Score"),
-    )
+    scored = _with_raw_scores(panel, keys, [contamination], date_col, value_col)
+    return scored.select(*[F.col(f"`{c}`") for c in panel.columns], *_forest_columns(0))
 
 
 def _vote(df: DataFrame) -> DataFrame:
@@ -137,18 +151,13 @@ def detect_anomalies(
 ) -> DataFrame:
     """All rows of the panel with three detector flags, their vote and the consensus (2 of 3).
 
-    The packed series and the windows need the same partitioning by keys, so
-    the whole detector costs one shuffle.
+    The windows come first and the packed series last: both need the rows
+    partitioned by the keys, so the whole detector costs one shuffle.
     """
     quality.require_columns(panel, [*keys, date_col, value_col])
     extra = [c for c in panel.columns if c not in (*keys, date_col, value_col)]
-    scored = forest_scores(panel, keys, contamination, date_col, value_col)
-    if extra:
-        # further columns of the panel come back by its primary key
-        scored = scored.join(panel.withColumn(date_col, F.to_date(F.col(f"`{date_col}`"))).drop(value_col), [*keys, date_col])
-    out = z_scores(scored, keys, z_threshold, value_col)
-    out = _vote(centred_bands(out, keys, rolling_window, rolling_k, date_col, value_col))
-    return out.select(
+    flags = statistical_flags(panel, keys, rolling_window, rolling_k, z_threshold, date_col, value_col)
+    return _vote(forest_scores(flags, keys, contamination, date_col, value_col)).select(
         *cols(keys), date_col, value_col, *cols(tuple(extra)), "Z_Score", "Anomaly_Z", "Rolling_Mean", "Rolling_Std",
         "Anomaly_Rolling", "Anomaly_IForest", "IForest_Score", "Anomaly_Vote_Count", "Is_Anomaly",
     )
@@ -169,22 +178,13 @@ def detect_under_settings(
     """
     defaults = {"contamination": 0.03, "rolling_window": 8, "rolling_k": 2.0, "z_threshold": 2.0}
     sets = [{**defaults, **s} for s in settings]
-    seed = F.xxhash64(*cols(keys)) if keys else F.lit(0).cast("long")
-    packed = pack(panel, keys, date_col, value_col).withColumn("raw", _forest_batch("y", seed))
-    offsets = [_offset(s["contamination"]).alias(f"_o{i}") for i, s in enumerate(sets)]
-    rows = packed.select(
-        *cols(keys), *offsets, F.posexplode(F.arrays_zip("dates", "y", "raw")).alias("i", "o")
-    ).select(
-        *cols(keys), *[f"_o{i}" for i in range(len(sets))],
-        F.col("o.dates").alias(date_col), F.col("o.y").alias(value_col), F.col("o.raw").alias("_raw"),
-    )
-    rows = z_scores(rows, keys, value_col=value_col).drop("Anomaly_Z")
-    sizes = sorted({s["rolling_window"] for s in sets})
-    for size in sizes:
+    rows = z_scores(per_period(panel, keys, date_col, value_col), keys, value_col=value_col).drop("Anomaly_Z")
+    for size in sorted({s["rolling_window"] for s in sets}):
         rows = (
             centred_bands(rows, keys, size, 0.0, date_col, value_col).drop("Anomaly_Rolling")
             .withColumnsRenamed({"Rolling_Mean": f"_m{size}", "Rolling_Std": f"_s{size}"})
         )
+    rows = _with_raw_scores(rows, keys, [s["contamination"] for s in sets], date_col, value_col)
     v = F.col(f"`{value_col}`")
     variants = []
     for i, s in enumerate(sets):
@@ -195,8 +195,7 @@ def detect_under_settings(
             flag(F.abs("Z_Score") > s["z_threshold"]).alias("Anomaly_Z"),
             mean.alias("Rolling_Mean"), spread.alias("Rolling_Std"),
             flag(outside).alias("Anomaly_Rolling"),
-            flag(F.col("_raw") < F.col(f"_o{i}")).alias("Anomaly_IForest"),
-            F.coalesce(F.col("_raw") - F.col(f"_o{i}"), F.lit(0.0)).alias("IForest_Score"),
+            *_forest_columns(i),
         ))
     chosen = rows.select(*cols(keys), date_col, value_col, "Z_Score", F.explode(F.array(*variants)).alias("t"))
     return _vote(chosen.select(*cols(keys), date_col, value_col, "Z_Score", "t.*"))

@@ -14,18 +14,28 @@ from pyspark.sql import functions as F
 from .windows import cols
 
 
+def pack_rows(panel: DataFrame, keys: tuple[str, ...] = (), date_col: str = "Date") -> DataFrame:
+    """``(keys..., obs)``: the rows of a series, all columns, as one array in date order.
+
+    ``obs.d`` is the date. Fails at run time when a date occurs twice in a
+    series; the check guards the array, so nothing can be read without it.
+    """
+    rest = [F.col(f"`{c}`") for c in panel.columns if c not in keys]
+    row = F.struct(F.to_date(F.col(f"`{date_col}`")).alias("d"), *rest)
+    packed = panel.groupBy(*cols(keys)).agg(F.sort_array(F.collect_list(row)).alias("obs"))
+    message = F.lit("a series has two rows for one date: roll transactions up to periods first")
+    distinct = F.size(F.array_distinct("obs.d")) == F.size("obs")
+    return packed.where(F.size("obs") > 0).withColumn(
+        "obs", F.when(distinct, F.col("obs")).otherwise(F.raise_error(message))
+    )
+
+
 def pack(
     panel: DataFrame, keys: tuple[str, ...] = (), date_col: str = "Date", value_col: str = "Sales",
 ) -> DataFrame:
     """``(keys..., dates array<date>, y array<double>)``, one row per series."""
-    pair = F.struct(
-        F.to_date(F.col(f"`{date_col}`")).alias("d"), F.col(f"`{value_col}`").cast("double").alias("v")
-    )
-    packed = panel.groupBy(*cols(keys)).agg(F.sort_array(F.collect_list(pair)).alias("obs"))
-    message = F.lit("a series has two rows for one date: roll transactions up to periods first")
-    distinct = F.size(F.array_distinct("obs.d")) == F.size("obs")
-    # the check guards the array itself, so that no column can be read without it
-    checked = packed.where(F.size("obs") > 0).withColumn(
-        "obs", F.when(distinct, F.col("obs")).otherwise(F.raise_error(message))
+    value = F.col(f"`{value_col}`").cast("double").alias("v")
+    pairs = panel.select(*cols(keys), F.col(f"`{date_col}`").alias("t"), value)
+    return pack_rows(pairs, keys, "t").select(
+        *cols(keys), F.col("obs.d").alias("dates"), F.col("obs.v").alias("y")
     )
-    return checked.select(*cols(keys), F.col("obs.d").alias("dates"), F.col("obs.v").alias("y"))
