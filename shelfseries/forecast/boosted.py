@@ -144,12 +144,14 @@ def pooled_boosting(
     share the trees; the keys enter as indexed features. Each step of the
     recursion shifts the lag columns, so the plan stays narrow.
     """
+    if not keys:
+        # a constant key, so that one series takes the same path as many
+        return pooled_boosting(panel.withColumn("_series", F.lit("all")), ("_series",), horizon, date_col, value_col, trees).drop("_series")
     mean = panel.groupBy(*cols(keys)).agg(F.avg(F.col(f"`{value_col}`")).alias("_mean"))
     unit = F.when(F.col("_mean") > 0, F.col("_mean")).otherwise(F.lit(1.0))
 
     def with_unit(df: DataFrame) -> DataFrame:
-        joined = df.join(mean, list(keys)) if keys else df.crossJoin(F.broadcast(mean))
-        return joined.withColumn("_unit", unit).drop("_mean")
+        return df.join(mean, list(keys)).withColumn("_unit", unit).drop("_mean")
 
     d = F.col(f"`{date_col}`")
     lag_names = [f"lag_{i}" for i in range(1, LAGS + 1)]
@@ -177,7 +179,7 @@ def pooled_boosting(
     ).withColumn(
         date_col, cal.next_month("_last")
     )
-    state = state.join(residual, list(keys)) if keys else state.crossJoin(F.broadcast(residual))
+    state = state.join(residual, list(keys))
     steps = []
     for step in range(1, horizon + 1):
         predicted = model.transform(state.withColumns(calendar_cols)).withColumn("_p", F.greatest("_p", F.lit(0.0)))

@@ -38,13 +38,11 @@ def fill_gaps(
     w = Window.partitionBy(*_cols(keys)).orderBy(d)
     following = F.lead(d).over(w)
     if span == "global":
-        # one row, whatever the size of the data
-        bounds = totals.agg(F.min(d).alias("_first"), F.max(d).alias("_last"))
-        totals = totals.crossJoin(F.broadcast(bounds))
+        bounds = totals.agg(F.struct(F.min(d).alias("first"), F.max(d).alias("last"))).scalar()
         marked = totals.select(
             *_cols(keys), d, v,
-            F.when(F.lag(d).over(w).isNull(), F.col("_first")).otherwise(d).alias("_from"),
-            F.coalesce((following - step).cast("date"), F.col("_last")).alias("_to"),
+            F.when(F.lag(d).over(w).isNull(), bounds["first"]).otherwise(d).alias("_from"),
+            F.coalesce((following - step).cast("date"), bounds["last"]).alias("_to"),
         )
     else:
         marked = totals.select(

@@ -100,11 +100,11 @@ def _sales_history(monthly: DataFrame, key: str) -> DataFrame:
         monthly = monthly.withColumn("Year", F.lit(0))
     if not has_month:
         monthly = monthly.withColumn("YearMonth", F.lit(""))
-    # one row per calendar year, and one row with the number of months
+    # one row per calendar year
     years = monthly.select("Year").distinct().select(
         "Year", (F.row_number().over(Window.orderBy("Year")) - 1).alias("pos")
     ).withColumn("pairs", F.max("pos").over(Window.partitionBy()))
-    months = monthly.agg(F.count_distinct("YearMonth").alias("months"))
+    months = monthly.agg(F.count_distinct("YearMonth")).scalar()
 
     yearly = (
         monthly.groupBy(_c(key), "Year", "YearMonth").agg(F.sum("s").alias("s"))
@@ -123,10 +123,11 @@ def _sales_history(monthly: DataFrame, key: str) -> DataFrame:
     totals = placed.groupBy(_c(key)).agg(
         F.sum(s).alias("Total_Sales"), growth.alias("YoY_Growth"), F.sum("squares").alias("squares")
     )
+    totals = totals.withColumn("months", months)
     n, total = F.col("months"), F.col("Total_Sales")
     spread = F.sqrt(F.greatest(F.col("squares") - total * total / n, F.lit(0.0)) / (n - 1))
     volatility = F.when(n > 1, spread) if has_month else F.lit(0.0)
-    return totals.crossJoin(F.broadcast(months)).select(
+    return totals.select(
         _c(key), "Total_Sales", "YoY_Growth", volatility.alias("Monthly_Sales_Volatility")
     )
 
@@ -148,19 +149,15 @@ def _most_frequent(monthly: DataFrame, key: str, metas: list[str]) -> DataFrame:
 def scale_features(features: DataFrame) -> DataFrame:
     """Adds ``z_<feature>``: log of the skewed ones, then standardised by the population deviation."""
     logged = {f: F.log1p(_c(f)) if f in LOGGED else _c(f) for f in FEATURES}
-    # one row of eight numbers
-    stats = features.agg(
-        *[F.avg(e).alias(f"_a_{f}") for f, e in logged.items()],
-        *[F.stddev_pop(e).alias(f"_d_{f}") for f, e in logged.items()],
-    )
+    stats = features.agg(F.struct(
+        *[F.avg(e).alias(f"a_{f}") for f, e in logged.items()],
+        *[F.stddev_pop(e).alias(f"d_{f}") for f, e in logged.items()],
+    )).scalar()
+    mean, spread = ({f: F.col("_stats")[f"{p}_{f}"] for f in FEATURES} for p in ("a", "d"))
     scaled = {
-        f"z_{f}": F.when(F.col(f"_d_{f}") > 0, (e - F.col(f"_a_{f}")) / F.col(f"_d_{f}")).otherwise(F.lit(0.0))
-        for f, e in logged.items()
+        f"z_{f}": F.when(spread[f] > 0, (e - mean[f]) / spread[f]).otherwise(F.lit(0.0)) for f, e in logged.items()
     }
-    return (
-        features.crossJoin(F.broadcast(stats)).withColumns(scaled)
-        .drop(*[f"_a_{f}" for f in FEATURES], *[f"_d_{f}" for f in FEATURES])
-    )
+    return features.withColumn("_stats", stats).withColumns(scaled).drop("_stats")
 
 
 def with_vector(scaled: DataFrame) -> DataFrame:

@@ -44,7 +44,8 @@ def segment_table(segmented: DataFrame) -> DataFrame:
 
 def headline(best: DataFrame, flagged: DataFrame, clean: DataFrame) -> DataFrame:
     """One row: best model and its MAPE, number of anomalies, line count, total and mean monthly sales."""
-    counted = flagged.agg(F.sum("Is_Anomaly").alias("anomalies"))
-    model = best.select(F.col("Model").alias("best_model"), F.col("MAPE").alias("best_mape"))
-    # three one-row tables
-    return model.crossJoin(F.broadcast(counted)).crossJoin(F.broadcast(kpi.report_kpis(clean)))
+    facts = kpi.report_kpis(clean).select(F.struct("*")).scalar()
+    return best.select(
+        F.col("Model").alias("best_model"), F.col("MAPE").alias("best_mape"),
+        flagged.agg(F.sum("Is_Anomaly")).scalar().alias("anomalies"), facts.alias("f"),
+    ).select("best_model", "best_mape", "anomalies", "f.*")
