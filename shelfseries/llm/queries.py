@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, warc
+from . import exact, substring, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.octet_length("payload").cast("long"), F.col("http_length")).alias("payload_bytes"),
         F.expr("substr(payload_digest, 6)").alias("payload_digest"), "record_type",
         warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+@_query("op10_substring_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring.cut_repeats(_table(spark, folder, "documents"))
+    return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
