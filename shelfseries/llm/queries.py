@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, substring, warc
+from . import exact, neardup, substring, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring.cut_repeats(_table(spark, folder, "documents"))
     return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op4_minhash_near_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(_table(spark, folder, "documents"), shingle=4)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+                        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
