@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, neardup, substring, warc
+from . import bpe, exact, neardup, substring, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), shingle=4)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
                         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+@_query("op8_bpe_words")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe.encode(_table(spark, folder, "documents"))
+    decoded = bpe.decode(encoded.select("id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids"))
+    return decoded.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256",
+                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
