@@ -39,12 +39,14 @@ def classes(
         texts.groupBy("h", "body").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .withColumn("fp", fingerprint(F.col("body")))
         .select("h", "fp", "keep_id", "group_size"), "exact-groups")
-    keys = grouped.groupBy("h", "fp").agg(
-        F.count(F.lit(1)).alias("bodies"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    clashing = keys.where("bodies > 1").select("h", "fp")
-    rows = texts.select("doc_id", "h", "fp").join(keys.where("bodies = 1").drop("bodies"), ["h", "fp"])
-    out = rows.select("doc_id", "keep_id", "group_size", F.col("fp").alias("text_sha256"))
-    if not clashing.isEmpty():
+    rows, one = texts.select("doc_id", "h", "fp"), grouped
+    clashing = grouped.groupBy("h", "fp").agg(F.count(F.lit(1)).alias("bodies")).where("bodies > 1").select("h", "fp")
+    clash = not clashing.isEmpty()
+    if clash:
+        rows, one = (x.join(clashing, ["h", "fp"], "left_anti") for x in (rows, one))
+    # both sides come from tables, so a hot key's rows can be split over tasks
+    out = rows.join(one, ["h", "fp"]).select("doc_id", "keep_id", "group_size", F.col("fp").alias("text_sha256"))
+    if clash:
         hard = texts.join(clashing, ["h", "fp"], "left_semi")
         by_bytes = hard.groupBy("h", "body").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         out = out.unionByName(hard.join(by_bytes, ["h", "body"]).select(

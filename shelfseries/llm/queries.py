@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, substring, warc
+from . import bpe, exact, neardup, packing, substring, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     decoded = bpe.decode(encoded.select("id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids"))
     return decoded.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256",
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@_query("op9_packing")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
+from .words import Index, runs
+
 
 def public(name: str = "word_bpe_49k.json") -> str:
     """The place of a public tokenizer's file."""
@@ -16,6 +21,7 @@ def public(name: str = "word_bpe_49k.json") -> str:
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -50,3 +56,57 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         return flat[:0]
     at = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(total)
     return flat[at]
+
+
+class WordEncoder:
+    """Ids of whole texts in a task: each new word is encoded once and remembered, up to a bound."""
+
+    known_words = 300_000
+    group_bytes = 8 << 20
+
+    def __init__(self, path: str):
+        self.path = path
+        self._forget()
+
+    def _forget(self):
+        self.index, self.flat = Index(), np.empty(0, np.uint32)
+        self.start = self.size = np.empty(0, np.int64)
+
+    def _learn(self):
+        new = list(islice(self.index, len(self.size), None))
+        if new:
+            flat, size = encode_words(new, self.path)
+            start = len(self.flat) + np.cumsum(size) - size
+            self.flat, self.start, self.size = (np.concatenate(x) for x in ((self.flat, flat), (self.start, start), (self.size, size)))
+
+    def texts(self, bodies: Iterable[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each text in turn."""
+        waiting: list[list[np.ndarray]] = []
+        held = 0
+
+        def numbers(codes):
+            return gather(self.flat, self.start[codes], self.size[codes])
+
+        for body in bodies:
+            parts: list[np.ndarray] = []
+            for ws in runs(body):
+                codes = np.fromiter(map(self.index.__getitem__, ws), np.int32, len(ws))
+                if len(body) > self.group_bytes or len(self.index) > self.known_words:
+                    # what waits is turned into ids before the words are forgotten
+                    self._learn()
+                    waiting = [[x if x.dtype == np.uint32 else numbers(x) for x in w] for w in waiting]
+                    parts = [x if x.dtype == np.uint32 else numbers(x) for x in parts]
+                    codes = numbers(codes)
+                    if len(self.index) > self.known_words:
+                        self._forget()
+                parts.append(codes)
+            waiting.append(parts)
+            held += len(body)
+            if held > self.group_bytes:
+                self._learn()
+                for w in waiting:
+                    yield np.concatenate([x if x.dtype == np.uint32 else numbers(x) for x in w]) if w else np.empty(0, np.uint32)
+                waiting, held = [], 0
+        self._learn()
+        for w in waiting:
+            yield np.concatenate([x if x.dtype == np.uint32 else numbers(x) for x in w]) if w else np.empty(0, np.uint32)
