@@ -33,7 +33,12 @@ def best_pattern(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[f
     return float(best[capacity]), counts
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    # einsum stays in this thread; a threaded library would contend with the tasks of a local session
+    return np.einsum("ij,jk->ik", a, b)
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (a row each) and how often the linear program uses them, to within ``gap`` of its optimum.
 
     Revised simplex on "every size is covered at least as often as it is asked for"; a new pattern enters while the
@@ -45,12 +50,13 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-
     basis = np.diag((capacity // sizes).astype(float))  # columns
     cost = np.ones(m)
     inverse = np.diag(1 / np.diag(basis))
-    x = inverse @ demand
-    for step in range(40 * m + 200):
-        if step % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ demand, 0)
-        price = cost @ inverse
+    x = demand / np.diag(basis)
+    material = float(sizes @ demand) / capacity  # no plan is shorter
+    for step in range(1, 40 * m + 200):
+        if step % 500 == 0:  # rounding errors of the updates
+            inverse = 2 * inverse - _product(inverse, _product(basis, inverse))
+            x = np.maximum(np.einsum("ij,j->i", inverse, demand.astype(float)), 0)
+        price = np.einsum("i,ij->j", cost, inverse)
         if price.min() < -1e-9:
             k = int(price.argmin())  # asked for more often than needed: a surplus column
             column, c = np.zeros(m), 0.0
@@ -58,10 +64,10 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-
         else:
             worth, counts = best_pattern(np.maximum(price, 0), sizes, capacity)
             used = float(cost @ x)
-            if worth <= 1 + 1e-9 or used <= float(price @ demand) / worth * (1 + gap):
+            if worth <= 1 + 1e-9 or used <= max(material, float(price @ demand) / worth) * (1 + gap):
                 break
             column, c = counts.astype(float), 1.0
-        d = inverse @ column
+        d = np.einsum("ij,j->i", inverse, column)
         up = d > 1e-9
         if not up.any():
             break
