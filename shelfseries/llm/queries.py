@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, packing, substring, warc
+from . import bpe, exact, neardup, packing, substring, toxicity, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@_query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+    return scored.select(F.col("id").alias("doc_id"), (toxicity.fold(F.col("id")) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
