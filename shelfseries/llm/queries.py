@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, neardup, packing, substring, toxicity, warc
+from . import bpe, ctw, exact, neardup, packing, substring, toxicity, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
     return scored.select(F.col("id").alias("doc_id"), (toxicity.fold(F.col("id")) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query("op3_context_tree")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return ctw.score(docs, toxicity.fold(F.col("doc_id")) == 1).withColumnRenamed("id", "doc_id")

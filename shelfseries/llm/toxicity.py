@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import Index, runs
+from .words import Index, find, runs, word_grams
 
 #: Bytes that a byte is predicted from, and one.
 ORDER = 7
@@ -30,32 +30,6 @@ TELLING, _KNOWN = 3.0, 300_000
 _FLUSH = 400_000
 
 
-def word_grams(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the byte n-grams of ``" word "`` that end in each byte after the first, and the word each belongs to.
-
-    A code has the predicted byte in its lowest eight bits, the byte before it in the next eight and so on; places before
-    the word are zero.
-    """
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    data = np.frombuffer(b"".join([b" " + w for w in words]) + b" ", np.uint8).astype(np.uint64)
-    begin = np.cumsum(sizes) - sizes
-    word = np.repeat(np.arange(len(words)), sizes)
-    inside = np.arange(int(sizes.sum())) - begin[word] + 1  # bytes of the word before the predicted one
-    last = data[1:].copy()  # after a word stands the blank of the next one
-    codes = last
-    for back in range(1, order):
-        before = np.zeros(len(last), np.uint64)
-        before[back - 1:] = data[: len(last) - back + 1]
-        codes = codes | (np.where(inside >= back, before, 0).astype(np.uint64) << np.uint64(8 * back))
-    return codes, word
-
-
-def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.searchsorted(table, keys)
-    at[at == len(table)] = 0
-    return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
-
-
 def _discount(counts: np.ndarray) -> float:
     once, twice = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
     return once / (once + 2 * twice) if once and twice else 0.5
@@ -114,8 +88,8 @@ class Model:
             part = words[at:at + 50_000]
             codes, word = word_grams(part, self.order)
             few, back = np.unique(codes, return_inverse=True)
-            i, hit = _find(self.codes, few)
-            j, known = _find(self.contexts, few >> np.uint64(8))
+            i, hit = find(self.codes, few)
+            j, known = find(self.contexts, few >> np.uint64(8))
             value = np.where(hit, self.seen[i], np.where(known, self.unseen[j], 0)) if len(self.codes) else np.zeros(len(few))
             out[at:at + len(part)] = np.bincount(word, value[back], len(part))
         return out
@@ -201,7 +175,7 @@ def _count_grams(batches):
         words = b.column("word").to_pylist()
         n = [b.column(c).to_numpy() for c in ("n0", "n1")]
         for at in range(0, len(words), 50_000):
-            codes, word = word_grams(words[at:at + 50_000])
+            codes, word = word_grams(words[at:at + 50_000], ORDER)
             few, back = np.unique(codes, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(few.view(np.int64)), *[pa.array(np.bincount(back, x[at:at + 50_000][word]).astype(np.int64)) for x in n]],

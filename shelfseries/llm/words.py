@@ -85,3 +85,30 @@ class Index(dict):
         at = self.__getitem__
         parts = [np.fromiter(map(at, ws), np.int32, len(ws)) for ws in runs(raw.lower() if lower else raw)]
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.int32)
+
+
+def word_grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the byte n-grams of ``" word "`` that end in each byte after the first, and the word each belongs to.
+
+    A code has the predicted byte in its lowest eight bits, the byte before it in the next eight and so on; places before
+    the word are zero.
+    """
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    data = np.frombuffer(b"".join([b" " + w for w in words]) + b" ", np.uint8).astype(np.uint64)
+    begin = np.cumsum(sizes) - sizes
+    word = np.repeat(np.arange(len(words)), sizes)
+    inside = np.arange(int(sizes.sum())) - begin[word] + 1  # bytes of the word before the predicted one
+    last = data[1:].copy()  # after a word stands the blank of the next one
+    codes = last
+    for back in range(1, order):
+        before = np.zeros(len(last), np.uint64)
+        before[back - 1:] = data[: len(last) - back + 1]
+        codes = codes | (np.where(inside >= back, before, 0).astype(np.uint64) << np.uint64(8 * back))
+    return codes, word
+
+
+def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in a sorted table the keys stand, and whether they are there."""
+    at = np.searchsorted(table, keys)
+    at[at == len(table)] = 0
+    return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
