@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, exact, neardup, packing, substring, toxicity, warc
+from . import ann, bpe, ctw, exact, hilbert, neardup, packing, substring, toxicity, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,15 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return ctw.score(docs, toxicity.fold(F.col("doc_id")) == 1).withColumnRenamed("id", "doc_id")
+
+
+@_query("op1_hilbert_shards")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    placed = hilbert.shard(_table(spark, folder, "documents"), 24)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op6_multi_index_hashing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
