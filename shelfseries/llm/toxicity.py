@@ -28,6 +28,7 @@ MOST_LABELS, MOST_GRAMS = 200_000, 1_000_000
 #: A word counts as telling from this difference on (nats); a task remembers this many words.
 TELLING, _KNOWN = 3.0, 300_000
 _FLUSH = 400_000
+_GROUP = 4 << 20
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -105,28 +106,40 @@ class Scorer:
     def _forget(self):
         self.index, self.value, self.size = Index(), np.empty(0), np.empty(0)
 
-    def features(self, body: bytes) -> np.ndarray:
-        """Per text: difference per byte; the three largest of its distinct words; what the distinct words have above
-        ``TELLING`` in all, and relative to the root of their number; the logarithm of that number. All 0 without words."""
+    def features(self, bodies: list[bytes]) -> np.ndarray:
+        """A row per text: difference per byte; the three largest of its distinct words; what the distinct words have
+        above ``TELLING`` in all, and relative to the root of their number; the logarithm of that number. All 0 without
+        words."""
         if len(self.index) > _KNOWN:
             self._forget()
-        codes = self.index.codes(body, lower=True)
+        coded = [self.index.codes(body, lower=True) for body in bodies]
         new = list(islice(self.index, len(self.value), None))
         if new:
             self.value = np.concatenate([self.value, self.model.of_words(new)])
             self.size = np.concatenate([self.size, np.fromiter(map(len, new), float, len(new)) + 1])
-        out = np.zeros(FEATURES)
-        if len(codes):
-            few, n = np.unique(codes, return_counts=True)
-            v = self.value[few]
-            out[0] = (v * n).sum() / (self.size[few] * n).sum()
-            top = np.sort(v)[:-4:-1]
-            out[1:1 + len(top)] = top
-            out[4] = np.maximum(v - TELLING, 0).sum()
-            out[5] = out[4] / np.sqrt(len(few))
-            out[6] = np.log1p(len(few))
+        out = np.zeros((len(bodies), FEATURES))
+        for k, codes in enumerate(coded):
+            if len(codes):
+                few, n = np.unique(codes, return_counts=True)
+                v = self.value[few]
+                total = np.maximum(v - TELLING, 0).sum()
+                top = np.sort(v)[:-4:-1]
+                out[k, 0] = (v * n).sum() / (self.size[few] * n).sum()
+                out[k, 1:1 + len(top)] = top
+                out[k, 4:] = total, total / np.sqrt(len(few)), np.log1p(len(few))
         return out
 
+    def of_column(self, bodies) -> np.ndarray:
+        """The features of a binary column, looked at in groups of a few megabytes."""
+        parts, group, held = [np.zeros((0, FEATURES))], [], 0
+        for x in bodies:
+            group.append(x.as_py())
+            held += len(group[-1])
+            if held > _GROUP:
+                parts.append(self.features(group))
+                group, held = [], 0
+        return np.concatenate([*parts, self.features(group)])
+
 
 FEATURES = 7
 
@@ -186,8 +199,8 @@ def _features(model: Broadcast):
     def run(batches):
         scorer = Scorer(model.value)
         for b in batches:
-            x = [scorer.features(body.as_py()).tolist() for body in b.column("body")]
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
+            x = scorer.of_column(b.column("body"))
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["toxic", "x"])
     return run
 
 
@@ -195,7 +208,7 @@ def _scores(model: Broadcast, scale: np.ndarray, weights: np.ndarray):
     def run(batches):
         scorer = Scorer(model.value)
         for b in batches:
-            x = np.array([scorer.features(body.as_py()) for body in b.column("body")]).reshape(-1, FEATURES)
+            x = scorer.of_column(b.column("body"))
             z = np.column_stack([x / scale, np.ones(len(x))]) @ weights
             names = [c for c in b.schema.names if c != "body"]
             yield pa.RecordBatch.from_arrays(
