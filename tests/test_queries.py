@@ -3,12 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from shelfseries.catalog import modelling
+from shelfseries.catalog import QUERIES, SQL, modelling
 from tests.compare import connect, differences
 
-SQL = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
-
 
 @pytest.fixture(scope="module")
 def duck(small):
@@ -16,7 +13,8 @@ def duck(small):
 
 
 def test_every_reference_belongs_to_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
