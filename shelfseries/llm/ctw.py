@@ -145,12 +145,14 @@ class Tree:
                 self.one[d, level] = ((ones + 0.5) / (both + 1)).astype(np.float32)
                 self.stop[d, level] = stop.astype(np.float32)
             below = now
-        self.codes = tables[depth][0]
-        self.known = np.empty(0, np.float32)
-        self.known = np.concatenate([self._walk(self.codes[i:i + 100_000]) for i in range(0, len(self.codes), 100_000)] or [self.known]).astype(np.float32)
+        self.known = []
+        for d in range(depth, max(depth - 3, -1), -1):
+            codes = tables[d][0]
+            values = [self._walk(codes[i:i + 100_000], d) for i in range(0, len(codes), 100_000)]
+            self.known.append((d, codes, np.unique(codes >> np.uint64(8)), np.concatenate(values or [np.empty(0)]).astype(np.float32)))
 
-    def _walk(self, codes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each code's byte: the mixture over depths, bit by bit.
+    def _walk(self, codes: np.ndarray, depth: int) -> np.ndarray:
+        """log10 of the probability of each code's byte: the mixture over depths, bit by bit, from ``depth`` on.
 
         A context that training has not seen has no share; its parent's estimate stands alone.
         """
@@ -158,7 +160,7 @@ class Tree:
         for level in range(8):
             bit = ((codes >> np.uint64(7 - level)) & np.uint64(1)).astype(bool)
             p, begun = np.full(len(codes), 0.5), np.zeros(len(codes), bool)
-            for d in range(self.depth, -1, -1):
+            for d in range(depth, -1, -1):
                 at, hit = find(self.keys[d, level], (codes & _mask(d)) >> np.uint64(8 - level))
                 if not hit.any():
                     continue
@@ -171,13 +173,25 @@ class Tree:
         return total
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each code's byte after its context."""
-        at, hit = find(self.codes, codes)
-        out = self.known[at].astype(float) if len(self.codes) else np.zeros(len(codes))
-        if not hit.all():
-            few, back = np.unique(codes[~hit], return_inverse=True)
-            out[~hit] = self._walk(few)[back]
-        return out
+        """log10 of the probability of each code's byte after its context.
+
+        A code that training has seen is looked up. One whose context is unknown at a depth is that of the next shorter
+        context; only unseen bytes after known contexts are worked out.
+        """
+        few, back = np.unique(codes, return_inverse=True)
+        out, open_ = np.zeros(len(few)), np.arange(len(few))
+        for d, table, contexts, known in self.known:
+            asked = few[open_] & _mask(d)
+            at, hit = find(table, asked)
+            out[open_[hit]] = known[at[hit]] if len(known) else 0
+            _, seen = find(contexts, asked >> np.uint64(8))
+            new = seen & ~hit
+            if new.any():
+                out[open_[new]] = self._walk(few[open_[new]], d)
+            open_ = open_[~seen]
+        if len(open_):
+            out[open_] = self._walk(few[open_], self.known[-1][0])
+        return out[back]
 
 
 def _count_words(batches):
