@@ -102,7 +102,7 @@ def word_grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     codes = last
     for back in range(1, order):
         before = np.zeros(len(last), np.uint64)
-        before[back - 1:] = data[: len(last) - back + 1]
+        before[back - 1:] = data[: max(0, len(last) - back + 1)]
         codes = codes | (np.where(inside >= back, before, 0).astype(np.uint64) << np.uint64(8 * back))
     return codes, word
 
