@@ -2,13 +2,14 @@
 
 Every distinct shingle set posts its id under each (coordinate, value) of its signature. A pair whose signatures agree in
 at least ``matches`` of ``coords`` coordinates has a key in common among the ``coords - matches + 1`` rarest keys of either
-(prefix), so only those are merged; the long lists behind them are skipped and their collisions are counted on the two
-signatures themselves. Pairs above the match threshold are confirmed on the full shingle sets.
-
-Lists of a thousand near copies would give a million pairs. So members of a list are first tied to one of them (a star),
-which joins most of the list into one component; a list whose members are all in one component holds no unknown link.
-Lists with several components get further stars, and at last all pairs across components, so no link between
-components is lost.
+(prefix), so only those lists are merged; the long lists behind them are skipped, and the collisions of a pair are counted
+on a second sketch of 1024 one-byte minima. Pairs above the match threshold are confirmed on the full shingle sets.
+
+Lists of a thousand near copies would give a million pairs. So the members of a list are first tied to its most central
+one, which joins most of the list into one component; a list whose members are all in one component holds no unknown
+link. In lists with several components every member outside the largest is tied to the most similar others, and at last
+all pairs across components that pass the sketch are confirmed, so no link between components is lost. Long lists are
+compared in blocks, by sketch, inside tasks.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ from .components import components
 from .staging import hold
 from .words import mix, window_hashes, word_hashes
 
-_MOST_STARS = 6
+#: Minima of the sketch; members of a list that are compared at once; similar others a member is tied to in a round.
+BINS, BLOCK, BEST = 1024, 2048, 2
+_ROUNDS = 2
+_EARLY_STEPS = 2
 
 
 def shingles(raw: bytes, k: int) -> np.ndarray:
@@ -44,20 +48,46 @@ def _signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32)
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """A byte of the smallest hash in each of ``BINS`` equal ranges of hashes; 0 where a range has none."""
+    edges = np.arange(BINS + 1, dtype=np.float64) * (2.0 ** 64 / BINS)
+    starts = np.searchsorted(grams, edges[:-1].astype(np.uint64))
+    ends = np.append(starts[1:], len(grams))
+    out = np.zeros(BINS, np.uint8)
+    have = starts < ends
+    out[have] = 1 + grams[starts[have]] % np.uint64(255)
+    return out
+
+
+def alike(one: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Share of ranges in which sketches agree, and whether it is within 4.5 standard deviations of the bound.
+
+    A filled range draws one element of the union, none twice, so the spread is hypergeometric: small for sets of which
+    the ranges hold nearly all elements.
+    """
+    n = np.maximum(((one != 0) | (others != 0)).sum(axis=1), 1)
+    same = ((one == others) & (one != 0)).sum(axis=1)
+    j = percent / 100
+    union = np.maximum((size + sizes) / (1 + j), n)
+    spread = np.sqrt(j * (1 - j) * n * (union - n) / np.maximum(union - 1, 1))
+    return same / n, same >= j * n - 4.5 * spread - 1
+
+
 def _sign(k: int, coords: int):
     def run(batches):
         seeds = mix(np.arange(1, 2 * coords + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         a, b = seeds[:coords] | np.uint64(1), seeds[coords:]
         for batch in batches:
-            sizes, prints, sigs = [], [], []
+            sizes, prints, sigs, sketches = [], [], [], []
             for body in batch.column("body"):
                 grams = shingles(body.as_py(), k)
                 sizes.append(len(grams))
                 prints.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
                 sigs.append(_signature(grams, a, b).tobytes() if len(grams) else None)
+                sketches.append(sketch(grams).tobytes() if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.binary())],
-                names=["id", "n_shingles", "fp", "sig"])
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["id", "n_shingles", "fp", "sig", "sketch"])
     return run
 
 
@@ -73,17 +103,69 @@ def _post(batches):
                 [pa.array(np.repeat(ids, block.shape[1])), pa.array(block.ravel())], names=["rep", "key"])
 
 
-def _agree(matches: int):
-    """Pairs whose signatures agree in enough coordinates."""
+def _agree(percent: int):
+    """Pairs whose sketches are alike enough."""
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "n_a", "n_b")]
+            good = [bool(alike(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)[None], n, np.array([m]), percent)[1][0])
+                    for x, y, n, m in zip(*columns)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+    return run
+
+
+def _compare(percent: int, every: bool):
+    """Pairs of the members of a block pair whose components differ and whose sketches and sizes allow a link: all of
+    them, each in the first list that both members stand in, or the ``BEST`` of each member outside the largest
+    component."""
+    def pairs(rows):
+        key, i, j = rows[0][:3]
+        rep, comp, size, block = (np.array([r[c] for r in rows], np.int64) for c in (3, 4, 5, 6))
+        marks = np.frombuffer(b"".join([r[7] for r in rows]), np.uint8).reshape(len(rows), BINS)
+        names, where, count = np.unique(comp, return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            return
+        minor = where != count.argmax()
+        keys = [np.array(r[8], np.int64) for r in rows] if every else None
+        for x in np.flatnonzero(minor):
+            other = np.flatnonzero((comp != comp[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])))
+            if i != j:
+                other = other[block[other] != block[x]]
+            if every:
+                other = other[~minor[other] | (other > x)]
+            if not len(other):
+                continue
+            share, near = alike(marks[x], marks[other], size[x], size[other], percent)
+            other, share = other[near], share[near]
+            if every:
+                other = [y for y in other if np.intersect1d(keys[x], keys[y], assume_unique=True)[0] == key]
+            else:
+                other = other[np.argsort(-share, kind="stable")[:BEST]]
+            for y in other:
+                yield int(min(rep[x], rep[y])), int(max(rep[x], rep[y]))
+
     def run(batches):
+        group, found = [], []
         for batch in batches:
-            n = np.fromiter((
-                np.count_nonzero(np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32))
-                for x, y in zip(batch.column("sig_a").to_pylist(), batch.column("sig_b").to_pylist())), np.int64, batch.num_rows)
-            yield batch.select(["a", "b"]).filter(pa.array(n >= matches))
+            for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                if group and row[:3] != group[0][:3]:
+                    found.extend(pairs(group))
+                    group = []
+                group.append(row)
+                if len(found) > 50_000:
+                    yield _pairs(found)
+                    found = []
+        if group:
+            found.extend(pairs(group))
+        yield _pairs(found)
     return run
 
 
+def _pairs(found):
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _confirm(k: int, percent: int):
     """Pairs whose full shingle sets are similar enough."""
     def run(batches):
@@ -101,49 +183,45 @@ def _confirm(k: int, percent: int):
 
 
 def _prefix(reps: DataFrame, coords: int, matches: int) -> DataFrame:
-    """``rep, key`` of the rarest keys that are shared at all; keys of one set alone count as rarest and stay out."""
+    """``rep, key, central`` of the rarest keys that are shared at all; keys of one set alone count as rarest and stay
+    out. ``central`` says how much the set's keys are shared."""
     postings = reps.mapInArrow(_post, "rep long, key long")
-    shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = hold(postings.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "neardup-shared")
     mine = Window.partitionBy("rep")  # at most ``coords`` rows
     ranked = postings.join(shared, "key").withColumns({
-        "n": F.count(F.lit(1)).over(mine), "rank": F.row_number().over(mine.orderBy("f", "key"))})
-    return ranked.where((F.col("n") >= matches) & (F.col("rank") + coords - F.col("n") <= coords - matches + 1)).select("rep", "key")
+        "n": F.count(F.lit(1)).over(mine), "central": F.sum("f").over(mine), "rank": F.row_number().over(mine.orderBy("f", "key"))})
+    return ranked.where((F.col("n") >= matches) & (F.col("rank") + coords - F.col("n") <= coords - matches + 1)).select("rep", "key", "central")
 
 
-def _labelled(lists: DataFrame, edges: DataFrame | None) -> DataFrame:
+def _still_open(lists: DataFrame, comps: DataFrame) -> DataFrame:
     """Lists with the component of each member, without lists of a single component."""
-    if edges is None:
-        return lists.withColumn("comp", F.col("rep"))
-    comps = components(edges)
-    found = lists.join(comps, lists["rep"] == comps["u"], "left").select("rep", "key", F.coalesce("component", "rep").alias("comp"))
+    found = lists.select("rep", "key").join(comps, lists["rep"] == comps["u"], "left").select("rep", "key", F.coalesce("component", "rep").alias("comp"))
     mixed = found.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     return hold(found.join(mixed, "key"), "neardup-lists")
 
 
-def _stars(lists: DataFrame, seed: int) -> DataFrame:
-    """Each member of a list with the list's centre, a member chosen by a hash that is the same in all lists."""
-    order = F.xxhash64("rep", F.lit(seed)) if seed else F.col("rep")
-    centre = lists.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "comp")).alias("c")).select("key", "c.rep", "c.comp")
-    centre = centre.select("key", F.col("rep").alias("centre"), F.col("comp").alias("centre_comp"))
-    return lists.join(centre, "key").where("comp <> centre_comp").select(
-        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"), ).distinct()
+def _stars(lists: DataFrame) -> DataFrame:
+    """Each member of a list with the list's most central one."""
+    centre = lists.groupBy("key").agg(F.max(F.struct("central", (-F.col("rep")).alias("minus"))).alias("c")).select(
+        "key", (-F.col("c.minus")).alias("centre"))
+    return lists.join(hold(centre, "neardup-centres"), "key").where("rep <> centre").select(
+        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
-def _across(lists: DataFrame) -> DataFrame:
-    """All pairs of a list across components: members outside its largest component with all others."""
-    sizes = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-    known = lists.join(main, "key")
-    few = known.where("comp <> main").select("key", F.col("rep").alias("x"), F.col("comp").alias("xc"))
-    return few.join(known, "key").where((F.col("xc") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("x") < F.col("rep")))).select(
-        F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-
-
-def _work(lists: DataFrame) -> tuple[int, int]:
-    """Rows of the lists, and the pairs that :func:`_across` would look at."""
-    sizes = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("all"), F.max("n").alias("top"))
-    rows, pairs = sizes.agg(F.sum("all"), F.sum((F.col("all") - F.col("top")) * F.col("all").cast("decimal(20,0)"))).first()
-    return int(rows or 0), int(pairs or 0)
+def _across(lists: DataFrame, sets: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Pairs across components within lists (see :func:`_compare`). A list of many members is cut into blocks, and each
+    pair of blocks is compared by itself."""
+    blocks = lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = lists.join(hold(blocks, "neardup-blocks"), "key").join(sets, "rep")
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    members = members.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    columns = ["key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "comp", "n_shingles", "block", "sketch"]
+    if every:
+        keys = lists.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # as many as the prefix has
+        members = members.join(hold(keys, "neardup-keys"), "rep")
+        columns.append("keys")
+    dealt = members.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_compare(percent, every), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -160,33 +238,27 @@ def near_duplicates(
     """
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), body.alias("body"))
-    signed = hold(rows.mapInArrow(_sign(shingle, coords), "id long, n_shingles long, fp binary, sig binary"), "neardup-signatures")
+    signed = hold(rows.mapInArrow(_sign(shingle, coords), "id long, n_shingles long, fp binary, sig binary, sketch binary"), "neardup-signatures")
     sets = signed.where("fp is not null and id is not null")
-    reps = hold(sets.groupBy("fp").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")).groupBy("rep").agg(
-        F.first("fp").alias("fp"), F.first("sig").alias("sig")), "neardup-sets")
+    first = [F.first(c).alias(c) for c in ("n_shingles", "sig", "sketch")]
+    reps = sets.groupBy("fp").agg(F.min("id").alias("rep"), *first).groupBy("rep").agg(*first)
+    reps = hold(reps, "neardup-sets")
     lists = hold(_prefix(reps.select("rep", "sig"), coords, matches), "neardup-lists")
-
-    named = reps.select("rep", "sig")
-    bodies = hold(rows.where("id is not null").join(lists.select("rep").distinct(), F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"]), "neardup-texts")
+    listed = lists.select("rep").distinct()
+    named = hold(reps.select("rep", "n_shingles", "sketch").join(listed, "rep", "left_semi"), "neardup-sketches")
+    bodies = hold(rows.where("id is not null").join(listed, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"]), "neardup-texts")
 
     def links(pairs: DataFrame) -> DataFrame:
-        a, b = (named.select(F.col("rep").alias(n), F.col("sig").alias(f"sig_{n}")) for n in "ab")
-        close = hold(pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_agree(matches), "a long, b long"), "neardup-pairs")
         x, y = (bodies.select(F.col("id").alias(n), F.col("body").alias(f"body_{n}")) for n in "ab")
-        return hold(close.join(y, "b").join(x, "a").select("a", "b", "body_a", "body_b").mapInArrow(_confirm(shingle, percent), "a long, b long").select(
+        return hold(pairs.join(y, "b").join(x, "a").select("a", "b", "body_a", "body_b").mapInArrow(_confirm(shingle, percent), "a long, b long").select(
             F.col("a").alias("u"), F.col("b").alias("v")), "neardup-links")
 
-    edges = None
-    open_lists = _labelled(lists, None)
-    for star in range(_MOST_STARS):
-        found = links(_stars(open_lists, star))
-        edges = found if edges is None else edges.unionByName(found)
-        open_lists = _labelled(lists, edges)
-        n, pairs = _work(open_lists)
-        if pairs <= 2 * n:
-            break
-    if n:
-        edges = edges.unionByName(links(_across(open_lists)))
+    a, b = (named.select(F.col("rep").alias(n), F.col("sketch").alias(f"sketch_{n}"), F.col("n_shingles").alias(f"n_{n}")) for n in "ab")
+    stars = _stars(lists).join(a, "a").join(b, "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(_agree(percent), "a long, b long")
+    edges = links(hold(stars, "neardup-pairs"))
+    for last in [False] * _ROUNDS + [True]:
+        lists = _still_open(lists, components(edges, _EARLY_STEPS))
+        edges = edges.unionByName(links(hold(_across(lists, named, percent, last), "neardup-pairs")))
     comps = components(edges)
 
     groups = sets.groupBy("fp").agg(F.min("id").alias("rep"))
@@ -195,3 +267,12 @@ def near_duplicates(
         "id", "n_shingles", F.coalesce("component", "rep").alias("component"))
     alone = signed.where("fp is null or id is null").select("id", "n_shingles", F.col("id").alias("component"))
     return placed.unionByName(alone)
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, whose id is the smallest of their component; rows without an id stay."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    keep = found.where("id = component").select(F.col("id").alias("keep_id")).distinct()
+    ident = F.col(f"`{id_col}`")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), ident.cast("long").alias("id"))
+    return whole.join(keep, F.col("id") == F.col("keep_id"), "left_semi").select("doc.*").unionByName(docs.where(ident.isNull()))

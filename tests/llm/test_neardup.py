@@ -63,7 +63,7 @@ def test_sketch_estimates_similarity():
     r = np.random.default_rng(1)
     a = np.unique(r.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
     b = np.unique(np.concatenate([a[300:], r.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)]))
-    share, near = neardup.alike(neardup.sketch(a), neardup.sketch(b)[None], 80)
+    share, near = neardup.alike(neardup.sketch(a), neardup.sketch(b)[None], len(a), np.array([len(b)]), 80)
     assert abs(share[0] - 2700 / 3300) < 0.1 and near[0]
 
 
