@@ -1,27 +1,60 @@
-"""From raw documents to packed sequences: the stages of the corpus pipeline, each on all rows that the one before kept."""
+"""From raw documents to packed sequences: the stages of the corpus pipeline, each on all rows that the one before kept.
+
+All stages but the last return the columns of ``documents``. A stage's result is written as a table before the next one
+begins, so a lost executor costs one stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfseries.llm import exact, neardup, packing, substring, toxicity
+from shelfseries.llm.staging import hold
+
 
-from shelfseries.llm import exact
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, learned from the labelled ones among them, does not call toxic."""
+    fitted = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, fitted, carry=tuple(docs.columns))
+    return scored.where("score < 0.5").select("carried.*")
 
 
-def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id."""
     return exact.deduplicate(docs)
 
 
-STAGES = [("exact dedup", remove_exact_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by shingles of five words at a similarity of 0.8 the one with the smallest id."""
+    return neardup.deduplicate(docs, shingle=5, percent=80)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-word windows that a document with a smaller id has; other texts stay as they are."""
+    cut = substring.cut_repeats(docs, carry=tuple(docs.columns))
+    text = F.when(F.col("n_removed") == 0, F.col("carried.text")).otherwise(F.col("kept").cast("string"))
+    changed = cut.select("n_removed", "carried.*", text.alias("_text"))
+    new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("_text"))}
+    return changed.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
-#: No stage but the exact one can be said in SQL.
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("toxicity", drop_toxic), ("exact dedup", drop_exact_copies), ("near-duplicates", drop_near_copies),
+    ("substring dedup", cut_repeated_passages), ("packing", pack_sequences),
+]
+
+#: Learned scores, sketches and tokens cannot be said in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages one after the other over the table ``documents``; each result is a table of its own before the next begins."""
-    from shelfseries.llm.staging import hold
-
+    """All stages one after the other over the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = hold(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))

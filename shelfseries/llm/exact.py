@@ -59,7 +59,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeats. Rows without an id cannot be told apart and all stay."""
     ident = F.col(f"`{id_col}`")
     keep = classes(docs, id_col, text_col).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_fp")).distinct()
-    marked = docs.withColumn("_fp", F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256))
-    with_id = marked.join(keep, (ident == F.col("_keep_id")) & (F.col("_fp") == F.col("_keep_fp")), "left_semi")
-    return with_id.dropDuplicates([id_col, "_fp"]).drop("_fp").unionByName(docs.where(ident.isNull()))
+        F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_fp")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    marked = docs.select(whole, ident.alias("id"), F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256).alias("fp"))
+    with_id = marked.join(keep, (F.col("id") == F.col("keep_id")) & (F.col("fp") == F.col("keep_fp")), "left_semi")
+    return with_id.dropDuplicates(["id", "fp"]).select("doc.*").unionByName(docs.where(ident.isNull()))
