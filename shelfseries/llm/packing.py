@@ -13,10 +13,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import cutting, tokens
+from . import bpe, cutting, tokens
 from .staging import hold, positions
 
 _PIECE = "id long, key long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -27,24 +28,19 @@ def _rows(rows, names, kinds):
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
 
 
-def _with_ids(path: str, end_id: int):
-    """``(id, key, ids)`` of the documents of Arrow batches."""
-    def run(batches):
-        coder = tokens.WordEncoder(path)
-        for b in batches:
-            names = [b.column(c).to_pylist() for c in ("id", "key")]
-            for i, key, ids in zip(*names, coder.texts(x.as_py() for x in b.column("body"))):
-                yield i, key, np.append(ids, np.uint32(end_id)).astype("<u4")
-    return run
+def _ended(numbers, ids, end_id: int):
+    """``(id, key, ids)`` with the end behind the ids; the key tells apart texts that share an id."""
+    end = np.array([end_id], "<u4")
+    for i, x in zip(numbers, ids):
+        yield i, xxhash.xxh3_64_intdigest(x) >> 1, np.concatenate([np.frombuffer(x, "<u4"), end])
 
 
-def _measure(path: str, end_id: int, length: int):
+def _measure(end_id: int, length: int):
     """Full pieces and the remainder of every document."""
-    docs = _with_ids(path, end_id)
-
     def run(batches):
         rows = []
-        for i, key, ids in docs(batches):
+        parts = (zip(b.column("row").to_pylist(), b.column("ids")) for b in bpe.assembled(batches))
+        for i, key, ids in (x for part in parts for x in _ended(*zip(*((i, ids.as_py()) for i, ids in part)), end_id)):
             for at in range(0, len(ids), length):
                 part = ids[at:at + length]
                 rows.append((i, key, at, len(part), zlib.crc32(part.tobytes()), len(ids)))
@@ -130,12 +126,11 @@ def _string(total: int, length: int, first_sequence: int):
 
 
 def _sum_up(path: str, end_id: int, wanted: dict):
-    """Checksums of the stretches ``wanted`` of each document."""
-    docs = _with_ids(path, end_id)
-
+    """Checksums of the stretches ``wanted`` of a few documents, which are encoded again."""
     def run(batches):
-        rows = []
-        for i, key, ids in docs(batches):
+        rows, coder = [], tokens.WordEncoder(path)
+        texts = ((b.column("id").to_pylist(), (x.astype("<u4").tobytes() for x in coder.texts(x.as_py() for x in b.column("body")))) for b in batches)
+        for i, key, ids in (x for numbers, ids in texts for x in _ended(numbers, ids, end_id)):
             for start, n in wanted.get((i, key), ()):
                 rows.append((i, key, start, zlib.crc32(ids[start:start + n].tobytes())))
         yield _rows(rows, ("id", "key", "start", "crc"), [pa.int64()] * 4)
@@ -157,11 +152,12 @@ def pack(
     if length & (length - 1) or length % step:
         raise ValueError("length must be a power of two and a multiple of step")
     path = path or tokens.public()
-    body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(body).alias("key"), body.alias("body"))
+    placed = bpe.placed(docs, path, id_col, text_col, None, False)
     cls = F.when(F.col("length") == length, 0).otherwise(F.ceil(F.col("length") / step)).cast("int")
-    measured = rows.mapInArrow(_measure(path, end_id, length), _PIECE).withColumn("cls", cls)
-    ranked = positions(measured, ["cls", "id", "key", "start"], "pack-pieces")
+    measured = placed.mapInArrow(_measure(end_id, length), _PIECE).withColumns({
+        "id": F.when(F.col("id") != bpe.NO_ID, F.col("id")), "cls": cls})
+    # ranging a table samples it first, which would run the encoder twice
+    ranked = positions(hold(measured, "pack-measured"), ["cls", "id", "key", "start"], "pack-pieces")
 
     counts = {r["cls"]: r["n"] for r in ranked.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per class
     first, seen = {}, 0
@@ -188,9 +184,11 @@ def pack(
         wanted.setdefault((r["id"], r["key"]), set()).add((r["start"], r["length"]))
     if not wanted:
         return packed.unionByName(strung.select(*out))
-    spark = docs.sparkSession
-    keys = spark.createDataFrame([(k,) for k in {key for _, key in wanted}], "key long")
-    sums = rows.join(F.broadcast(keys), "key", "left_semi").select("id", "key", "body").mapInArrow(
+    ident = F.col(f"`{id_col}`").cast("long")
+    cut = docs.sparkSession.createDataFrame([(i,) for i in {i for i, _ in wanted}], "cut long")
+    body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b"")).alias("body")
+    again = docs.select(ident.alias("id"), body).join(F.broadcast(cut), F.col("id").eqNullSafe(F.col("cut")), "left_semi")
+    sums = again.select("id", "body").mapInArrow(
         _sum_up(path, end_id, wanted), "id long, key long, start long, crc long").distinct()
     sums = hold(sums, "pack-checksums")
     left, right = strung.alias("l"), sums.alias("r")
