@@ -235,6 +235,7 @@ def cut_repeats(
     firsts = suspects.join(copies, "id", "left_anti")
     occurrences = firsts.select("id", "body").mapInArrow(_occurrences(bits, cells, width), "w1 long, w2 long, id long, at int")
     shared = occurrences.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    shared = hold(shared, "substring-shared")  # a table beside the windows, so that a window that many documents have can be split
     starts = occurrences.join(shared, ["w1", "w2"]).where("id > first").select("id", "at").distinct().groupBy("id").agg(F.collect_list("at").alias("starts"))
     keep = [c for c in rows.columns if c != "body"]
     cut = firsts.join(hold(starts, "substring-starts"), "id", "left").select(*keep, "body", "starts").mapInArrow(
