@@ -4,13 +4,16 @@ A text is its words with a blank between them and a line feed at the end. Each b
 decisions after the same bits have a tree of their own over the ``DEPTH`` bytes before. Every node has the
 Krichevsky-Trofimov estimate of what it has seen, and a node's weighted probability is half its own estimate and half the
 product of its children's. From these the share of each depth in the next decision follows, so all depths are mixed for
-every bit. Counts come from all training documents; the trees that tasks hold have a bounded size. The base model's
-counts per word are not bounded: documents find frequent words in a table of fixed size, the others by a join.
+every bit. Counts come from all training documents, and nothing of them is dropped: codes (a byte with its context) and
+words are tables, trees below ``ROOT`` bytes of context are worked out by tasks that have all of a tree's codes, and each
+code of the corpus gets its value once. Documents find frequent codes and words in tables of fixed size, the others by a
+join.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +26,13 @@ from .words import find, runs
 
 #: Bytes of context.
 DEPTH = 6
-#: Contexts of a depth stay while they have at most this many (context, byte) pairs together, the most frequent first;
-#: what rarer ones have seen stays with the shorter context. Counts cover all documents either way.
-MOST_PAIRS = 700_000
+#: Tasks have whole trees below contexts of so many bytes. The nodes above are collected; their number is bounded by the
+#: bytes that there are, not by the input.
+ROOT = 3
+#: Codes that tasks look up in memory, the most frequent ones; all others are joined.
+HEAD_CODES = 1 << 21
+#: Codes whose trees a task works out together, about.
+_SLICE = 500_000
 #: Frequent words that tasks look up in memory, none longer than this many bytes; all others are joined.
 HEAD, HEAD_BYTES = 1 << 17, 64
 #: Byte after a text, and before it, as often as there are bytes of context.
@@ -211,30 +218,222 @@ def _count_words(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
 
 
+def _merge(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """The sums of ``(codes, n, m)`` per code; sorted parts are merged as runs."""
+    codes, *counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    begin = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, np.int64)
+    return codes[begin], *(np.add.reduceat(c[order], begin) if len(begin) else c for c in counts)
+
+
 def _count_grams(depth: int):
-    """How often training documents have a code; a batch lists each code of a few stretches once."""
+    """How often training documents (n) and all documents (m) have a code; a batch lists each code of a few stretches once."""
     def run(batches):
         seen, held = [], 0
         for b in batches:
-            for _, codes, begin, size in coded((x.as_py() for x in b.column("body")), depth):
-                inside = np.zeros(len(codes) + 1, np.int8)
-                np.add.at(inside, begin, 1)
-                np.add.at(inside, begin + size, -1)
-                seen.append(_sum_by(codes[np.cumsum(inside[:-1]) > 0], None))
-                held += len(seen[-1][0])
-                if held > 2_000_000:
-                    seen = [_sum_by(*(np.concatenate(x) for x in zip(*seen)))]
-                    held = len(seen[0][0])
-                    if held > 1_000_000:
-                        yield _grams(*seen[0])
-                        seen, held = [], 0
+            train = b.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            for learn in (True, False):
+                bodies = b.column("body").filter(pa.array(train == learn))
+                for _, codes, begin, size in coded((x.as_py() for x in bodies), depth):
+                    few, m = np.unique(codes[_inside(len(codes), begin, size)], return_counts=True)
+                    seen.append((few, m if learn else np.zeros_like(m), m))
+                    held += len(few)
+                    if held > 2_000_000:
+                        seen = [_merge(seen)]
+                        held = len(seen[0][0])
+                        if held > 1_000_000:
+                            yield _grams(*seen[0])
+                            seen, held = [], 0
         if seen:
-            yield _grams(*_sum_by(*(np.concatenate(x) for x in zip(*seen))))
+            yield _grams(*_merge(seen))
+    return run
+
+
+def _inside(n: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of ``n`` codes belong to a text."""
+    edge = np.zeros(n + 1, np.int8)
+    np.add.at(edge, begin, 1)
+    np.add.at(edge, begin + size, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _grams(codes, n, m):
+    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n), pa.array(m)], names=["code", "n", "m"])
+
+
+def _nodes(table: np.ndarray, level: int):
+    """Of sorted codes the first and the node of each under the first ``level`` bits of the byte."""
+    prefix = table >> np.uint64(8 - level)
+    first = np.concatenate([[True], prefix[1:] != prefix[:-1]])
+    return np.flatnonzero(first), np.cumsum(first) - 1
+
+
+def _mix(p: np.ndarray, bit, known, own, stop) -> np.ndarray:
+    """Probability of a bit with one depth more, the next shorter one; -1 stands for no known context so far."""
+    own = np.where(bit, own, 1 - own)
+    stop = np.where(p >= 0, stop, 1.0)
+    return np.where(known, stop * own + (1 - stop) * p, p)
+
+
+def lower_trees(codes: np.ndarray, n: np.ndarray, depth: int, root: int):
+    """Per code, sorted and distinct, the probabilities of its eight bits from the depths ``root`` and more, -1 where training
+    has seen none of these contexts; and ``(key, zeros, ones, log)`` of the nodes of depth ``root``, summed for each node
+    of the next shorter context.
+
+    A code that training has not seen has a count of 0; such codes change no node.
+    """
+    table, n, at = codes, n.astype(float), np.arange(len(codes))
+    p = np.full((8, len(codes)), -1.0)
+    below, up, above = [], None, []
+    for d in range(depth, root - 1, -1):
+        if d < depth:
+            table, up = np.unique(table & _mask(d), return_inverse=True)
+            n, at = np.bincount(up, n, len(table)), up[at]
+        now = []
+        for level in range(8):
+            begin, node = _nodes(table, level)
+            bit = (table >> np.uint64(7 - level)) & np.uint64(1)
+            both, ones = np.add.reduceat(n, begin), np.add.reduceat(n * bit, begin)
+            weighted = own = log_kt(both - ones, ones)
+            stop = np.ones(len(own))
+            if d < depth:
+                first, deeper = below[level]
+                weighted = np.logaddexp(own, np.bincount(node[up[first]], deeper, len(own))) - np.log(2)
+                stop = np.exp(own - np.log(2) - weighted)
+            here = node[at]
+            p[level] = _mix(p[level], bit[at] > 0, (both > 0)[here], ((ones + 0.5) / (both + 1))[here], stop[here])
+            now.append((begin, weighted))
+            if d == root and root:
+                seen = both > 0
+                code = table[begin[seen]]
+                key = (code & _mask(root - 1) & ~np.uint64(255)) | np.uint64(1 << level) | ((code & np.uint64(255)) >> np.uint64(8 - level))
+                above.append((key, (both - ones)[seen], ones[seen], weighted[seen]))
+        below = now
+    if not above:
+        return p.T, tuple(np.empty(0, k) for k in (np.uint64, float, float, float))
+    key, *sums = (np.concatenate(x) for x in zip(*above))
+    few, where = np.unique(key, return_inverse=True)
+    return p.T, (few, *(np.bincount(where, x, len(few)) for x in sums))
+
+
+def _lower(depth: int, root: int):
+    """A row per code with the probabilities of its bits, and a row per node above; a task has all codes of its trees."""
+    def run(batches):
+        parts = [[b.column(c).to_numpy() for c in ("code", "n", "m")] for b in batches if b.num_rows]
+        if not parts:
+            return
+        codes, n, m = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        codes = codes.view(np.uint64)
+        tree = codes & _mask(root) & ~np.uint64(255)
+        order = np.argsort(tree, kind="stable")
+        codes, n, m, tree = codes[order], n[order], m[order], tree[order]
+        edges = np.append(np.flatnonzero(np.concatenate([[True], tree[1:] != tree[:-1]])), len(codes))
+        at = 0
+        while at < len(codes):
+            end = int(edges[max(np.searchsorted(edges, at + _SLICE, "right") - 1, np.searchsorted(edges, at, "right"))])
+            sort = at + np.argsort(codes[at:end])
+            p, nodes = lower_trees(codes[sort], n[sort], depth, root)
+            yield from _bits(codes[sort], m[sort], p)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(nodes[0]), k) for k in (pa.int64(), pa.int64(), pa.binary())] + [pa.array(nodes[0].view(np.int64)), *[pa.array(x, pa.float64()) for x in nodes[1:]]], names=_LOWER)
+            at = end
+    return run
+
+
+_LOWER = ["code", "m", "p", "node", "zeros", "ones", "log"]
+
+
+def _bits(codes, m, p):
+    for at in range(0, len(codes), 50_000):
+        part = np.ascontiguousarray(p[at:at + 50_000], np.float32)
+        size = len(part)
+        packed = pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(np.arange(0, 32 * size + 1, 32, dtype=np.int32)), pa.py_buffer(part)])
+        rest = [pa.nulls(size, k) for k in (pa.int64(), pa.float64(), pa.float64(), pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array(codes[at:at + size].view(np.int64)), pa.array(m[at:at + size]), packed, *rest], names=_LOWER)
+
+
+def upper_trees(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray, root: int) -> list[tuple]:
+    """Per depth from ``root - 1`` to 0 its nodes: sorted keys, probability of a one, share of the node's own estimate."""
+    out = []
+    for d in range(root - 1, -1, -1):
+        if d < root - 1:
+            key = key & (_mask(d) & ~np.uint64(255) | np.uint64(255))
+        key, at = np.unique(key, return_inverse=True)
+        zeros, ones, children = (np.bincount(at, x, len(key)) for x in (zeros, ones, children))
+        own = log_kt(zeros, ones)
+        weighted = np.logaddexp(own, children) - np.log(2)
+        out.append((key, (ones + 0.5) / (zeros + ones + 1), np.exp(own - np.log(2) - weighted)))
+        children = weighted
+    return out
+
+
+def finish(codes: np.ndarray, p: np.ndarray, upper: list[tuple]) -> np.ndarray:
+    """log10 of the probability of each code's byte, from that of its bits in the longer contexts and the upper nodes."""
+    total = np.zeros(len(codes))
+    for level in range(8):
+        bit = ((codes >> np.uint64(7 - level)) & np.uint64(1)).astype(bool)
+        q = p[:, level].astype(float)
+        low = np.uint64(1 << level) | ((codes & np.uint64(255)) >> np.uint64(8 - level))
+        for back, (keys, one, stop) in enumerate(upper):
+            at, hit = find(keys, (codes & _mask(len(upper) - 1 - back) & ~np.uint64(255)) | low)
+            if hit.any():
+                q = _mix(q, bit, hit, one[at], stop[at])
+        total += np.log10(np.where(q >= 0, q, 0.5))
+    return total
+
+
+def _finish(upper: Broadcast):
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                codes = b.column("code").to_numpy().view(np.uint64)
+                p = np.frombuffer(b"".join(b.column("p").to_pylist()), np.float32).reshape(-1, 8)
+                yield pa.RecordBatch.from_arrays([b.column("code"), b.column("m"), pa.array(finish(codes, p, upper.value))], names=["code", "m", "value"])
+    return run
+
+
+def _from_tree(tree: Broadcast):
+    def run(batches):
+        for b in batches:
+            values = tree.value.log10(b.column("code").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([b.column("code"), b.column("m"), pa.array(values)], names=["code", "m", "value"])
     return run
 
 
-def _grams(codes, n):
-    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+def code_values(grams: DataFrame, depth: int, most_pairs: int | None = None) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """A held table with ``code, m`` of all codes, and what gives rows of it their ``value``: the log10-probability.
+
+    ``grams`` has a code once, with its count ``n`` in training and ``m`` overall. With ``most_pairs`` the model is one of
+    bounded size instead, as :func:`grow` cuts it.
+    """
+    spark = grams.sparkSession
+    if most_pairs is not None:
+        grams = hold(grams, "ctw-grams")
+        tree = spark.sparkContext.broadcast(grow(grams.where("n > 0").select("code", "n"), depth, most_pairs))
+        return grams, lambda rows: rows.select("code", "m").mapInArrow(_from_tree(tree), "code long, m long, value double")
+    root = min(ROOT, depth)
+    context = F.col("code").bitwiseAND(F.lit(((1 << 8 * root) - 1) << 8))
+    lower = hold(grams.repartition(context).mapInArrow(
+        _lower(depth, root), "code long, m long, p binary, node long, zeros double, ones double, log double"), "ctw-lower")
+    nodes = lower.where("node is not null").groupBy("node").agg(*[F.sum(c).alias(c) for c in _LOWER[4:]]).toArrow()  # bounded by the contexts of ROOT - 1 bytes
+    upper = upper_trees(nodes["node"].to_numpy().view(np.uint64), *(nodes[c].to_numpy() for c in _LOWER[4:]), root)
+    shared = spark.sparkContext.broadcast(upper)
+    return lower.where("code is not null"), lambda rows: rows.select("code", "m", "p").mapInArrow(_finish(shared), "code long, m long, value double")
+
+
+def _least(codes: DataFrame, most: int) -> int:
+    """The count from which on at most ``most`` codes have it."""
+    size = F.floor(F.log2("m") * 8)
+    sizes = {r["size"]: (r["codes"], r["least"]) for r in codes.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("codes"), F.min("m").alias("least")).collect()}  # eight rows per power of two
+    least, held = 1 << 62, 0
+    for s in sorted(sizes, reverse=True):
+        held += sizes[s][0]
+        if held > most:
+            break
+        least = sizes[s][1]
+    return least
 
 
 class _Numbers(dict):
@@ -242,24 +441,32 @@ class _Numbers(dict):
         return -1
 
 
-_PARTS = "row long, word binary, n long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+_PARTS = "row long, word binary, code long, n long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
-def _look_up(head: Broadcast, tree: Broadcast, end: tuple[float, bool]):
-    """A row per document with its score and what its frequent words and its end give, and a row per other word of it."""
+def _look_up(head: Broadcast, frequent: Broadcast, depth: int, end: tuple[float, bool]):
+    """A row per document with what its frequent codes and words and its end give, and a row per other code or word of it."""
     from pyspark import TaskContext
 
     def run(batches):
         number = _Numbers((w, i) for i, w in enumerate(head.value[0]))
         known, base = head.value[1:]
-        row = TaskContext.get().partitionId() << 36
+        table, value = frequent.value
+        row = (TaskContext.get().partitionId() << 36) + 1
         for b in batches:
-            out, score = [], np.zeros(b.num_rows)
-            for texts, codes, begin, size in coded((x.as_py() for x in b.column("body")), tree.value.depth):
-                total = np.concatenate([[0], np.cumsum(tree.value.log10(codes))])
-                np.add.at(score, texts, total[begin + size] - total[begin])
+            score = np.zeros(b.num_rows)
+            for texts, codes, begin, size in coded((x.as_py() for x in b.column("body")), depth):
+                few, back = np.unique(codes[_inside(len(codes), begin, size)], return_inverse=True)
+                text = np.repeat(texts, size)
+                at, hit = find(table, few)
+                here = np.where(hit, value[at], 0.0) if len(table) else np.zeros(len(few))
+                score += np.bincount(text, here[back], b.num_rows)
+                rare = ~hit[back]
+                if rare.any():
+                    pair, n = np.unique(text[rare] * len(few) + back[rare], return_counts=True)
+                    yield _rare_codes(row + pair // len(few), few[pair % len(few)], n)
+            out = []
             for i, held, s, body in zip(b.column("id").to_pylist(), b.column("held_out").to_pylist(), score.tolist(), b.column("body")):
-                row += 1
                 n, seen, b_sum, rest = 1, int(end[1]), end[0], Counter()
                 for ws in runs(body.as_py().lower()):
                     at = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
@@ -268,9 +475,9 @@ def _look_up(head: Broadcast, tree: Broadcast, end: tuple[float, bool]):
                     seen += int(known[hit].sum())
                     b_sum += float(base[hit].sum())
                     rest.update([ws[k] for k in np.flatnonzero(at < 0).tolist()])
-                # no word has a blank, so this key meets no row of the word table
-                out.append((row, b" %d" % row, None, i, held, n, seen, b_sum, s))
-                out.extend((row, w, k, None, None, None, None, None, None) for w, k in rest.items())
+                out.append((row, None, None, None, i, held, n, seen, b_sum, s))
+                out.extend((row, w, None, k, None, None, None, None, None, None) for w, k in rest.items())
+                row += 1
                 if len(out) > 50_000:
                     yield _parts(out)
                     out = []
@@ -279,10 +486,17 @@ def _look_up(head: Broadcast, tree: Broadcast, end: tuple[float, bool]):
     return run
 
 
+_KINDS = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+_NAMES = ["row", "word", "code", "n", "id", "held_out", "n_tokens", "n_known", "base", "score"]
+
+
 def _parts(rows):
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                      names=["row", "word", "n", "id", "held_out", "n_tokens", "n_known", "base", "score"])
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
+
+
+def _rare_codes(row, code, n):
+    have = {"row": row, "code": code.view(np.int64), "n": n}
+    return pa.RecordBatch.from_arrays([pa.array(have[c], k) if c in have else pa.nulls(len(row), k) for c, k in zip(_NAMES, _KINDS)], names=_NAMES)
 
 
 def grow(grams: DataFrame, depth: int, most: int) -> Tree:
@@ -308,7 +522,7 @@ def grow(grams: DataFrame, depth: int, most: int) -> Tree:
 
 def score(
     docs: DataFrame, held_out: Column, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text",
-    head: int = HEAD, most_pairs: int = MOST_PAIRS,
+    head: int = HEAD, most_pairs: int | None = None, head_codes: int = HEAD_CODES,
 ) -> DataFrame:
     """Per row of ``docs``: ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -316,6 +530,8 @@ def score(
     words, A-Z in lower case, and one end. ``base_score`` is the log10-probability under smoothed token counts, ``score``
     that of the same tokens under the context trees; ``-score`` per byte is the code length. Null text is empty: the end
     alone. Without training rows every bit costs one bit. Rows that repeat are scored each; a null id stays null.
+    The model has all that training has seen, unless ``most_pairs`` asks for one of bounded size. ``head`` and ``head_codes``
+    say how many words and codes are looked up in memory instead of joined; results do not depend on them.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
@@ -326,8 +542,12 @@ def score(
     ends = rows.where(~F.col("held_out")).count()
     n, v = (total or 0) + ends, kinds + (ends > 0)
 
-    grams = rows.where(~F.col("held_out")).select("body").mapInArrow(_count_grams(depth), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    tree = spark.sparkContext.broadcast(grow(grams, depth, most_pairs))
+    grams = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(_count_grams(depth), "code long, n long, m long")
+    codes, valued = code_values(grams.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), depth, most_pairs)
+    least = _least(codes, head_codes)
+    table = valued(codes.where(F.col("m") >= least)).select("code", "value").toArrow()  # head_codes at most
+    sort = np.argsort(table["code"].to_numpy().view(np.uint64))
+    known = spark.sparkContext.broadcast((table["code"].to_numpy().view(np.uint64)[sort], table["value"].to_numpy()[sort]))
 
     def base(c):
         return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
@@ -335,14 +555,15 @@ def score(
     top = words.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("c").desc(), "word").limit(head).toArrow()
     c = top["c"].to_numpy()
     frequent = spark.sparkContext.broadcast((top["word"].to_pylist(), (c > 0).astype(np.int64), base(c)))
-    parts = rows.mapInArrow(_look_up(frequent, tree, (float(base(ends)), ends > 0)), _PARTS)
+    parts = hold(rows.mapInArrow(_look_up(frequent, known, depth, (float(base(ends)), ends > 0)), _PARTS), "ctw-parts")
     rare = F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))
-    joined = parts.join(words, "word", "left").select(
-        "row", "id", "held_out",
-        F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
-        F.coalesce("n_known", F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.coalesce("base", F.col("n") * rare).alias("base"), "score")
-    return joined.groupBy("row").agg(
+    own = parts.where("n is null").select("row", "id", "held_out", "n_tokens", "n_known", "base", "score")
+    nothing = [F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("held_out")]
+    by_word = parts.where("word is not null").select("row", "word", "n").join(words, "word").select(
+        "row", *nothing, F.lit(0).alias("n_tokens"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * rare).alias("base"), F.lit(0.0).alias("score"))
+    by_code = parts.where("code is not null").select("row", "code", "n").join(valued(codes.where(F.col("m") < least)).select("code", "value"), "code").select(
+        "row", *nothing, F.lit(0).alias("n_tokens"), F.lit(0).alias("n_known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("value")).alias("score"))
+    return own.unionByName(by_word).unionByName(by_code).groupBy("row").agg(
         F.max("id").alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.sum("base").alias("base_score"), F.max("score").alias("score")).select(
+        F.sum("base").alias("base_score"), F.sum("score").alias("score")).select(
         "id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

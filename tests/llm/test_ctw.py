@@ -122,3 +122,24 @@ def test_empty_and_untrained(make):
     assert ctw.score(make([]), F.lit(False)).count() == 0
     (r,) = ctw.score(make([(1, "ab")]), F.lit(True)).collect()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (2, 0, 0) and abs(r["score"] + 24 * math.log10(2)) < 1e-9
+
+
+def test_no_pair_is_dropped(make):
+    """More (context, byte) pairs than any bound that the model used to have, most of them seen once."""
+    r = random.Random(3)
+    docs = [(i, " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(1, 40))) for _ in range(1500))) for i in range(40)]
+    docs += [(i + 100, docs[i][1][:200] + " unseen words \xff") for i in range(3)]
+    rows = ctw.score(make(docs), F.col("doc_id") >= 100, head=50, head_codes=1000).collect()
+    train = np.concatenate([ctw.codes_after(b"\n" * 6, ctw.stream(t.encode())) for i, t in docs if i < 100])
+    pairs, n = np.unique(train, return_counts=True)
+    assert len(pairs) > 1_000_000
+    tree = ctw.Tree(pairs, n.astype(float))
+    text = dict(docs)
+    for row in rows:
+        assert math.isclose(row["score"], tree.log10(ctw.codes_after(b"\n" * 6, ctw.stream(text[row["id"]].encode()))).sum(), rel_tol=1e-5)
+
+
+def test_values_do_not_depend_on_the_tables_in_memory(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    some, none = ({r["id"]: r["score"] for r in ctw.score(docs, F.col("doc_id") % 5 == 1, depth=depth, head_codes=k).collect()} for depth, k in ((4, 1 << 21), (4, 0)))
+    assert some.keys() == none.keys() and all(math.isclose(some[i], none[i], rel_tol=1e-9) for i in some)
