@@ -6,12 +6,15 @@ over both classes, so an expression that neither class has seen often costs the
 several documents separates them. A document is compared by the difference of its two log-likelihoods per byte, and by
 the same difference of its most telling words; a logistic curve, fitted on labelled documents that the counts leave out,
 turns these into a score.
+
+All n-grams of the labelled sample are a table. Each distinct word of the texts gets its difference once: n-grams of frequent
+contexts are looked up in memory, all others joined. Texts find frequent words in memory and the others by a join.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,20 +22,25 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import Index, find, runs, word_grams
+from .staging import hold
+from .words import find, runs, word_grams
 
 #: Bytes that a byte is predicted from, and one.
 ORDER = 7
-#: Labelled documents that are used at most, and n-grams that are kept at most (the most frequent ones).
+#: Labelled documents that are used at most, and n-grams that tasks look up in memory (those of the most frequent contexts).
 MOST_LABELS, MOST_GRAMS = 200_000, 1_000_000
-#: A word counts as telling from this difference on (nats); a task remembers this many words.
-TELLING, _KNOWN = 3.0, 300_000
+#: Frequent words that tasks look up in memory, none longer than this many bytes.
+HEAD, HEAD_BYTES = 1 << 17, 64
+#: A word counts as telling from this difference on (nats).
+TELLING = 3.0
 _FLUSH = 400_000
-_GROUP = 4 << 20
 
 
 def _discount(counts: np.ndarray) -> float:
-    once, twice = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
+    return _share(np.count_nonzero(counts == 1), np.count_nonzero(counts == 2))
+
+
+def _share(once: int, twice: int) -> float:
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
@@ -42,18 +50,34 @@ def _by_context(codes: np.ndarray, counts: np.ndarray):
     return contexts, at, np.bincount(at, counts, len(contexts)), np.bincount(at, counts > 0, len(contexts))
 
 
-def shared_backoff(codes: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """For each code (distinct, both classes) the Kneser-Ney probability of its byte after one context byte less."""
-    levels = [codes]
-    for m in range(order - 1, 0, -1):
-        levels.append(np.unique(levels[-1] & np.uint64((1 << 8 * m) - 1)))
-    p = np.full(1, 1 / 256)
-    below = np.zeros(1, np.uint64)
-    for m in range(1, order):
-        kept = levels[order - m]
-        longer = levels[order - m - 1] & np.uint64((1 << 8 * m) - 1)
-        count = np.bincount(np.searchsorted(kept, longer), minlength=len(kept)).astype(float)
-        d = _discount(count)
+def _levels(codes: np.ndarray, order: int, least: int = 1) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per order from ``least`` to ``order - 1`` the distinct codes and how many codes of one byte more continue each."""
+    out, longer = {}, codes
+    for m in range(order - 1, least - 1, -1):
+        kept, n = np.unique(longer & np.uint64((1 << 8 * m) - 1), return_counts=True)
+        out[m] = kept, n.astype(float)
+        longer = kept
+    return out
+
+
+class Backoff(NamedTuple):
+    """The lowest orders, which all contexts share: codes of ``SHARED`` bytes, their probabilities, and the discounts above."""
+
+    codes: np.ndarray
+    p: np.ndarray
+    discounts: dict[int, float]
+
+
+def shared_backoff(codes: np.ndarray, order: int = ORDER, start: Backoff | None = None) -> np.ndarray:
+    """For each code (distinct, both classes) the Kneser-Ney probability of its byte after one context byte less.
+
+    With ``start``, ``codes`` may be those of some contexts alone.
+    """
+    below, p, first = (start.codes, start.p, SHARED + 1) if start else (np.zeros(1, np.uint64), np.full(1, 1 / 256), 1)
+    levels = _levels(codes, order, first)
+    for m in range(first, order):
+        kept, count = levels[m]
+        d = start.discounts[m] if start else _discount(count)
         _, at, total, kinds = _by_context(kept, count)
         lower = p[np.searchsorted(below, kept & np.uint64((1 << 8 * (m - 1)) - 1))] if m > 1 else p[0]
         p = np.maximum(count - d, 0) / total[at] + d * kinds[at] / total[at] * lower
@@ -64,11 +88,11 @@ def shared_backoff(codes: np.ndarray, order: int = ORDER) -> np.ndarray:
 class Model:
     """Difference of the log-probabilities (class 1 less class 0) of a byte after its context."""
 
-    def __init__(self, codes: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, order: int = ORDER):
+    def __init__(self, codes: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, order: int = ORDER, start: Backoff | None = None):
         self.order = order
         sort = np.argsort(codes)
         self.codes = codes[sort]
-        shared = shared_backoff(self.codes, order) if len(codes) else np.empty(0)
+        shared = shared_backoff(self.codes, order, start) if len(codes) else np.empty(0)
         seen, unseen = [], []
         for counts in (ordinary[sort].astype(float), toxic[sort].astype(float)):
             d = 1.0  # what one document alone has shown counts as unseen
@@ -96,52 +120,11 @@ class Model:
         return out
 
 
-class Scorer:
-    """Features of texts in a task; the difference of each word is looked up once."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self._forget()
-
-    def _forget(self):
-        self.index, self.value, self.size = Index(), np.empty(0), np.empty(0)
-
-    def features(self, bodies: list[bytes]) -> np.ndarray:
-        """A row per text: difference per byte; the three largest of its distinct words; what the distinct words have
-        above ``TELLING`` in all, and relative to the root of their number; the logarithm of that number. All 0 without
-        words."""
-        if len(self.index) > _KNOWN:
-            self._forget()
-        coded = [self.index.codes(body, lower=True) for body in bodies]
-        new = list(islice(self.index, len(self.value), None))
-        if new:
-            self.value = np.concatenate([self.value, self.model.of_words(new)])
-            self.size = np.concatenate([self.size, np.fromiter(map(len, new), float, len(new)) + 1])
-        out = np.zeros((len(bodies), FEATURES))
-        for k, codes in enumerate(coded):
-            if len(codes):
-                few, n = np.unique(codes, return_counts=True)
-                v = self.value[few]
-                total = np.maximum(v - TELLING, 0).sum()
-                top = np.sort(v)[:-4:-1]
-                out[k, 0] = (v * n).sum() / (self.size[few] * n).sum()
-                out[k, 1:1 + len(top)] = top
-                out[k, 4:] = total, total / np.sqrt(len(few)), np.log1p(len(few))
-        return out
-
-    def of_column(self, bodies) -> np.ndarray:
-        """The features of a binary column, looked at in groups of a few megabytes."""
-        parts, group, held = [np.zeros((0, FEATURES))], [], 0
-        for x in bodies:
-            group.append(x.as_py())
-            held += len(group[-1])
-            if held > _GROUP:
-                parts.append(self.features(group))
-                group, held = [], 0
-        return np.concatenate([*parts, self.features(group)])
-
-
+#: Features of a text: difference per byte; the three largest of its distinct words; what the distinct words have above
+#: ``TELLING`` in all, and relative to the root of their number; the logarithm of that number. All 0 without words.
 FEATURES = 7
+#: Orders that are worked out for all contexts together; above, a task has all n-grams of its contexts.
+SHARED = 2
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
@@ -195,40 +178,222 @@ def _count_grams(batches):
                 names=["code", "n0", "n1"])
 
 
-def _features(model: Broadcast):
+def _continuations(batches):
+    """Per order above ``SHARED`` how many codes are continued once and twice, and how often each code of ``SHARED`` bytes is."""
+    parts = [b.column("code").to_numpy() for b in batches if b.num_rows]
+    if parts:
+        levels = _levels(np.concatenate(parts).view(np.uint64), ORDER, SHARED)
+        for m, (kept, n) in levels.items():
+            low = m == SHARED
+            code, once, twice = (kept, n, n * 0) if low else ([0], [np.count_nonzero(n == 1)], [np.count_nonzero(n == 2)])
+            yield pa.RecordBatch.from_arrays([pa.array([m] * len(code), pa.int32()), *[pa.array(np.asarray(x).astype(np.int64)) for x in (code, once, twice)]],
+                                             names=["size", "code", "once", "twice"])
+
+
+def _differences(start: Broadcast):
+    """A row per n-gram and one per context (no code) with its difference; both have the documents of the context."""
+    def run(batches):
+        parts = [[b.column(c).to_numpy() for c in ("code", "n0", "n1")] for b in batches if b.num_rows]
+        if parts:
+            codes, n0, n1 = (np.concatenate(x) for x in zip(*parts))
+            codes = codes.view(np.uint64)
+            model = Model(codes, n0, n1, ORDER, start.value)
+            _, at, total, kinds = _by_context(model.codes, (n0 + n1)[np.argsort(codes)])
+            for context, code, value, docs, grams in (
+                    (model.contexts[at], pa.array(model.codes.view(np.int64)), model.seen, total[at], 1),
+                    (model.contexts, pa.nulls(len(model.contexts), pa.int64()), model.unseen, total, 0)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(context.view(np.int64)), code, pa.array(value.astype(float)), pa.array(docs.astype(np.int64)), pa.array(np.full(len(context), grams, np.int64))],
+                    names=["context", "code", "value", "docs", "grams"])
+    return run
+
+
+class Differences(NamedTuple):
+    """The differences of all n-grams as a table, those of frequent contexts as a broadcast, and what the latter lacks."""
+
+    head: Broadcast
+    rest: DataFrame | None
+
+
+def learn(grams: DataFrame, most_grams: int = MOST_GRAMS) -> Differences:
+    """The model of all ``grams`` (``code, n0, n1``); the most frequent contexts, up to ``most_grams`` n-grams, in memory."""
+    spark = grams.sparkSession
+    grams = hold(grams, "toxicity-grams")
+    dealt = grams.repartition(F.col("code").bitwiseAND(F.lit(((1 << 8 * SHARED) - 1) << 8)))
+    rows = dealt.select("code").mapInArrow(_continuations, "size int, code long, once long, twice long").groupBy("size", "code").agg(
+        F.sum("once").alias("once"), F.sum("twice").alias("twice")).toArrow().sort_by("code")  # 256 ^ SHARED rows at most
+    size, code, once, twice = (rows[c].to_numpy() for c in rows.column_names)
+    low = size == SHARED
+    below, count = code[low].view(np.uint64), once[low].astype(float)
+    levels = _levels(below, SHARED) | {SHARED: (below, count)}
+    p, codes = np.full(1, 1 / 256), np.zeros(1, np.uint64)
+    for m in range(1, SHARED + 1) if len(below) else ():
+        kept, n = levels[m]
+        d = _discount(n)
+        _, at, total, kinds = _by_context(kept, n)
+        lower = p[np.searchsorted(codes, kept & np.uint64((1 << 8 * (m - 1)) - 1))] if m > 1 else p[0]
+        p = np.maximum(n - d, 0) / total[at] + d * kinds[at] / total[at] * lower
+        codes = kept
+    discounts = {m: _share(int(once[size == m].sum()), int(twice[size == m].sum())) for m in range(SHARED + 1, ORDER)}
+    start = spark.sparkContext.broadcast(Backoff(codes, p, discounts))
+    table = hold(dealt.mapInArrow(_differences(start), "context long, code long, value double, docs long, grams long"), "toxicity-differences")
+    sizes = {r["size"]: r for r in table.groupBy(F.floor(F.log2("docs") * 8).alias("size")).agg(F.sum("grams").alias("grams"), F.min("docs").alias("least")).collect()}  # eight rows per power of two
+    least, held, whole = 1 << 62, 0, True
+    for k in sorted(sizes, reverse=True):
+        held += sizes[k]["grams"]
+        if held > most_grams:
+            whole = False
+            break
+        least = sizes[k]["least"]
+    head = table.where(F.col("docs") >= least).select("context", "code", "value").toArrow().sort_by([("context", "ascending")])
+    known = head["code"].is_valid().to_numpy()
+    seen = _sorted(head["code"].filter(pa.array(known)).to_numpy(), head["value"].to_numpy()[known])
+    contexts = _sorted(head["context"].to_numpy()[~known], head["value"].to_numpy()[~known])
+    return Differences(spark.sparkContext.broadcast((*seen, *contexts)), None if whole else table.where(F.col("docs") < least))
+
+
+def _sorted(codes, values):
+    sort = np.argsort(codes.view(np.uint64))
+    return codes.view(np.uint64)[sort], values[sort]
+
+
+def _list_words(batches):
+    """Texts that have a word."""
+    seen: Counter = Counter()
+
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+
+    for b in batches:
+        for body in b.column("body"):
+            seen.update({w for ws in runs(body.as_py().lower()) for w in ws})
+            if len(seen) > _FLUSH:
+                yield rows()
+                seen = Counter()
+    yield rows()
+
+
+def _sum_words(head: Broadcast, whole: bool):
+    """A row per word with what its n-grams of frequent contexts give, and unless these are all a row per other n-gram."""
     def run(batches):
-        scorer = Scorer(model.value)
+        codes, seen, contexts, unseen = head.value
         for b in batches:
-            x = scorer.of_column(b.column("body"))
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["toxic", "x"])
+            words, number = b.column("word").to_pylist(), b.column("number").to_numpy()
+            for k in range(0, len(words), 50_000):
+                part = words[k:k + 50_000]
+                asked, word = word_grams(part, ORDER)
+                few, back = np.unique(asked, return_inverse=True)
+                at, known = find(contexts, few >> np.uint64(8))
+                value = np.zeros(len(few))
+                if known.any():
+                    i, hit = find(codes, few)
+                    value = np.where(hit, seen[i], np.where(known, unseen[at], 0))
+                sums = np.bincount(word, value[back], len(part))
+                yield pa.RecordBatch.from_arrays([pa.array(number[k:k + 50_000]), pa.nulls(len(part), pa.int64()), pa.array(sums)], names=["number", "code", "value"])
+                open_ = ~known[back]
+                if not whole and open_.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(number[k:k + 50_000][word[open_]]), pa.array(asked[open_].view(np.int64)), pa.nulls(int(open_.sum()), pa.float64())],
+                                                     names=["number", "code", "value"])
     return run
 
 
-def _scores(model: Broadcast, scale: np.ndarray, weights: np.ndarray):
+def word_values(words: DataFrame, model: Differences) -> DataFrame:
+    """``word, n, value``: the difference of each word of ``words`` (``word, n``), summed over its bytes and its end."""
+    words = hold(words.withColumn("number", F.monotonically_increasing_id()), "toxicity-words")
+    sums = words.mapInArrow(_sum_words(model.head, model.rest is None), "number long, code long, value double")
+    if model.rest is None:
+        return words.join(sums.select("number", "value"), "number").select("word", "n", "value")
+    sums = hold(sums, "toxicity-sums")
+    seen = model.rest.where("code is not null").select("code", F.col("value").alias("seen"))
+    unseen = model.rest.where("code is null").select("context", F.col("value").alias("unseen"))
+    asked = sums.where("code is not null").select("code").distinct().withColumn("context", F.shiftrightunsigned("code", 8))
+    found = asked.join(unseen, "context").join(seen, "code", "left").select("code", F.coalesce("seen", "unseen").alias("value"))  # other contexts give 0
+    rest = sums.where("code is not null").select("number", "code").join(found, "code").select("number", "value")
+    total = sums.where("code is null").select("number", "value").unionByName(rest).groupBy("number").agg(F.sum("value").alias("value"))
+    return words.join(total, "number").select("word", "n", "value")
+
+
+class _Numbers(dict):
+    def __missing__(self, word):
+        return -1
+
+
+def _look_up(head: Broadcast):
+    """A row per text with what its frequent words give, and a row per other distinct word of it."""
+    from pyspark import TaskContext
+
+    kinds = {"row": pa.int64(), "word": pa.binary(), "n": pa.int64(), "total": pa.float64(), "size": pa.int64(), "top": pa.list_(pa.float64()), "telling": pa.float64(), "id": pa.int64()}
+
     def run(batches):
-        scorer = Scorer(model.value)
+        words, value = head.value
+        number = _Numbers((w, i) for i, w in enumerate(words))
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        row = TaskContext.get().partitionId() << 36
         for b in batches:
-            x = scorer.of_column(b.column("body"))
-            z = np.column_stack([x / scale, np.ones(len(x))]) @ weights
-            names = [c for c in b.schema.names if c != "body"]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in names], pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], names=[*names, "score"])
+            own, rest = [], []
+            carried = b.column("carried").type if "carried" in b.schema.names else None
+            for body in b.column("body"):
+                row += 1
+                seen = Counter()
+                for ws in runs(body.as_py().lower()):
+                    seen.update(ws)
+                at = np.fromiter(map(number.__getitem__, seen), np.int64, len(seen))
+                n = np.fromiter(seen.values(), np.int64, len(seen))
+                hit = at >= 0
+                v = value[at[hit]]
+                own.append((row, None, int(hit.sum()), float((v * n[hit]).sum()), int((size[at[hit]] * n[hit]).sum()), np.sort(v)[:-4:-1].tolist(), float(np.maximum(v - TELLING, 0).sum())))
+                rest.extend((row, w, k) for (w, k), h in zip(seen.items(), hit.tolist()) if not h)
+                if len(rest) > 50_000:
+                    yield rare(rest, carried)
+                    rest = []
+            if rest:
+                yield rare(rest, carried)
+            if own:
+                columns = [pa.array(c, k) for c, k in zip(zip(*own), kinds.values())] + [b.column("id")]
+                yield pa.RecordBatch.from_arrays(columns + ([b.column("carried")] if carried is not None else []), names=[*kinds] + ["carried"] * (carried is not None))
+
+    def rare(rows, carried):
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())]
+        columns += [pa.nulls(len(rows), k) for k in list(kinds.values())[3:]] + ([pa.nulls(len(rows), carried)] if carried is not None else [])
+        return pa.RecordBatch.from_arrays(columns, names=[*kinds] + ["carried"] * (carried is not None))
     return run
 
 
+def _features(rows: DataFrame, model: Differences, head: int = HEAD) -> DataFrame:
+    """``id, x`` and ``carried`` if there is one per row of ``rows`` (``id, body``); ``x`` are the features."""
+    spark = rows.sparkSession
+    words = rows.select("body").mapInArrow(_list_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    values = hold(word_values(words, model), "toxicity-values")
+    top = values.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("n").desc(), "word").limit(head).toArrow()
+    frequent = spark.sparkContext.broadcast((top["word"].to_pylist(), top["value"].to_numpy()))
+    carry = ["carried"] if "carried" in rows.columns else []
+    extra = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
+    parts = hold(rows.mapInArrow(
+        _look_up(frequent), f"row long, word binary, n long, total double, size long, top array<double>, telling double, id long{extra}"), "toxicity-parts")
+    v, n = F.col("value"), F.col("k")
+    rest = parts.where("word is not null").select("row", "word", F.col("n").alias("k")).join(values.select("word", "value"), "word").groupBy("row").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(v * n).alias("_total"), F.sum((F.octet_length("word") + 1) * n).alias("_size"),
+        F.slice(F.sort_array(F.collect_list(v), False), 1, 3).alias("_top"), F.sum(F.greatest(v - TELLING, F.lit(0.0))).alias("_telling"))
+    both = parts.where("word is null").join(rest, "row", "left")
+    n, total, size, telling = (F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("n", "total", "size", "telling"))
+    best = F.sort_array(F.concat("top", F.coalesce("_top", F.array().cast("array<double>"))), False)
+    tops = [F.coalesce(F.get(best, F.lit(i)), F.lit(0.0)) for i in range(3)]
+    x = F.array(total / F.greatest(size, F.lit(1)), *tops, telling, telling / F.sqrt(F.greatest(n, F.lit(1))), F.log1p(n))
+    return both.select("id", x.alias("x"), *carry)
+
+
 def _body(text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        most_labels: int = MOST_LABELS, most_grams: int = MOST_GRAMS) -> tuple[Model, np.ndarray, np.ndarray]:
+        most_labels: int = MOST_LABELS, most_grams: int = MOST_GRAMS) -> tuple[Differences, np.ndarray, np.ndarray]:
     """The model and the logistic curve, from labelled documents outside fold 0: folds 2-4 are counted, fold 1 fits the
     curve.
 
-    ``most_labels`` labelled documents are used, chosen by a hash of the id, and the ``most_grams`` n-grams that most
-    documents have. Null labels and ids are left out; an id with several labels has the largest.
+    ``most_labels`` labelled documents are used, chosen by a hash of the id, with all their n-grams; ``most_grams`` of these
+    are looked up in memory and the others joined, which changes no result. Null labels and ids are left out; an id with several labels has the largest.
     """
-    spark = docs.sparkSession
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where(
         "id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic")).where(fold(F.col("id")) != 0)
     n = known.count()
@@ -239,10 +404,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words = train.where(fold(F.col("id")) > 1).select("toxic", "body").mapInArrow(_count_words, "word binary, n0 long, n1 long")
     words = words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     grams = words.mapInArrow(_count_grams, "code long, n0 long, n1 long").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    table = grams.orderBy((F.col("n0") + F.col("n1")).desc(), "code").limit(most_grams).toArrow()
-    model = Model(table["code"].to_numpy().view(np.uint64), table["n0"].to_numpy(), table["n1"].to_numpy())
-    shared = spark.sparkContext.broadcast(model)
-    rows = train.where(fold(F.col("id")) == 1).select("toxic", "body").mapInArrow(_features(shared), "toxic int, x array<double>").toArrow()
+    model = learn(grams, most_grams)
+    fold_one = train.where(fold(F.col("id")) == 1).select("id", "body", F.struct("toxic").alias("carried"))
+    rows = _features(fold_one, model).select("carried.toxic", "x").toArrow()
     y = rows["toxic"].to_numpy().astype(float)
     if len(y) and 0 < y.mean() < 1:
         scale, weights = logistic(np.array(rows["x"].to_pylist()), y)
@@ -252,15 +416,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model, scale, weights
 
 
-def score(docs: DataFrame, fitted: tuple[Model, np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
+def score(docs: DataFrame, fitted: tuple[Differences, np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
           carry: tuple[str, ...] = ()) -> DataFrame:
     """``id, score`` per row, from the whole text alone; null is empty and scores as a text without words. ``carry`` names
-    columns that come along in a struct ``carried``. Nothing is shuffled."""
+    columns that come along in a struct ``carried``."""
     model, scale, weights = fitted
     columns = [F.col(f"`{id_col}`").cast("long").alias("id"), _body(text_col).alias("body")]
     if carry:
         columns.append(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"))
-    rows = docs.select(*columns)
-    extra = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_scores(shared, scale, weights), f"id long{extra}, score double")
+    z = F.lit(float(weights[-1]))
+    for k in range(FEATURES):
+        z = z + F.col("x")[k] * float(weights[k] / scale[k])
+    z = F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))
+    scored = _features(docs.select(*columns), model)
+    return scored.select("id", *["carried"] * bool(carry), (1 / (1 + F.exp(-z))).alias("score"))

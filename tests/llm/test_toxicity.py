@@ -42,3 +42,24 @@ def test_shared_backoff_sums_to_one():
     every = np.sort(np.unique(np.concatenate([codes, (ctx << np.uint64(8)) | np.arange(256, dtype=np.uint64)])))
     p = toxicity.shared_backoff(codes, 3)
     assert (p > 0).all() and (p < 1).all() and len(every) >= 256
+
+
+def test_no_ngram_is_dropped(spark, medium):
+    """The bound is one of memory: scores do not depend on it, and differences are those of the model of all n-grams."""
+    docs, labels = (spark.read.parquet(f"{medium}/{t}.parquet") for t in ("documents", "labels"))
+    some, few = ({r["id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels, most_grams=most)).collect()} for most in (1_000_000, 2_000))
+    assert some.keys() == few.keys() and all(abs(some[i] - few[i]) < 1e-9 for i in some)
+
+
+def test_word_values_against_the_whole_model(spark):
+    words = [b"abra", b"cadabra", b"abracadabra", b"bar", b"car", b"cart", b"scar"] * 3
+    codes, word = word_grams(words, toxicity.ORDER)
+    few, back = np.unique(codes, return_inverse=True)
+    n0, n1 = np.bincount(back, word % 3), np.bincount(back, word % 2)
+    asked = [b"abra", b"carbar", b"zzz", b"scart", b"cadab"]
+    expected = toxicity.Model(few, n0, n1).of_words(asked)
+    grams = spark.createDataFrame([(int(c), int(a), int(b)) for c, a, b in zip(few.view(np.int64), n0, n1)], "code long, n0 long, n1 long")
+    listed = spark.createDataFrame([(bytearray(w), 1) for w in asked], "word binary, n long")
+    for most in (1_000_000, 20, 0):
+        got = {bytes(r["word"]): r["value"] for r in toxicity.word_values(listed, toxicity.learn(grams, most)).collect()}
+        assert np.allclose([got[w] for w in asked], expected, atol=1e-6)
