@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, ctw, exact, hilbert, neardup, packing, substring, toxicity, warc
+from . import ann, bpe, ctw, exact, hilbert, mixing, neardup, packing, substring, toxicity, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,29 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op6_multi_index_hashing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op11_source_mix", r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+r AS (SELECT doc_id AS rated, max(quality) AS rating FROM labels GROUP BY 1),
+s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS place FROM d GROUP BY 1),
+w AS (SELECT *, 1 + (place - 1) % 3 AS weight, 3 * source_size AS cap, sum(source_size) OVER () AS total, sum(1 + (place - 1) % 3) OVER () AS heads FROM s),
+o AS (SELECT *, coalesce(sum(cap) OVER before, 0) AS gone, coalesce(sum(weight) OVER before, 0) AS settled FROM w
+      WINDOW before AS (ORDER BY cap::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, cap * (heads - settled) <= weight * (total - gone) AS full_ FROM o),
+t AS (SELECT source, source_size, weight, cap, full_, total - coalesce(sum(cap) FILTER (WHERE full_) OVER (), 0) AS rest_total,
+             heads - coalesce(sum(weight) FILTER (WHERE full_) OVER (), 0) AS rest_weight FROM f),
+b AS (SELECT source, source_size, CASE WHEN full_ THEN cap::DOUBLE ELSE (weight * rest_total)::DOUBLE / rest_weight::DOUBLE END AS target,
+             CASE WHEN full_ THEN cap ELSE weight * rest_total // rest_weight END AS budget FROM t),
+e AS (SELECT *, budget // greatest(source_size, 1) AS epochs, budget % greatest(source_size, 1) AS rest FROM b),
+k AS (SELECT doc_id, size, e.*, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656::DOUBLE)
+        / CASE WHEN rated IS NULL THEN 1.0::DOUBLE WHEN rating > 0 THEN 3.0::DOUBLE ELSE 0.5::DOUBLE END AS key
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source LEFT JOIN r ON doc_id = rated),
+p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       (epochs * size + greatest(least(rest - before, size), 0))::BIGINT AS taken FROM p""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    good = F.when(F.col("quality") > 0, 3.0).otherwise(0.5)
+    ratings = _table(spark, folder, "labels").select(F.col("doc_id").alias("id"), good.alias("quality"))
+    mixed = mixing.mix(_table(spark, folder, "documents"), ratings=ratings)
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

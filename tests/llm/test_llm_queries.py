@@ -9,7 +9,7 @@ from shelfseries.llm.queries import QUERIES, SQL
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small}/{t}.parquet'")
     frame = QUERIES[name](spark, small)
     cursor = con.execute(SQL[name])
@@ -26,6 +26,7 @@ COLUMNS = {
     3: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], 4: ["doc_id", "n_shingles", "component_id", "kept"],
     5: ["doc_id", "keep_id", "group_size", "kept", "text_sha256"], 6: ["query_id", "rank", "vec_id", "score"],
     7: ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"], 8: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    11: ["doc_id", "size", "source_size", "target", "taken"],
     9: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], 10: ["doc_id", "n_words", "n_removed", "kept_sha256"],
 }
 
