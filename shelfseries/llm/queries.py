@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, ctw, exact, hilbert, mixing, neardup, packing, substring, toxicity, warc
+from . import ann, audit, bpe, ctw, exact, hilbert, mixing, neardup, packing, substring, toxicity, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,30 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     ratings = _table(spark, folder, "labels").select(F.col("doc_id").alias("id"), good.alias("quality"))
     mixed = mixing.mix(_table(spark, folder, "documents"), ratings=ratings)
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@_query("op12_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS (SELECT k, lang, source, unnest(terms) AS term FROM d),
+keep AS (SELECT lang, term, count(*) AS total FROM w GROUP BY 1, 2 HAVING count(DISTINCT k) >= 3),
+v AS (SELECT lang, count(*) AS kept, sum(total) AS words FROM keep GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN keep USING (lang, term) GROUP BY 1, 2, 3),
+gn AS (SELECT lang, source, coalesce(sum(n), 0) AS words FROM g LEFT JOIN c USING (lang, source) GROUP BY 1, 2),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (total + 1) // (words + kept) AS q FROM keep JOIN v USING (lang)),
+p AS (SELECT gn.lang, gn.source, keep.term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (gn.words + v.kept) AS p
+      FROM gn JOIN v ON gn.lang = v.lang JOIN keep ON gn.lang = keep.lang
+      LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = keep.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL
+      SELECT p.lang, p.source, 'term', p.term, (p - q) * (p - q) // q FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, part, item, value::BIGINT AS value,
+             CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM f)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.divergence(_table(spark, folder, "documents"))
