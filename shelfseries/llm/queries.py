@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, audit, bpe, ctw, exact, hilbert, mixing, neardup, packing, substring, toxicity, warc
+from . import ann, audit, bpe, ctw, exact, hilbert, mixing, neardup, packing, resampling, substring, toxicity, warc
 from .staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,8 @@ r AS (SELECT lang, source, part, item, value::BIGINT AS value,
 SELECT * FROM r WHERE part = 'pair' OR rank <= 200""")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return audit.divergence(_table(spark, folder, "documents"))
+
+
+@_query("op13_target_resampling")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")

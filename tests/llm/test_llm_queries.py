@@ -26,7 +26,7 @@ COLUMNS = {
     3: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], 4: ["doc_id", "n_shingles", "component_id", "kept"],
     5: ["doc_id", "keep_id", "group_size", "kept", "text_sha256"], 6: ["query_id", "rank", "vec_id", "score"],
     7: ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"], 8: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-    12: ["lang", "source", "part", "item", "value", "rank"],
+    13: ["doc_id", "n_features", "weight", "score", "rank"], 12: ["lang", "source", "part", "item", "value", "rank"],
     11: ["doc_id", "size", "source_size", "target", "taken"],
     9: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], 10: ["doc_id", "n_words", "n_removed", "kept_sha256"],
 }
