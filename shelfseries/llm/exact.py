@@ -56,11 +56,18 @@ def classes(
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose id is the smallest of their text; one row where such a row
-    repeats. Rows without an id cannot be told apart and all stay."""
+    repeats. Rows without an id cannot be told apart and all stay. An empty table stays empty.
+
+    What goes is decided on (id, fingerprint) alone; the documents meet that list once, as they are.
+    """
     ident = F.col(f"`{id_col}`")
-    keep = classes(docs, id_col, text_col).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_fp")).distinct()
+    rows = classes(docs, id_col, text_col).where("doc_id is not null").groupBy("doc_id", "text_sha256", "kept").agg(F.count(F.lit(1)).alias("n"))
+    odd = hold(rows.where("not kept or n > 1"), "exact-decisions")
+    key = (F.col("id") == F.col("doc_id")) & (F.col("fp") == F.col("text_sha256"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     marked = docs.select(whole, ident.alias("id"), F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256).alias("fp"))
-    with_id = marked.join(keep, (F.col("id") == F.col("keep_id")) & (F.col("fp") == F.col("keep_fp")), "left_semi")
-    return with_id.dropDuplicates(["id", "fp"]).select("doc.*").unionByName(docs.where(ident.isNull()))
+    stay = marked.join(odd.where("not kept").select("doc_id", "text_sha256"), key, "left_anti")
+    again = odd.where("kept and n > 1").select("doc_id", "text_sha256")
+    if not again.isEmpty():
+        stay = stay.join(again, key, "left_anti").unionByName(stay.join(again, key, "left_semi").dropDuplicates(["id", "fp"]))
+    return stay.select("doc.*")

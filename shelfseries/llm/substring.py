@@ -206,6 +206,7 @@ def cells_for(docs: DataFrame) -> int:
 
 def cut_repeats(
     docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), cells: int | None = None,
+    changed_only: bool = False,
 ) -> DataFrame:
     """Per row of ``docs``: ``id, n_words, n_removed, kept`` (UTF-8 bytes of the kept words, joined by one space), and a
     struct ``carried`` of the columns named in ``carry``.
@@ -213,7 +214,8 @@ def cut_repeats(
     A word goes when a window of ``width`` words covers it whose words also stand in a row with a smaller id; windows
     are judged on the input. Null text has no words. A row without an id loses nothing and counts for nothing; rows that
     share an id must share the text and take nothing from each other. Documents with the same word sequence as a smaller id are grouped by
-    SHA-256 and lose all words at once; their windows are not listed. An empty table gives no rows.
+    SHA-256 and lose all words at once; their windows are not listed. An empty table gives no rows. With ``changed_only``
+    rows that lose no word are left out, and texts without a suspected window are not written at all.
     """
     columns = [F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b"")).alias("body")]
     if carry:
@@ -242,4 +244,28 @@ def cut_repeats(
         _cut(width), f"id long{extra}, n_words long, n_removed long, kept binary")
     n = F.size(F.split(F.btrim(F.regexp_replace(F.col("body").cast("string"), r"[\x20\x09-\x0D]+", " ")), " ")).cast("long")
     whole = suspects.join(copies, "id", "left_semi").select(*keep, n.alias("n_words"), n.alias("n_removed"), F.lit(b"").alias("kept"))
+    if changed_only:
+        return cut.unionByName(whole).where("n_removed > 0")
     return clean.unionByName(cut).unionByName(whole)
+
+
+def without_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs``, all columns unchanged but ``text_col``, and ``chars_col`` if there is one: a text that loses words
+    by :func:`cut_repeats` becomes its kept words, joined by one space, other texts stay as they are.
+
+    Only changed texts come back from the operator; they join the documents by id and the text's hash, which may be stored
+    by then. Rows without an id stay as they are; rows that repeat are cut alike; an empty table stays empty.
+    """
+    def mark(text):
+        return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+    text = F.col(f"`{text_col}`")
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), mark(text).alias("hash"))
+    cut = cut_repeats(slim, width, "id", "text", ("hash",), changed_only=True)
+    cut = hold(cut.select("id", F.col("carried.hash").alias("hash"), F.col("kept").cast("string").alias("kept")).dropDuplicates(["id", "hash"]), "substring-changed")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").cast("long").alias("own"), mark(text).alias("mark"))
+    joined = whole.join(cut, (F.col("own") == F.col("id")) & (F.col("mark") == F.col("hash")), "left").select("doc", "kept")
+    new = {text_col: F.col("kept"), chars_col: F.length("kept")}
+    return joined.select(*[
+        F.when(F.col("kept").isNull(), F.col(f"doc.`{c}`")).otherwise(new[c].cast(docs.schema[c].dataType)).alias(c) if c in new else F.col(f"doc.`{c}`")
+        for c in docs.columns])

@@ -430,3 +430,18 @@ def score(docs: DataFrame, fitted: tuple[Differences, np.ndarray, np.ndarray], i
     z = F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))
     scored = _features(docs.select(*columns), model)
     return scored.select("id", *["carried"] * bool(carry), (1 / (1 + F.exp(-z))).alias("score"))
+
+
+def drop(docs: DataFrame, fitted: tuple[Differences, np.ndarray, np.ndarray], at_least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, whose text scores below ``at_least``.
+
+    A score depends on the text alone, so it is decided on the text's 128-bit hash: only hashes go through the scoring
+    joins, and the documents meet the list of rejected hashes once, as they are. Null is empty; rows that repeat share
+    their fate; an empty table stays empty.
+    """
+    text = _body(text_col)
+    slim = docs.select(F.lit(0).alias("id"), text.alias("body"), F.unhex(F.md5(text)).alias("hash"))
+    rejected = score(slim, fitted, "id", "body", carry=("hash",)).where(F.col("score") >= at_least)
+    rejected = hold(rejected.select(F.col("carried.hash").alias("hash")).distinct(), "toxicity-rejected")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.unhex(F.md5(text)).alias("own"))
+    return whole.join(rejected, F.col("own") == F.col("hash"), "left_anti").select("doc.*")
