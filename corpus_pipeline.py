@@ -1,13 +1,17 @@
 """From raw documents to packed sequences: the stages of the corpus pipeline, each on all rows that the one before kept.
 
-All stages but the last return the columns of ``documents``. A stage's result is written as a table before the next one
-begins, so a lost executor costs one stage at most.
+All stages but the last return the columns of ``documents``, whatever their names. A stage decides on ids and hashes of texts;
+the documents themselves meet its decisions in one join and pass through no Python. A stage's result is written as a table
+before the next one begins, so a lost executor costs one stage at most.
+
+Null texts are empty: they are scored, are copies of each other, have no near copies and pack into one end token. Rows without
+an id are never copies and lose no passage; they stay until the last stage. Rows that repeat an id and a text count as
+exact copies of which one stays. Empty tables give empty tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfseries.llm import exact, neardup, packing, substring, toxicity
 from shelfseries.llm.staging import hold
@@ -16,8 +20,7 @@ from shelfseries.llm.staging import hold
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, learned from the labelled ones among them, does not call toxic."""
     fitted = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, fitted, carry=tuple(docs.columns))
-    return scored.where("score < 0.5").select("carried.*")
+    return toxicity.drop(docs, fitted)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 50-word windows that a document with a smaller id has; other texts stay as they are."""
-    cut = substring.cut_repeats(docs, carry=tuple(docs.columns))
-    text = F.when(F.col("n_removed") == 0, F.col("carried.text")).otherwise(F.col("kept").cast("string"))
-    changed = cut.select("n_removed", "carried.*", text.alias("_text"))
-    new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("_text"))}
-    return changed.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return substring.without_repeats(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
