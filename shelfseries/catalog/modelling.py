@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..forecast import boosted, models
-from ..operators import anomaly, clean, rollup, segment, tsstats
+from ..operators import anomaly, clean, forest, rollup, segment, tsstats
 from ..plans import report, star
 from ..sources.staging import hold
 from .base import query, rounded
@@ -111,6 +111,13 @@ def forest_scores(spark, folder):
     return anomaly.forest_scores(_weekly(spark, folder, "Region"), REGION)
 
 
+@query("transaction_forest")
+def transaction_forest(spark, folder):
+    """Order lines whose amount is easiest to isolate: one series of all lines, without keys."""
+    lines = star.sales(spark, folder, "Order ID", "Order Date", "Region", "Sales")
+    return forest.forest_scores(lines, contamination=0.01).where("Anomaly_IForest = 1")
+
+
 @query("weekly_anomalies")
 def weekly_anomalies(spark, folder):
     return anomaly.detect_anomalies(_weekly(spark, folder, "Region"), REGION)

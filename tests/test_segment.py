@@ -84,6 +84,34 @@ def test_kmeans_finds_separated_groups_of_uneven_size(spark):
     assert (labels.c.to_numpy() == np.argmin(((labels[segment.SCALED].to_numpy()[:, None, :] - found[None]) ** 2).sum(axis=2), axis=1)).all()
 
 
+def test_seeds_reach_small_groups_of_a_large_table(spark):
+    """A group of 12 rows among 60,000 is too small for any uniform sample of a few thousand rows."""
+    rng = np.random.default_rng(7)
+    x = np.vstack([rng.normal(0, 1, (60_000, 2)), rng.normal(0, 0.01, (12, 2)) + [60, 60], rng.normal(0, 0.01, (12, 2)) + [-60, 60]])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"])).repartition(6)
+    pools = kmeans._candidates(df, ["a", "b"], 3, 2, 42)
+    for rows, weight in pools:
+        assert weight.sum() == len(x) and len(rows) <= (kmeans.ROUNDS + 1) * kmeans.OVERSAMPLE * 3
+        assert (rows[:, 0] > 50).any() and (rows[:, 0] < -50).any()
+    found, _ = kmeans.fit_many(df, ["a", "b"], [3], 2, 42)[3]
+    assert sorted(np.round(found[:, 0]).tolist()) == [-60, 0, 60]
+
+
+def test_seeds_do_not_depend_on_the_layout(spark):
+    x, df, _ = blobs(spark)
+    one, many = (kmeans._candidates(t, segment.SCALED, 4, 2, 42) for t in (df.coalesce(1), df.repartition(7)))
+    for (a, n), (b, m) in zip(one, many):
+        assert np.array_equal(a, b) and np.array_equal(n, m)
+
+
+def test_few_distinct_points(spark):
+    df = spark.createDataFrame([(1.0, 1.0)] * 5 + [(2.0, 2.0)], "a double, b double")
+    found, cost = kmeans.fit_many(df, ["a", "b"], [1, 4], 2, 42)[4]
+    assert len(found) == 2 and cost == pytest.approx(0)
+    with pytest.raises(ValueError):
+        kmeans.fit_many(df.limit(0), ["a", "b"], [2], 1, 42)
+
+
 def test_elbow(spark):
     x, df, _ = blobs(spark)
     table = segment.elbow(df, 6, 5).toPandas().set_index("k").Inertia
