@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..forecast import boosted, models
 from ..operators import anomaly, clean, forest, rollup, segment, tsstats
 from ..plans import report, star
-from ..sources.staging import hold
+from ..sources.staging import hold, new_path
 from .base import query, rounded
 
 REGION = ("Region",)
@@ -53,7 +53,7 @@ def forecast_boosted(spark, folder):
 
 @query("forecast_pooled_boosting")
 def forecast_pooled_boosting(spark, folder):
-    return boosted.pooled_boosting(_monthly(spark, folder, "Region"), REGION, horizon=3, trees=20)
+    return boosted.pooled_boosting(_monthly(spark, folder, "Region"), REGION, horizon=3)
 
 
 def _evaluated(spark, folder, *keys):
@@ -83,6 +83,16 @@ def best_model_forecast(spark, folder):
     return models.best_forecast(evaluated, best, REGION, horizon=6)
 
 
+@query("stored_model_forecast")
+def stored_model_forecast(spark, folder):
+    """The same six months from the stored parameters of the best models: no series is fitted to predict them."""
+    panel = hold(_monthly(spark, folder, "Region"), "panel")
+    best = models.best_models(models.comparison(hold(models.evaluate(panel, REGION), "evaluation"), REGION), REGION)
+    path = models.save_models(models.fit_models(panel, REGION), new_path(spark, "models"), best, REGION)
+    ahead = models.predict(models.load_models(spark, path), REGION, horizon=6)
+    return ahead.select("Region", "Model", "step", "Date", "Forecast", "Lower_CI", "Upper_CI")
+
+
 @query("forecast_display")
 def forecast_display(spark, folder):
     return models.display_forecast(models.forecast(_monthly(spark, folder, "Region"), REGION, "TrendSeasonal", 6), REGION)

@@ -97,7 +97,7 @@ def _grow(rank: np.ndarray, edge: np.ndarray, gradient: np.ndarray) -> tuple[np.
 
 def _walk(tree: tuple, x: np.ndarray) -> np.ndarray:
     """Leaf value of (B, features) rows."""
-    feature, threshold, value, _ = tree
+    feature, threshold, value = tree[:3]
     index = np.arange(len(x))
     place = np.zeros(len(x), dtype=np.int64)
     for _ in range(DEPTH):
@@ -107,33 +107,44 @@ def _walk(tree: tuple, x: np.ndarray) -> np.ndarray:
     return value[index, place]
 
 
-def boosted_batch(y: np.ndarray, start: np.datetime64, horizon: int):
-    """Recursive forecast and bounds (1.96 training-residual deviations) of (B, n) monthly series."""
+def boosted_fit(y: np.ndarray, start: np.datetime64) -> np.ndarray:
+    """(B, m) fitted models of (B, n) monthly series: base, residual deviation, last values, and all nodes of all trees."""
     n = y.shape[1]
     if n <= LAGS:
         raise ValueError(f"needs more than {LAGS} months, has {n}")
-    first = start.astype("datetime64[M]").astype(int)
-    month = (first + np.arange(n + horizon)) % 12 + 1
-    x, target = _features(y, month[:n]), y[:, LAGS:]
+    month = (start.astype("datetime64[M]").astype(int) + np.arange(n)) % 12 + 1
+    x, target = _features(y, month), y[:, LAGS:]
     rank, edge = _bins(x)
     base = target.mean(axis=1)
     fitted = np.repeat(base[:, None], target.shape[1], axis=1)
-    trees = []
+    nodes = []
     for _ in range(TREES):
         tree = _grow(rank, edge, fitted - target)
         fitted = fitted + np.take_along_axis(tree[2], tree[3], axis=1)
-        trees.append(tree)
-    spread = Z95 * np.std(target - fitted, axis=1)
-    recent = y[:, -LAGS:]
-    mean = np.zeros((len(y), horizon))
+        nodes.append(np.stack(tree[:3], axis=1).astype(float))
+    return np.column_stack([base, np.std(target - fitted, axis=1), y[:, -LAGS:], np.stack(nodes, axis=1).reshape(len(y), -1)])
+
+
+def boosted_predict(fitted: np.ndarray, start: np.datetime64, n: int, horizon: int):
+    """Recursive forecast and bounds (1.96 training-residual deviations)."""
+    month = (start.astype("datetime64[M]").astype(int) + np.arange(n, n + horizon)) % 12 + 1
+    base, spread, recent = fitted[:, 0], Z95 * fitted[:, 1], fitted[:, 2:2 + LAGS]
+    nodes = fitted[:, 2 + LAGS:].reshape(len(fitted), TREES, 3, -1)
+    trees = [(nodes[:, k, 0].astype(np.int64), nodes[:, k, 1], nodes[:, k, 2]) for k in range(TREES)]
+    mean = np.zeros((len(fitted), horizon))
     for h in range(horizon):
-        m = float(month[n + h])
-        row = np.column_stack([recent[:, ::-1], np.full(len(y), m), np.full(len(y), (m - 1) // 3 + 1)])
+        m = float(month[h])
+        row = np.column_stack([recent[:, ::-1], np.full(len(fitted), m), np.full(len(fitted), (m - 1) // 3 + 1)])
         mean[:, h] = np.maximum(base + sum(_walk(tree, row) for tree in trees), 0.0)
         recent = np.column_stack([recent[:, 1:], mean[:, h]])
     return mean, np.maximum(mean - spread[:, None], 0.0), mean + spread[:, None]
 
 
+def boosted_batch(y: np.ndarray, start: np.datetime64, horizon: int):
+    """Fit and forecast of (B, n) monthly series at once."""
+    return boosted_predict(boosted_fit(y, start), start, y.shape[1], horizon)
+
+
 def pooled_boosting(
     panel: DataFrame, keys: tuple[str, ...] = (), horizon: int = 3, date_col: str = "Date", value_col: str = "Sales",
     trees: int = TREES,

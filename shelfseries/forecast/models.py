@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -13,17 +16,34 @@ from ..errors import ModelTrainingError
 from ..functions import calendar as cal
 from ..operators.packing import pack
 from ..operators.windows import cols
-from .boosted import boosted_batch
-from .sarima import sarima_batch
-from .trend import trend_batch, trend_ratio_batch
-
-# name -> kernel((B, n) values, first month, horizon) -> mean, lower, upper
-KERNELS = {
-    "SARIMA": sarima_batch,
-    "TrendSeasonal": trend_batch,
-    "TrendSeasonalRatio": trend_ratio_batch,
-    "BoostedTrees": boosted_batch,
+from .boosted import boosted_fit, boosted_predict
+from .sarima import sarima_fit, sarima_predict
+from .trend import trend_fit, trend_predict, trend_ratio_fit, trend_ratio_predict
+
+
+class Kernel(NamedTuple):
+    """``fit((B, n) values, first month)`` gives (B, m) numbers, a row per series that says all about its model, NaN where
+    there is none; ``predict(these, first month, n, horizon)`` gives mean and bounds, each (B, horizon)."""
+
+    fit: Callable
+    predict: Callable
+
+
+KERNELS: dict[str, Kernel] = {
+    "SARIMA": Kernel(sarima_fit, sarima_predict),
+    "TrendSeasonal": Kernel(trend_fit, trend_predict),
+    "TrendSeasonalRatio": Kernel(trend_ratio_fit, trend_ratio_predict),
+    "BoostedTrees": Kernel(boosted_fit, boosted_predict),
 }
+
+
+def register(name: str, fit: Callable, predict: Callable) -> None:
+    """Add a forecaster under a name of its own; its functions travel with the jobs that ask for it."""
+    if name in KERNELS:
+        raise ModelTrainingError(f"there is a model {name} already")
+    KERNELS[name] = Kernel(fit, predict)
+
+
 COMPARED = ("SARIMA", "TrendSeasonal", "BoostedTrees")
 MAX_HORIZON = 6
 
@@ -33,37 +53,87 @@ _RESULT = T.StructType([
 ])
 
 
-@F.pandas_udf(_RESULT)
-def _run_batch(model: pd.Series, y: pd.Series, start: pd.Series, horizon: pd.Series) -> pd.DataFrame:
-    """Forecast every row; rows of one model, length, start and horizon go through its kernel together."""
-    out: list[tuple] = [(None, None, None, "unknown model")] * len(model)
+_FITTED = T.StructType([T.StructField("parameters", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())])
+
+
+def _alike(*columns: pd.Series) -> dict[tuple, list[int]]:
+    """Rows that agree in all columns, which a kernel handles together."""
     groups: dict[tuple, list[int]] = {}
-    for i, key in enumerate(zip(model, y.map(len), start, horizon)):
+    for i, key in enumerate(zip(*columns)):
         groups.setdefault(key, []).append(i)
-    for (name, _, first, steps), rows in groups.items():
-        kernel = KERNELS.get(name)
-        if kernel is None:
-            continue
-        values = np.array([np.asarray(y.iloc[i], dtype=float) for i in rows])
-        usable = np.isfinite(values).all(axis=1)
-        for i, ok in zip(rows, usable):
-            if not ok:
-                out[i] = (None, None, None, "the series has missing or infinite values")
-        rows = [i for i, ok in zip(rows, usable) if ok]
-        if not rows:
-            continue
-        try:
-            mean, lower, upper = kernel(values[usable], np.datetime64(first, "D"), int(steps))
-        except (ValueError, np.linalg.LinAlgError) as error:
-            for i in rows:
-                out[i] = (None, None, None, str(error))
-            continue
-        for j, i in enumerate(rows):
-            if np.isfinite(mean[j]).all():
-                out[i] = (mean[j].tolist(), lower[j].tolist(), upper[j].tolist(), None)
-            else:
-                out[i] = (None, None, None, "the fit did not converge")
-    return pd.DataFrame(out, columns=["mean", "lower", "upper", "error"])
+    return groups
+
+
+def _fit_rows(kernel: Kernel, series: list, first) -> tuple[list[int], np.ndarray, dict[int, str]]:
+    """Positions of the series that were fitted, their models, and the errors of the others."""
+    values = np.array([np.asarray(y, dtype=float) for y in series])
+    usable = np.isfinite(values).all(axis=1)
+    errors = {i: "the series has missing or infinite values" for i in np.flatnonzero(~usable).tolist()}
+    some = np.flatnonzero(usable).tolist()
+    if not some:
+        return [], np.empty((0, 0)), errors
+    try:
+        return some, kernel.fit(values[usable], np.datetime64(first, "D")), errors
+    except (ValueError, np.linalg.LinAlgError) as error:
+        return [], np.empty((0, 0)), errors | dict.fromkeys(some, str(error))
+
+
+def _outcome(mean: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> tuple:
+    if np.isfinite(mean).all():
+        return mean.tolist(), lower.tolist(), upper.tolist(), None
+    return None, None, None, "the fit did not converge"
+
+
+def _runner(kernels: dict[str, Kernel]):
+    @F.pandas_udf(_RESULT)
+    def run(model: pd.Series, y: pd.Series, start: pd.Series, horizon: pd.Series) -> pd.DataFrame:
+        """Forecast every row; rows of one model, length, start and horizon go through its kernel together."""
+        out: list[tuple] = [(None, None, None, "unknown model")] * len(model)
+        for (name, n, first, steps), rows in _alike(model, y.map(len), start, horizon).items():
+            if name in kernels:
+                some, fitted, errors = _fit_rows(kernels[name], [y.iloc[i] for i in rows], first)
+                for k, message in errors.items():
+                    out[rows[k]] = (None, None, None, message)
+                if some:
+                    parts = kernels[name].predict(fitted, np.datetime64(first, "D"), n, int(steps))
+                    for k, part in zip(some, zip(*parts)):
+                        out[rows[k]] = _outcome(*part)
+        return pd.DataFrame(out, columns=["mean", "lower", "upper", "error"])
+    return run
+
+
+def _fitter(kernels: dict[str, Kernel]):
+    @F.pandas_udf(_FITTED)
+    def run(model: pd.Series, y: pd.Series, start: pd.Series) -> pd.DataFrame:
+        """The fitted model of every row as numbers."""
+        out: list[tuple] = [(None, "unknown model")] * len(model)
+        for (name, _, first), rows in _alike(model, y.map(len), start).items():
+            if name in kernels:
+                some, fitted, errors = _fit_rows(kernels[name], [y.iloc[i] for i in rows], first)
+                for k, message in errors.items():
+                    out[rows[k]] = (None, message)
+                for k, one in zip(some, fitted):
+                    out[rows[k]] = (one.tolist(), None)
+        return pd.DataFrame(out, columns=["parameters", "error"])
+    return run
+
+
+def _predictor(kernels: dict[str, Kernel]):
+    @F.pandas_udf(_RESULT)
+    def run(model: pd.Series, parameters: pd.Series, start: pd.Series, n: pd.Series, horizon: pd.Series) -> pd.DataFrame:
+        """Forecasts from fitted models, without a fit."""
+        out: list[tuple] = [(None, None, None, "unknown model")] * len(model)
+        size = parameters.map(lambda x: -1 if x is None else len(x))
+        for (name, first, length, steps, width), rows in _alike(model, start, n, horizon, size).items():
+            if width < 0:
+                for i in rows:
+                    out[i] = (None, None, None, "there is no fitted model")
+            elif name in kernels:
+                fitted = np.array([np.asarray(parameters.iloc[i], dtype=float) for i in rows])
+                for i, part in zip(rows, zip(*kernels[name].predict(fitted, np.datetime64(first, "D"), int(length), int(steps)))):
+                    out[i] = _outcome(*part)
+        return pd.DataFrame(out, columns=["mean", "lower", "upper", "error"])
+    return run
 
 
 def _spread_out(tasks: DataFrame) -> DataFrame:
@@ -76,9 +146,13 @@ def _spread_out(tasks: DataFrame) -> DataFrame:
     return tasks.repartition(count)
 
 
-def _forecast_rows(tasks: DataFrame, names: list[Column]) -> DataFrame:
+def _forecast_rows(tasks: DataFrame, names: list[Column], chosen: tuple[str, ...]) -> DataFrame:
     """One row per forecast step of each task; a failed task keeps one row with its error."""
-    fitted = _spread_out(tasks).withColumn("r", _run_batch("Model", "y", "first", "horizon"))
+    run = _runner({m: KERNELS[m] for m in chosen})
+    return _step_rows(_spread_out(tasks).withColumn("r", run("Model", "y", "first", "horizon")), names)
+
+
+def _step_rows(fitted: DataFrame, names: list[Column]) -> DataFrame:
     steps = F.arrays_zip(
         F.col("r.mean").alias("m"), F.col("r.lower").alias("l"), F.col("r.upper").alias("u"),
         F.col("actual").alias("a"),
@@ -120,7 +194,7 @@ def forecast(
         F.lit(horizon).alias("horizon"), F.array().cast("array<double>").alias("actual"),
         F.lit(None).cast("string").alias("reason"),
     )
-    return _forecast_rows(tasks, [*cols(keys), F.col("Model")]).drop("actual")
+    return _forecast_rows(tasks, [*cols(keys), F.col("Model")], (model,)).drop("actual")
 
 
 def evaluate(
@@ -164,7 +238,7 @@ def evaluate(
         .select(*cols(keys), "first", "Model", F.explode("tasks").alias("t"))
         .select(*cols(keys), "first", "Model", "t.*")
     )
-    return _forecast_rows(tasks, [*cols(keys), F.col("Model"), F.col("split")])
+    return _forecast_rows(tasks, [*cols(keys), F.col("Model"), F.col("split")], models)
 
 
 def comparison(evaluated: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -264,3 +338,49 @@ def load_best(spark: SparkSession, path: str, horizon: int = 3) -> DataFrame:
             raise FileNotFoundError(f"no stored forecast at {path}: compare the models first") from error
         raise
     return stored.where(F.col("step") <= horizon)
+
+
+def fit_models(
+    panel: DataFrame, keys: tuple[str, ...] = (), models: tuple[str, ...] = COMPARED, date_col: str = "Date", value_col: str = "Sales",
+) -> DataFrame:
+    """``(keys..., Model, first, last, n, parameters, error)``: every model fitted to every series, as numbers from which
+    :func:`predict` forecasts any horizon. A series that cannot be fitted has a row with the reason."""
+    check_models(models)
+    tasks = pack(panel, keys, date_col, value_col).select(
+        *cols(keys), F.explode(F.array(*[F.lit(m) for m in models])).alias("Model"),
+        cal.month_start(F.element_at("dates", 1)).alias("first"), F.element_at("dates", -1).alias("last"),
+        F.size("y").alias("n"), "y")
+    fitted = _spread_out(tasks).withColumn("f", _fitter({m: KERNELS[m] for m in models})("Model", "y", "first"))
+    return fitted.select(*cols(keys), "Model", "first", "last", "n", "f.parameters", "f.error")
+
+
+def predict(fitted: DataFrame, keys: tuple[str, ...] = (), horizon: int = 3) -> DataFrame:
+    """``horizon`` months ahead from :func:`fit_models`, without a fit: the rows that :func:`forecast` gives."""
+    if horizon < 1:
+        raise ModelTrainingError("the horizon must be at least 1")
+    run = _predictor(dict(KERNELS))
+    tasks = fitted.withColumnRenamed("error", "reason").withColumn("actual", F.array().cast("array<double>"))
+    ready = tasks.withColumn("r", run("Model", "parameters", "first", "n", F.lit(horizon)))
+    return _step_rows(ready, [*cols(keys), F.col("Model")]).drop("actual")
+
+
+def save_models(fitted: DataFrame, path: str, best: DataFrame | None = None, keys: tuple[str, ...] = ()) -> str:
+    """Store fitted models, those of ``best`` (:func:`best_models`) alone if it is given, as one table keyed by series and model."""
+    if best is not None:
+        chosen = best.select(*[F.col(f"`{k}`").alias(f"_of_{k}") for k in keys], F.col("Model").alias("_model"))
+        same = F.col("Model") == F.col("_model")
+        for k in keys:
+            same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"`_of_{k}`"))
+        fitted = fitted.join(chosen, same, "left_semi")
+    fitted.write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_models(spark: SparkSession, path: str) -> DataFrame:
+    """Stored models; an error when nothing was stored."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no stored models at {path}: compare the models first") from error
+        raise

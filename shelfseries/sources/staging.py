@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,3 +30,13 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/shelfseries/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path for a table that nothing has used before: in the shared folder, or for a local session in a temporary one."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} is not set: executors of a cluster share no temporary folder")
+        folder = "file://" + tempfile.mkdtemp(prefix="shelfseries-")
+    return f"{folder.rstrip('/')}/shelfseries/{name}-{uuid.uuid4().hex}"
