@@ -13,9 +13,12 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (a local run), one temporary folder per application."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one temporary folder per application of a local session.
+    Executors of a cluster share no temporary folder, so there it must be set."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} is not set")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="shelfseries-")
