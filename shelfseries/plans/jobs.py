@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..forecast import models
 from ..operators import anomaly, clean, kpi, quality, rollup, segment, windows
 from ..sources import files
+from ..sources.schemas import SALES_REQUIRED, TITLES_REQUIRED
 from ..sources.staging import hold
 from . import report
 
@@ -22,25 +26,51 @@ def prepare_titles(raw: DataFrame, **options) -> DataFrame:
     return clean.title_features(clean.clean_titles(quality.require_rows(raw), **options))
 
 
+class DataSet(NamedTuple):
+    """How a kind of input is loaded and prepared: columns it must have, steps from raw text rows to clean ones in their
+    order, and the name of the stored table."""
+
+    required: tuple[str, ...]
+    steps: tuple[Callable[[DataFrame], DataFrame], ...]
+    table: str
+
+    def prepare(self, spark: SparkSession, path: str) -> DataFrame:
+        frame = quality.require_columns(files.load_csv(spark, path), self.required)
+        for step in self.steps:
+            frame = step(frame)
+        return frame
+
+
+DATA_SETS: dict[str, DataSet] = {
+    "sales": DataSet(tuple(SALES_REQUIRED), (prepare_sales,), "train_clean"),
+    "titles": DataSet(tuple(TITLES_REQUIRED), (prepare_titles,), "titles_clean"),
+}
+
+
+def register_data_set(name: str, required: tuple[str, ...], steps: tuple[Callable[[DataFrame], DataFrame], ...], table: str) -> None:
+    """Add a kind of input, which :func:`preprocess_all` then takes under its name."""
+    if name in DATA_SETS or any(d.table == table for d in DATA_SETS.values()):
+        raise ValueError(f"there is a data set {name} or a table {table} already")
+    DATA_SETS[name] = DataSet(required, steps, table)
+
+
 def preprocess_all(spark: SparkSession, inputs: dict[str, str], target: str) -> dict[str, DataFrame]:
     """Clean and store every data set that is there; absent ones are left out.
 
-    ``inputs`` maps ``sales`` and/or ``titles`` to a CSV path.
+    ``inputs`` maps names of ``DATA_SETS`` to CSV paths.
     """
-    steps = {
-        "sales": (files.load_sales, prepare_sales, "train_clean"),
-        "titles": (files.load_titles, prepare_titles, "titles_clean"),
-    }
+    unknown = sorted(set(inputs) - set(DATA_SETS))
+    if unknown:
+        raise ValueError(f"unknown data set(s) {unknown}; known: {sorted(DATA_SETS)}")
     out = {}
     for name, path in inputs.items():
-        load, prepare, table = steps[name]
         try:
-            raw = load(spark, path)
+            clean_rows = DATA_SETS[name].prepare(spark, path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 continue
             raise
-        out[name] = spark.read.parquet(files.save(prepare(raw), f"{target}/{table}"))
+        out[name] = spark.read.parquet(files.save(clean_rows, f"{target}/{DATA_SETS[name].table}"))
     return out
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +15,27 @@ from .schemas import SALES_COLUMNS, SALES_REQUIRED, TITLE_COLUMNS, TITLES_REQUIR
 REPLACEMENT = "�"
 
 
-def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    """Column names of a CSV as written; reads one line."""
-    frame = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False).csv(path)
-    return frame.columns
+def _read_csv(spark: SparkSession, paths: list[str], encoding: str, header: bool = True, width: int = 0) -> DataFrame:
+    """CSV files as text columns: those their first file names, or ``width`` numbered ones with header lines as rows."""
+    reader = spark.read.option("encoding", encoding).option("multiLine", False)
+    if not header:
+        return reader.schema(text_schema([f"_c{i}" for i in range(width)])).option("header", False).csv(paths)
+    names = reader.option("header", True).option("inferSchema", False).csv(paths).columns  # reads one line
+    return reader.schema(text_schema(names)).option("header", True).option("enforceSchema", True).csv(paths)
+
+
+def _plain(uri: str) -> str:
+    """The path of a file's URI as a reader takes it: decoded, and without patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
+
+
+def _damaged_files(spark: SparkSession, paths: list[str], encoding: str, width: int) -> set[str]:
+    """Files with a line, header lines included, that the encoding does not decode: one scan, a row per such file."""
+    lines = _read_csv(spark, paths, encoding, header=False, width=width)
+    damaged = F.lit(False)
+    for name in lines.columns:
+        damaged = damaged | F.coalesce(F.col(name).contains(REPLACEMENT), F.lit(False))
+    return {_plain(r[0]) for r in lines.where(damaged).select(F.input_file_name()).distinct().collect()}
 
 
 def load_csv(
@@ -24,29 +44,27 @@ def load_csv(
     date_columns: tuple[str, ...] = (),
     encodings: tuple[str, ...] = ("UTF-8", "ISO-8859-1", "windows-1252"),
 ) -> DataFrame:
-    """A CSV with header, all columns text, in the first encoding that decodes it.
+    """CSV files with headers, all columns text, each file in the first encoding that decodes it.
 
-    A reader never fails on undecodable bytes but yields U+FFFD, so an encoding
-    is passed over when that character turns up. The check stops at the first
-    hit; a file that is clean in the first encoding is scanned once for it.
+    A reader never fails on undecodable bytes but yields U+FFFD. One scan finds the files in which that character turns up;
+    only these are tried in the next encoding, the last of which takes all that is left. The result is a union of one
+    read per encoding, by column name. The files of a folder share their columns.
     """
+    whole = _read_csv(spark, [path], encodings[0])
+    width, left = len(whole.columns), [path]
+    parts = []
     for position, encoding in enumerate(encodings):
-        names = _header(spark, path, encoding)
-        frame = (
-            spark.read.schema(text_schema(names))
-            .option("header", True)
-            .option("encoding", encoding)
-            .option("multiLine", False)
-            .option("enforceSchema", True)
-            .csv(path)
-        )
-        if position == len(encodings) - 1:
-            break
-        damaged = F.lit(any(REPLACEMENT in n for n in names))
-        for name in names:
-            damaged = damaged | F.coalesce(F.col(f"`{name}`").contains(REPLACEMENT), F.lit(False))
-        if frame.where(damaged).isEmpty():
+        last = position == len(encodings) - 1
+        damaged = set() if last else _damaged_files(spark, left, encoding, width)
+        files = [path] if not damaged and not position else sorted({_plain(f) for f in _read_csv(spark, left, encoding).inputFiles()} - damaged)
+        if files:
+            parts.append(_read_csv(spark, files, encoding))
+        left = sorted(damaged)
+        if not left:
             break
+    frame = parts[0]
+    for part in parts[1:]:
+        frame = frame.unionByName(part)
     for name in date_columns:
         if name in frame.columns:
             frame = frame.withColumn(name, F.try_to_timestamp(F.col(f"`{name}`")))

@@ -150,3 +150,41 @@ def test_preprocess_all_skips_absent(spark, tmp_path):
         spark, {"sales": str(tmp_path / "train.csv"), "titles": str(tmp_path / "none.csv")}, str(tmp_path / "out"))
     assert set(out) == {"sales"}
     assert out["sales"].count() == 2
+
+
+def test_every_file_in_its_own_encoding(spark, tmp_path, monkeypatch):
+    """A folder of UTF-8, Latin-1 and plain files; one is damaged in its header alone."""
+    folder = tmp_path / "mixed files"
+    folder.mkdir()
+    for name, city, encoding in (("a", "Köln", "latin-1"), ("b", "Zürich", "utf-8"), ("c", "Rome", "ascii"), ("d", "Málaga", "latin-1")):
+        (folder / f"{name}.csv").write_bytes(f"Order Date,Größe,City\n2018-01-01,1,{city}\n".encode(encoding if encoding != "ascii" else "latin-1"))
+    seen = []
+    read = files._read_csv
+
+    def watched(spark, paths, encoding, *more, **rest):
+        if not rest:
+            seen.append((encoding, len(paths)))
+        return read(spark, paths, encoding, *more, **rest)
+
+    monkeypatch.setattr(files, "_read_csv", watched)
+    got = files.load_csv(spark, str(folder))
+    assert got.columns == ["Order Date", "Größe", "City"]
+    assert sorted(r["City"] for r in got.collect()) == ["Köln", "Málaga", "Rome", "Zürich"]
+    assert ("ISO-8859-1", 3) in seen and ("UTF-8", 1) in seen
+
+
+def test_registered_data_set(spark, tmp_path):
+    (tmp_path / "stock.csv").write_text("Item,Stock\na,1\nb,x\n")
+    (tmp_path / "other.csv").write_text("Name\nb\n")
+    jobs.register_data_set("stock", ("Item", "Stock"), (lambda df: df.withColumn("Stock", F.expr("try_cast(Stock as int)")), lambda df: df.na.drop(subset=["Stock"])), "stock_clean")
+    try:
+        out = jobs.preprocess_all(spark, {"stock": str(tmp_path / "stock.csv"), "sales": str(tmp_path / "none.csv")}, str(tmp_path / "out"))
+        assert list(out) == ["stock"] and [tuple(r) for r in out["stock"].collect()] == [("a", 1)]
+        with pytest.raises(DataValidationError):
+            jobs.preprocess_all(spark, {"stock": str(tmp_path / "other.csv")}, str(tmp_path / "out"))
+        with pytest.raises(ValueError):
+            jobs.register_data_set("stock", (), (), "again")
+    finally:
+        del jobs.DATA_SETS["stock"]
+    with pytest.raises(ValueError):
+        jobs.preprocess_all(spark, {"stock": "x"}, str(tmp_path / "out"))
