@@ -158,6 +158,14 @@ def report_comparison(spark, folder):
     return report.comparison_table(models.comparison(_evaluated(spark, folder, "Region"), REGION), REGION)
 
 
+@query("report_headline")
+def report_headline(spark, folder):
+    """Best model of the whole business with its error, number of flagged weeks, and the report's totals."""
+    best = models.best_models(models.comparison(_evaluated(spark, folder)))
+    lines = clean.sales_features(star.sales(spark, folder, "Order Date", "Sales"))
+    return report.headline(best, anomaly.detect_anomalies(_weekly(spark, folder)), lines)
+
+
 def _scaled(spark, folder):
     lines = star.sales(spark, folder, "Order ID", "Order Date", "Product Name", "Category", "Sub-Category", "Sales")
     return segment.scale_features(segment.product_features(clean.sales_features(lines)))

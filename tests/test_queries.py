@@ -32,3 +32,11 @@ def test_matches_sql(spark, small, duck, name):
 def test_has_rows(spark, small, name, monkeypatch):
     monkeypatch.setattr(modelling, "STARTS", 2)
     assert QUERIES[name](spark, small).count() > 0
+
+
+def test_headline_values(spark, small):
+    """The one row agrees with the queries that it sums up."""
+    (row,) = QUERIES["report_headline"](spark, small).collect()
+    first = QUERIES["whole_business_comparison"](spark, small).first()
+    assert (row.best_model, row.best_mape) == (first.Model, pytest.approx(first.MAPE))
+    assert row.anomalies == len(QUERIES["whole_business_anomalies"](spark, small).collect())
