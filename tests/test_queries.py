@@ -31,7 +31,16 @@ def test_matches_sql(spark, small, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"forecast_pooled_boosting"}))
 def test_has_rows(spark, small, name, monkeypatch):
     monkeypatch.setattr(modelling, "STARTS", 2)
-    assert QUERIES[name](spark, small).count() > 0
+    rows = [r.asDict() for r in QUERIES[name](spark, small).collect()]  # a count would leave columns uncomputed
+    assert rows
+    for r in rows:
+        if r.get("Forecast") is not None and r.get("Lower_CI") is not None:
+            assert 0 <= r["Lower_CI"] <= r["Forecast"] + 1e-9 and r["Forecast"] <= r["Upper_CI"] + 1e-9
+        if "Is_Anomaly" in r:
+            votes = r["Anomaly_Z"] + r["Anomaly_Rolling"] + r["Anomaly_IForest"]
+            assert r["Is_Anomaly"] == (votes >= 2)
+        for error in ("MAE", "RMSE", "MAPE", "Inertia"):
+            assert not isinstance(r.get(error), float) or r[error] >= 0
 
 
 def test_headline_values(spark, small):
