@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import flag
 
+#: Half the size of any centred band, in stretched positions; the most rows of a band.
+_HALF, MOST_BAND = 1 << 32, 1 << 14
+
 
 def cols(keys: tuple[str, ...]) -> list[Column]:
     return [F.col(f"`{k}`") for k in keys]
@@ -62,26 +65,23 @@ def centred_bands(
 ) -> DataFrame:
     """Centred rolling mean and sample deviation, and the flag outside mean +- k deviations.
 
-    A series of n rows uses ``max(3, min(window, n // 3))`` rows. A frame must be
-    literal, so every possible size is one frame over the same sort, and the
-    row's own size picks its value.
+    A series of n rows uses ``max(3, min(window, n // 3))`` rows, of at most ``MOST_BAND``. One frame serves every
+    size: positions are stretched by the reciprocal of their series' size, which puts half a size at the same distance
+    in all series. An even size takes the row half a size back and not the one half a size ahead.
     """
+    if window > MOST_BAND:
+        raise ValueError(f"a band has at most {MOST_BAND} rows")
     v = F.col(f"`{value_col}`")
-    w = ordered(keys, date_col)
     third = F.floor(F.count(F.lit(1)).over(Window.partitionBy(*cols(keys))) / 3)
     size = F.greatest(F.lit(3), F.least(F.lit(window), third))
-    mean, spread = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for rows in range(3, max(3, window) + 1):
-        frame = w.rowsBetween(-(rows // 2), (rows - 1) // 2)
-        mean = F.when(F.col("_size") == rows, F.avg(v).over(frame)).otherwise(mean)
-        spread = F.when(F.col("_size") == rows, F.stddev_samp(v).over(frame)).otherwise(spread)
-    banded = panel.withColumn("_size", size).withColumns(
-        {"Rolling_Mean": mean, "Rolling_Std": F.coalesce(spread, F.lit(0.0))}
-    )
+    place = F.row_number().over(ordered(keys, date_col)) * F.floor(F.lit(2 * _HALF) / size)
+    frame = Window.partitionBy(*cols(keys)).orderBy("_place").rangeBetween(-_HALF, _HALF - MOST_BAND)
+    banded = panel.withColumn("_place", place.cast("long")).withColumns({
+        "Rolling_Mean": F.avg(v).over(frame), "Rolling_Std": F.coalesce(F.stddev_samp(v).over(frame), F.lit(0.0))})
     outside = (v > F.col("Rolling_Mean") + k * F.col("Rolling_Std")) | (
         v < F.col("Rolling_Mean") - k * F.col("Rolling_Std")
     )
-    return banded.withColumn("Anomaly_Rolling", flag(outside)).drop("_size")
+    return banded.withColumn("Anomaly_Rolling", flag(outside)).drop("_place")
 
 
 def lagged(

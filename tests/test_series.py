@@ -74,6 +74,23 @@ def test_centred_bands_against_pandas(spark, n, window):
     assert out.Rolling_Std.to_numpy() == pytest.approx(rolling.std().fillna(0.0).to_numpy(), abs=1e-9)
 
 
+def test_centred_bands_of_any_size_are_one_frame(spark):
+    lengths = [*range(1, 60, 4), 400]                            # sizes from 3 to 133 in one panel
+    rows = [(f"s{n}", d, float(v)) for n in lengths
+            for d, v in zip(golden.months((1985, 1), n), np.random.default_rng(n).gamma(2, 100, n))]
+    panel = spark.createDataFrame(rows, "k string, Date date, Sales double")
+    out = windows.centred_bands(panel, ("k",), 500)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RangeFrame, -") == 2                      # the mean and the deviation
+    for name, part in out.toPandas().groupby("k"):
+        part = part.sort_values("Date")
+        rolling = part.Sales.rolling(max(3, len(part) // 3), min_periods=1, center=True)
+        assert part.Rolling_Mean.to_numpy() == pytest.approx(rolling.mean().to_numpy()), name
+        assert part.Rolling_Std.to_numpy() == pytest.approx(rolling.std().fillna(0.0).to_numpy(), abs=1e-9), name
+    with pytest.raises(ValueError, match="at most"):
+        windows.centred_bands(panel, ("k",), windows.MOST_BAND + 1)
+
+
 def test_thresholds_are_strict(spark):
     constant = windows.z_scores(series(spark, [5.0] * 10)).toPandas()
     assert (constant.Z_Score == 0).all() and (constant.Anomaly_Z == 0).all()
