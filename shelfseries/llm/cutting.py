@@ -38,20 +38,30 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,jk->ik", a, b)
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def solve(
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3,
+    fill: np.ndarray | None = None, waste: float | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (a row each) and how often the linear program uses them, to within ``gap`` of its optimum.
 
     Revised simplex on "every size is covered at least as often as it is asked for"; a new pattern enters while the
     knapsack finds one worth more than the sequence it costs.
+
+    With ``waste`` an item may also stay without a pattern, for its own share of a sequence times ``1 + waste``. A pattern
+    is then used only where it fills more than ``1 / (1 + waste)`` of its sequence; ``fill`` tells the true mean size
+    of an item of each size, where sizes are rounded.
     """
     m = len(sizes)
     if not m:
         return np.zeros((0, 0), np.int64), np.zeros(0)
-    basis = np.diag((capacity // sizes).astype(float))  # columns
-    cost = np.ones(m)
+    share = (sizes if fill is None else fill) / capacity
+    alone = np.full(m, np.inf) if waste is None else share * (1 + waste)  # what an item costs without a pattern
+    basis = np.diag((capacity // sizes).astype(float)) if waste is None else np.eye(m)  # columns
+    cost = np.ones(m) if waste is None else alone.copy()
+    patterned = np.full(m, waste is None)
     inverse = np.diag(1 / np.diag(basis))
     x = demand / np.diag(basis)
-    material = float(sizes @ demand) / capacity  # no plan is shorter
+    material = float(share @ demand)  # no plan is shorter
     for step in range(1, 40 * m + 200):
         if step % 500 == 0:  # rounding errors of the updates
             inverse = 2 * inverse - _product(inverse, _product(basis, inverse))
@@ -59,14 +69,18 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-
         price = np.einsum("i,ij->j", cost, inverse)
         if price.min() < -1e-9:
             k = int(price.argmin())  # asked for more often than needed: a surplus column
-            column, c = np.zeros(m), 0.0
+            column, c, new = np.zeros(m), 0.0, False
             column[k] = -1
+        elif (price - alone).max() > 1e-9:
+            k = int((price - alone).argmax())
+            column, c, new = np.zeros(m), alone[k], False
+            column[k] = 1
         else:
             worth, counts = best_pattern(np.maximum(price, 0), sizes, capacity)
             used = float(cost @ x)
             if worth <= 1 + 1e-9 or used <= max(material, float(price @ demand) / worth) * (1 + gap):
                 break
-            column, c = counts.astype(float), 1.0
+            column, c, new = counts.astype(float), 1.0, True
         d = np.einsum("ij,j->i", inverse, column)
         up = d > 1e-9
         if not up.any():
@@ -80,8 +94,8 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-
         row = inverse[out] / d[out]
         inverse -= np.outer(d, row)
         inverse[out] = row
-        basis[:, out], cost[out] = column, c
-    chosen = (cost > 0) & (x > 1e-9)
+        basis[:, out], cost[out], patterned[out] = column, c, new
+    chosen = patterned & (x > 1e-9)
     return np.rint(basis[:, chosen].T).astype(np.int64), x[chosen]
 
 

@@ -3,8 +3,8 @@
 A document is cut into full sequences and one remainder. The histogram of remainders, in classes of a few tokens, is the
 whole input of the linear program (`cutting`), which runs on the driver with a size that the sequence length bounds.
 Remainders are ranked within their class over all partitions, and a rank says by arithmetic which use of which pattern
-it fills. Remainders beyond the rounded patterns are strung together and cut at sequence ends; the last sequence is cut
-into powers of two, which need no padding.
+it fills. A pattern is used only where it wastes little; remainders without one, and those beyond the rounded patterns, are
+strung together and cut at sequence ends. The last sequence is cut into powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -125,28 +125,28 @@ def _string(total: int, length: int, first_sequence: int):
     return run
 
 
-def _sum_up(path: str, end_id: int, wanted: dict):
-    """Checksums of the stretches ``wanted`` of a few documents, which are encoded again."""
+def _remainders(path: str, end_id: int, length: int):
+    """The ids behind the last full sequence of documents, which are encoded again."""
     def run(batches):
-        rows, coder = [], tokens.WordEncoder(path)
-        texts = ((b.column("id").to_pylist(), (x.astype("<u4").tobytes() for x in coder.texts(x.as_py() for x in b.column("body")))) for b in batches)
-        for i, key, ids in (x for numbers, ids in texts for x in _ended(numbers, ids, end_id)):
-            for start, n in wanted.get((i, key), ()):
-                rows.append((i, key, start, zlib.crc32(ids[start:start + n].tobytes())))
-        yield _rows(rows, ("id", "key", "start", "crc"), [pa.int64()] * 4)
+        coder = tokens.WordEncoder(path)
+        for b in batches:
+            encoded = (x.astype("<u4").tobytes() for x in coder.texts(x.as_py() for x in b.column("body")))
+            rows = [(i, key, len(ids) - len(ids) % length, ids[len(ids) - len(ids) % length:].tobytes())
+                    for i, key, ids in _ended(b.column("id").to_pylist(), encoded, end_id)]
+            yield _rows(rows, ("id", "key", "since", "ids"), [pa.int64()] * 3 + [pa.binary()])
     return run
 
 
 def pack(
     docs: DataFrame, length: int = 2048, step: int = 8, end_id: int = 1, path: str | None = None,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", waste: float = 1 / 56,
 ) -> DataFrame:
     """Pieces of all documents in sequences of at most ``length`` tokens: ``id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.
 
     A document's tokens are the ids of its words and ``end_id``; null and blank texts have that id alone. ``length`` is a
-    power of two and a multiple of ``step``, the width of a length class; a sequence wastes less than ``step`` tokens per
-    piece. Every token lies in one piece; offsets in a sequence are gapless. Rows that repeat are packed each on its
+    power of two and a multiple of ``step``, the width of a length class. A pattern's sequences waste no more than ``waste`` of
+    their tokens, by the mean lengths of its classes; all other sequences are full. Every token lies in one piece; offsets in a sequence are gapless. Rows that repeat are packed each on its
     own; a null id stays null. Other columns are not read; an empty table gives no rows.
     """
     if length & (length - 1) or length % step:
@@ -157,15 +157,19 @@ def pack(
     measured = placed.mapInArrow(_measure(end_id, length), _PIECE).withColumns({
         "id": F.when(F.col("id") != bpe.NO_ID, F.col("id")), "cls": cls})
     # ranging a table samples it first, which would run the encoder twice
-    ranked = positions(hold(measured, "pack-measured"), ["cls", "id", "key", "start"], "pack-pieces")
+    measured = hold(measured.withColumn("mixed", F.xxhash64("id", "key", "start")), "pack-measured")
+    # a class is ranked in mixed order, so that every part of it has the mean length of the class
+    ranked = positions(measured, ["cls", "mixed", "id", "key", "start"], "pack-pieces").drop("mixed")
 
-    counts = {r["cls"]: r["n"] for r in ranked.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per class
+    found = ranked.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean")).collect()  # a row per class
+    counts, mean = {r["cls"]: r["n"] for r in found}, {r["cls"]: r["mean"] for r in found}
     first, seen = {}, 0
     for c in sorted(counts):
         first[c], seen = seen, seen + counts[c]
     classes = [c for c in sorted(counts) if c]
     demand = np.array([counts[c] for c in classes], np.int64)
-    plan, _ = cutting.rounded(*cutting.solve(np.array(classes, np.int64), demand, length // step), demand)
+    fill = np.array([mean[c] / step for c in classes])
+    plan, _ = cutting.rounded(*cutting.solve(np.array(classes, np.int64), demand, length // step, fill=fill, waste=waste), demand)
     place, used = _place(plan, classes, first, counts.get(0, 0))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema)
     placed = ranked.mapInArrow(place, f"{schema}, sequence_id long, slot long")
@@ -179,19 +183,15 @@ def pack(
                       ["id", "key", "start"], "pack-spare", F.col("length"))
     total = spare.agg(F.sum("length")).first()[0] or 0
     strung = hold(spare.mapInArrow(_string(total, length, used), "id long, key long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"), "pack-strung")
-    wanted: dict = {}
-    for r in strung.where("ids_crc32 is null").select("id", "key", "start", "length").collect():  # two for each sequence end of the spare run
-        wanted.setdefault((r["id"], r["key"]), set()).add((r["start"], r["length"]))
-    if not wanted:
-        return packed.unionByName(strung.select(*out))
+    # pieces cut at a sequence end: two for each sequence of the strung run, so they stay on the cluster
+    cut = strung.where("ids_crc32 is null").select("id", "key").distinct()
     ident = F.col(f"`{id_col}`").cast("long")
-    cut = docs.sparkSession.createDataFrame([(i,) for i in {i for i, _ in wanted}], "cut long")
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b"")).alias("body")
-    again = docs.select(ident.alias("id"), body).join(F.broadcast(cut), F.col("id").eqNullSafe(F.col("cut")), "left_semi")
-    sums = again.select("id", "body").mapInArrow(
-        _sum_up(path, end_id, wanted), "id long, key long, start long, crc long").distinct()
-    sums = hold(sums, "pack-checksums")
-    left, right = strung.alias("l"), sums.alias("r")
-    joined = left.join(right, F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.key") == F.col("r.key")) & (F.col("l.start") == F.col("r.start")) & F.col("l.ids_crc32").isNull(), "left")
-    summed = joined.select("l.id", "l.start", "l.length", F.coalesce("l.ids_crc32", "r.crc").alias("ids_crc32"), "l.doc_tokens", "l.sequence_id", "l.offset")
-    return packed.unionByName(summed)
+    again = docs.select(ident.alias("id"), body).alias("d").join(
+        cut.select("id").distinct().alias("c"), F.col("d.id").eqNullSafe(F.col("c.id")), "left_semi")
+    ends = hold(again.mapInArrow(_remainders(path, end_id, length), "id long, key long, since long, ids binary").dropDuplicates(["id", "key"]), "pack-ends")
+    joined = strung.where("ids_crc32 is null").alias("l").join(
+        ends.alias("r"), F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.key") == F.col("r.key")), "left")
+    own = F.substring(F.col("ids"), ((F.col("l.start") - F.col("since")) * 4 + 1).cast("int"), (F.col("l.length") * 4).cast("int"))
+    summed = joined.select("l.id", "l.start", "l.length", F.crc32(own).alias("ids_crc32"), "l.doc_tokens", "l.sequence_id", "l.offset")
+    return packed.unionByName(strung.where("ids_crc32 is not null").select(*out)).unionByName(summed)

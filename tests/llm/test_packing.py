@@ -65,6 +65,35 @@ def test_linear_program():
     assert (sum(p * u for p, u in plan) + left == demand).all() and (left >= 0).all()
 
 
+@pytest.mark.parametrize("low,high", [(1100, 1100), (1030, 1500), (700, 1000), (9, 9), (1, 2047), (1700, 1900)])
+def test_patterns_waste_little_on_any_histogram(low, high):
+    """Whatever does not fit well goes without a pattern; the share of padding in the patterns stays bounded."""
+    lengths = np.random.default_rng(low).integers(low, high + 1, 20_000)
+    classes, demand = np.unique(-(-lengths // 8), return_counts=True)
+    fill = np.array([lengths[-(-lengths // 8) == c].mean() for c in classes]) / 8
+    plan, left = cutting.rounded(*cutting.solve(classes, demand, 256, fill=fill, waste=1 / 56), demand)
+    assert (sum((p * u for p, u in plan), np.zeros_like(demand)) + left == demand).all() and (left >= 0).all()
+    for pattern, _ in plan:
+        assert pattern @ classes <= 256 and pattern @ fill >= 256 / (1 + 1 / 56) * (1 - 1e-6)
+    if (low, high) == (1, 2047):
+        assert left.sum() < 0.05 * demand.sum()
+
+
+@pytest.mark.parametrize("low,high", [(1050, 1250), (8, 8), (300, 900)])
+def test_little_padding_at_awkward_lengths(make, low, high):
+    r = np.random.default_rng(high)
+    names = np.array([chr(97 + k // 26) + chr(97 + k % 26) for k in range(676)])
+    pairs = [(i, " ".join(r.choice(names, int(n)))) for i, n in enumerate(r.integers(low, high + 1, 400))]
+    assert check(packing.pack(make(pairs)).collect(), pairs, 2048) < 0.02
+
+
+def test_copies_and_missing_ids_are_cut_right(make):
+    """Rows that share an id, a text or neither, all strung together and cut."""
+    words = [" ".join(f"w{k}x{j}" for j in range(260)) for k in range(3)]
+    pairs = [(None, words[0])] * 15 + [(7, words[1])] * 15 + [(None, words[2]), (7, words[2])] * 5 + [(k, words[0]) for k in range(20, 40)]
+    check(packing.pack(make(pairs), 512, 8).collect(), pairs, 512)
+
+
 def test_knapsack_against_all_patterns():
     r = np.random.default_rng(3)
     for _ in range(5):
