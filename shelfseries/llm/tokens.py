@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 
@@ -37,16 +37,44 @@ def pieces(path: str) -> tuple[bytes, ...]:
     return tuple((t.id_to_token(i) or "").encode() for i in range(t.get_vocab_size(with_added_tokens=True)))
 
 
-def encode_words(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the words one after the other, and how many each has.
+#: Words are encoded in lines of this many; longer words than this many bytes stand alone.
+_LINE_WORDS, _LINE_BYTES = 512, 256
 
-    The tokenizer drops blanks and lets no piece span them, so a text's ids are those of its words in order.
-    """
+
+def _one_by_one(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     found = tokenizer(path).encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
     ids = [e.ids for e in found]
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((x for part in ids for x in part), np.uint32, int(sizes.sum()))
-    return flat, sizes
+    return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+
+def _by_line(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """ASCII words as lines of text: a piece belongs to the word in which it starts."""
+    encode, flat, sizes = tokenizer(path).encode, [], []
+    for at in range(0, len(words), _LINE_WORDS):
+        line = words[at:at + _LINE_WORDS]
+        found = encode(b" ".join(line).decode(), add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, line), np.int64, len(line)) + 1)
+        starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found))
+        sizes.append(np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(line)))
+        flat.append(np.array(found.ids, np.uint32))
+    return np.concatenate(flat), np.concatenate(sizes)
+
+
+def encode_words(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words one after the other, and how many each has.
+
+    The tokenizer drops blanks and lets no piece span them, so a text's ids are those of its words in order. Short ASCII
+    words are encoded line by line; words that a normaliser may change in length, or that may hold an added token, alone.
+    """
+    plain = np.fromiter((w.isascii() and len(w) < _LINE_BYTES and b"<" not in w for w in words), bool, len(words))
+    flat, start, sizes = np.empty(0, np.uint32), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for chosen, way in ((np.flatnonzero(plain), _by_line), (np.flatnonzero(~plain), _one_by_one)):
+        if len(chosen):
+            found, n = way([words[i] for i in chosen.tolist()], path)
+            start[chosen], sizes[chosen] = len(flat) + np.cumsum(n) - n, n
+            flat = np.concatenate([flat, found])
+    return (flat if plain.all() else gather(flat, start, sizes)), sizes
 
 
 def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from shelfseries.llm import bpe, tokens
@@ -51,3 +53,14 @@ def test_words_encoded_alone_give_the_text(odd):
 
 def test_empty(make):
     assert bpe.decode(bpe.encode(make([]))).count() == 0
+
+
+def test_words_by_line_and_alone_have_the_ids_of_the_library():
+    r = random.Random(8)
+    signs = "abcXYZ'09.,-_<|>\x00\x1f\u00a0\u0301\u0130\u00e9\u4e2d\U0001f642\u2003"
+    words = ["".join(r.choices(signs[:13] if k % 3 else signs, k=r.randint(1, 12))) for k in range(5_000)]
+    words += ["<|endoftext|>", "a<|startoftext|>b", "\u00a0", "don't", "x" * 300, "x" * 255, "\u0301a"]
+    flat, sizes = tokens.encode_words([w.encode() for w in words], tokens.public())
+    want = [tokens.tokenizer(tokens.public()).encode(w, add_special_tokens=False).ids for w in words]
+    assert sizes.tolist() == list(map(len, want)) and flat.tolist() == [x for ids in want for x in ids]
+    assert [len(x) for x in tokens.encode_words([], tokens.public())] == [0, 0]
