@@ -2,14 +2,15 @@
 
 Every distinct shingle set posts its id under each (coordinate, value) of its signature. A pair whose signatures agree in
 at least ``matches`` of ``coords`` coordinates has a key in common among the ``coords - matches + 1`` rarest keys of either
-(prefix), so only those lists are merged; the long lists behind them are skipped, and the collisions of a pair are counted
-on a second sketch of 1024 one-byte minima. Pairs above the match threshold are confirmed on the full shingle sets.
+(prefix), so only those lists are merged. The long lists behind them are skipped: members carry their signatures, so the
+collisions of two members are counted where they meet first. Pairs with ``matches`` collisions are retained, narrowed by a
+second sketch of 1024 one-byte minima, and confirmed on the full shingle sets.
 
 Lists of a thousand near copies would give a million pairs. So the members of a list are first tied to its most central
 one, which joins most of the list into one component; a list whose members are all in one component holds no unknown
 link. In lists with several components every member outside the largest is tied to the most similar others, and at last
-all pairs across components that pass the sketch are confirmed, so no link between components is lost. Long lists are
-compared in blocks, by sketch, inside tasks.
+all pairs across components that pass are confirmed, so no link between components is lost. Long lists are compared in
+blocks, inside tasks: only members outside a list's largest component are put to all of its blocks.
 """
 
 from __future__ import annotations
@@ -73,6 +74,11 @@ def alike(one: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray, per
     return same / n, same >= j * n - 4.5 * spread - 1
 
 
+def collisions(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Coordinates that a signature shares with each of the others: the lists, merged or skipped, that hold both."""
+    return (one == others).sum(axis=1)
+
+
 def _sign(k: int, coords: int):
     def run(batches):
         seeds = mix(np.arange(1, 2 * coords + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -103,36 +109,35 @@ def _post(batches):
                 [pa.array(np.repeat(ids, block.shape[1])), pa.array(block.ravel())], names=["rep", "key"])
 
 
-def _agree(percent: int):
-    """Pairs whose sketches are alike enough."""
+def _agree(percent: int, matches: int):
+    """Pairs with enough collisions whose sketches are alike enough."""
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "n_a", "n_b")]
-            good = [bool(alike(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)[None], n, np.array([m]), percent)[1][0])
-                    for x, y, n, m in zip(*columns)]
+            columns = [batch.column(c).to_pylist() for c in ("sig_a", "sig_b", "sketch_a", "sketch_b", "n_a", "n_b")]
+            good = [bool(collisions(np.frombuffer(s, np.uint32), np.frombuffer(t, np.uint32)[None])[0] >= matches
+                         and alike(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)[None], n, np.array([m]), percent)[1][0])
+                    for s, t, x, y, n, m in zip(*columns)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
     return run
 
 
-def _compare(percent: int, every: bool):
-    """Pairs of the members of a block pair whose components differ and whose sketches and sizes allow a link: all of
-    them, each in the first list that both members stand in, or the ``BEST`` of each member outside the largest
-    component."""
+def _compare(percent: int, matches: int, every: bool):
+    """Pairs of a member that asks and one at home in the block, of different components, whose collisions, sketches and
+    sizes allow a link: all of them, each in the first list that both members stand in, or the ``BEST`` of each that
+    asks."""
     def pairs(rows):
-        key, i, j = rows[0][:3]
-        rep, comp, size, block = (np.array([r[c] for r in rows], np.int64) for c in (3, 4, 5, 6))
-        marks = np.frombuffer(b"".join([r[7] for r in rows]), np.uint8).reshape(len(rows), BINS)
-        names, where, count = np.unique(comp, return_inverse=True, return_counts=True)
-        if len(names) < 2:
-            return
-        minor = where != count.argmax()
-        keys = [np.array(r[8], np.int64) for r in rows] if every else None
-        for x in np.flatnonzero(minor):
-            other = np.flatnonzero((comp != comp[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])))
-            if i != j:
-                other = other[block[other] != block[x]]
-            if every:
-                other = other[~minor[other] | (other > x)]
+        key = rows[0][0]
+        rep, comp, size = (np.array([r[c] for r in rows], np.int64) for c in (3, 4, 5))
+        minor, home, asks = (np.array([r[c] for r in rows], bool) for c in (6, 7, 8))
+        sigs = np.frombuffer(b"".join([r[9] for r in rows]), np.uint32).reshape(len(rows), -1)
+        marks = np.frombuffer(b"".join([r[10] for r in rows]), np.uint8).reshape(len(rows), BINS)
+        keys = [np.array(r[11], np.int64) for r in rows] if every else None
+        for x in np.flatnonzero(asks):
+            there = home & (comp != comp[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
+            if every:  # two that ask meet twice
+                there &= ~minor | (rep > rep[x])
+            other = np.flatnonzero(there)
+            other = other[collisions(sigs[x], sigs[other]) >= matches]
             if not len(other):
                 continue
             share, near = alike(marks[x], marks[other], size[x], size[other], percent)
@@ -208,20 +213,41 @@ def _stars(lists: DataFrame) -> DataFrame:
         F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
-def _across(lists: DataFrame, sets: DataFrame, percent: int, every: bool) -> DataFrame:
-    """Pairs across components within lists (see :func:`_compare`). A list of many members is cut into blocks, and each
-    pair of blocks is compared by itself."""
-    blocks = lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = lists.join(hold(blocks, "neardup-blocks"), "key").join(sets, "rep")
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = members.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "comp", "n_shingles", "block", "sketch"]
+def _dealt(lists: DataFrame) -> DataFrame:
+    """``key, block, chunk, rep, comp, minor, home, asks``: members of a list dealt to blocks, and those outside its largest
+    component (minor) to chunks. A member is at home in its block, beside each chunk; a minor one asks in each block with
+    its chunk. So a list of ``m`` members with few minor ones gives little more than ``m`` rows, and no group more than
+    about two blocks."""
+    sizes = hold(lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")), "neardup-sizes")
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n")).select(
+        "key", F.col("most.comp").alias("major"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("chunks"))
+    members = lists.join(hold(most, "neardup-blocks"), "key").withColumns({
+        "minor": F.col("comp") != F.col("major"),
+        "mine": F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"),
+        "own": F.pmod(F.xxhash64("rep"), F.greatest("chunks", F.lit(1))).cast("int")})
+
+    def place(block, chunk):
+        return F.struct(block.cast("int").alias("block"), chunk.cast("int").alias("chunk"))
+
+    at_home = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: place(F.col("mine"), c))
+    asking = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: place(b, F.col("own")))
+    places = F.when(F.col("minor"), F.array_union(at_home, asking)).otherwise(at_home)
+    return members.where("chunks > 0").withColumn("at", F.explode(places)).select(
+        "key", "at.block", "at.chunk", "rep", "comp", "minor", (F.col("mine") == F.col("at.block")).alias("home"),
+        (F.col("minor") & (F.col("own") == F.col("at.chunk"))).alias("asks"))
+
+
+def _across(lists: DataFrame, sets: DataFrame, percent: int, matches: int, every: bool) -> DataFrame:
+    """Pairs across components within lists (see :func:`_compare`), block by block."""
+    members = _dealt(lists).join(sets, "rep")
+    columns = ["key", "block", "chunk", "rep", "comp", "n_shingles", "minor", "home", "asks", "sig", "sketch"]
     if every:
         keys = lists.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # as many as the prefix has
         members = members.join(hold(keys, "neardup-keys"), "rep")
         columns.append("keys")
-    dealt = members.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_compare(percent, every), "a long, b long").distinct()
+    dealt = members.select(*columns).repartition("key", "block", "chunk").sortWithinPartitions("key", "block", "chunk")
+    return dealt.mapInArrow(_compare(percent, matches, every), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -233,8 +259,8 @@ def near_duplicates(
     Two rows are linked when ``100 * |A and B| >= percent * |A or B|`` for their shingle sets; equal sets are grouped
     before anything is compared. A set of fewer words than ``shingle`` is its whole sequence; null and blank texts have
     an empty set and no links. A row without an id has a null component; rows that share an id count as one. A pair at
-    the similarity bound is missed with a chance of about 1e-8 by the lists, at the default 32 of 64 coordinates, and of
-    about 3e-6 by the sketch that members of a list are compared with. Other columns are not read; an empty table gives
+    the similarity bound is missed with a chance of about 1e-8 by the count of collisions, at the default 32 of 64
+    coordinates, and of about 3e-6 by the sketch. Other columns are not read; an empty table gives
     no rows.
     """
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
@@ -246,7 +272,7 @@ def near_duplicates(
     reps = hold(reps, "neardup-sets")
     lists = hold(_prefix(reps.select("rep", "sig"), coords, matches), "neardup-lists")
     listed = lists.select("rep").distinct()
-    named = hold(reps.select("rep", "n_shingles", "sketch").join(listed, "rep", "left_semi"), "neardup-sketches")
+    named = hold(reps.select("rep", "n_shingles", "sig", "sketch").join(listed, "rep", "left_semi"), "neardup-sketches")
     bodies = hold(rows.where("id is not null").join(listed, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"]), "neardup-texts")
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -254,12 +280,12 @@ def near_duplicates(
         return hold(pairs.join(y, "b").join(x, "a").select("a", "b", "body_a", "body_b").mapInArrow(_confirm(shingle, percent), "a long, b long").select(
             F.col("a").alias("u"), F.col("b").alias("v")), "neardup-links")
 
-    a, b = (named.select(F.col("rep").alias(n), F.col("sketch").alias(f"sketch_{n}"), F.col("n_shingles").alias(f"n_{n}")) for n in "ab")
-    stars = _stars(lists).join(a, "a").join(b, "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(_agree(percent), "a long, b long")
+    a, b = (named.select(F.col("rep").alias(n), F.col("sig").alias(f"sig_{n}"), F.col("sketch").alias(f"sketch_{n}"), F.col("n_shingles").alias(f"n_{n}")) for n in "ab")
+    stars = _stars(lists).join(a, "a").join(b, "b").mapInArrow(_agree(percent, matches), "a long, b long")
     edges = links(hold(stars, "neardup-pairs"))
     for last in [False] * _ROUNDS + [True]:
         lists = _still_open(lists, components(edges, _EARLY_STEPS))
-        edges = edges.unionByName(links(hold(_across(lists, named, percent, last), "neardup-pairs")))
+        edges = edges.unionByName(links(hold(_across(lists, named, percent, matches, last), "neardup-pairs")))
     comps = components(edges)
 
     groups = sets.groupBy("fp").agg(F.min("id").alias("rep"))

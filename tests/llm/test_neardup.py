@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfseries.llm import neardup
@@ -47,6 +48,36 @@ def test_family_of_near_copies(make, monkeypatch):
     assert found(neardup.near_duplicates(make(pairs), shingle=4)) == want
 
 
+def test_pairs_below_the_match_threshold_are_not_retained(make):
+    """Collisions decide: no pair can share more coordinates than there are, so an unreachable threshold keeps none."""
+    base = " ".join("w%d" % k for k in range(100))
+    pairs = [(1, base), (2, base + " end")]
+    assert found(neardup.near_duplicates(make(pairs), shingle=4))[2][1] == 1
+    seeds = np.arange(1, 129, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    one, two = (neardup._signature(neardup.shingles(t.encode(), 4), seeds[:64] | np.uint64(1), seeds[64:]) for _, t in pairs)
+    assert 32 <= neardup.collisions(one, two[None])[0] < 65
+    rows = {"rep": [1, 2], "sig": [one.tobytes(), two.tobytes()], "sketch": [neardup.sketch(neardup.shingles(t.encode(), 4)).tobytes() for _, t in pairs]}
+    batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "n_a": [97], "n_b": [98],
+                                        **{f"{c}_{n}": [rows[c][k]] for c in ("sig", "sketch") for k, n in enumerate("ab")}})
+    for matches, kept in ((32, 1), (65, 0)):
+        assert next(neardup._agree(80, matches)([batch])).num_rows == kept
+
+
+def test_a_long_list_stays_near_linear(spark):
+    """100,000 members, of which 300 stand outside the largest component, and a short list."""
+    lists = spark.range(100_000).selectExpr("7L as key", "id as rep", "if(id < 300, id, 999999L) as comp").unionByName(
+        spark.createDataFrame([(8, 1, 1), (8, 2, 2), (9, 5, 5), (9, 6, 5)], "key long, rep long, comp long"))
+    dealt = neardup._dealt(lists).cache()
+    blocks = -(-100_000 // neardup.BLOCK)
+    assert dealt.where("key = 7").count() <= 100_000 + 300 * blocks
+    assert dealt.groupBy("key", "block", "chunk").count().agg({"count": "max"}).first()[0] < 2 * neardup.BLOCK
+    met = dealt.where("asks").select("key", "block", "chunk", "rep").join(
+        dealt.where("home").select("key", "block", "chunk", dealt["rep"].alias("other")), ["key", "block", "chunk"])
+    assert met.where("key = 7").select("rep", "other").distinct().count() == 300 * 100_000
+    assert {tuple(r) for r in dealt.where("key = 8").select("block", "chunk", "rep").collect()} == {(0, 0, 1), (0, 0, 2)}
+    assert dealt.where("key = 9").count() == 0
+
+
 def test_deduplicate(make, odd):
     pairs = unique(odd)
     left = neardup.deduplicate(make(pairs), shingle=4)
