@@ -4,6 +4,9 @@ A window (50 words) is stood for by its minimiser, the hash-smallest of the 25-w
 share one and equal windows have equal ones. Every document adds its distinct minimisers once to a count-min sketch; a
 window that occurs in two documents has a minimiser counted at least twice, and count-min never underestimates, so no
 repeated window escapes. Only documents with a suspected window are written out and grouped by exact window hashes.
+
+The sketch grows with the text, so it suspects no more at any size. Up to a stated size its bits are broadcast; beyond, the
+cells that two documents fill stay a table, and the documents' minimisers are joined with it.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from .words import mix, runs, window_hashes, word_hashes
 #: The sketch has this many rows, each with its own hash; cells of a slice travel together.
 ROWS, SLICE = 2, 1 << 16
 _SALTS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
-#: Bounds of the number of cells in a row; the largest sketch is two rows of 64 MB of bits.
-LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 29
+#: The least number of cells in a row, and the most of a sketch that is broadcast: two rows of 64 MB of bits.
+LEAST_CELLS, BROADCAST_CELLS = 1 << 20, 1 << 29
 _FLUSH = 2_000_000
 
 
@@ -61,8 +64,8 @@ def _sketch_rows(seen: list[np.ndarray], cells: int):
         [pa.array(parts, pa.int64()), pa.array(offsets, pa.binary()), pa.array(counts, pa.binary())], names=["part", "offsets", "counts"])
 
 
-def repeated_cells(docs: DataFrame, width: int, cells: int) -> np.ndarray:
-    """Bits of the cells that at least two documents fill, in all rows of the sketch.
+def repeated_slices(docs: DataFrame, width: int, cells: int) -> DataFrame:
+    """``part, bits``: slices of the sketch, a bit set for each cell that at least two documents fill.
 
     ``docs`` has ``id`` and ``body``. Partitions send the cells they filled; slices are summed in a stream sorted by
     slice, so a task holds one slice at a time, whatever the number of partitions.
@@ -102,27 +105,72 @@ def repeated_cells(docs: DataFrame, width: int, cells: int) -> np.ndarray:
             yield result()
 
     sketch = docs.mapInArrow(fill, "part long, offsets binary, counts binary").repartition("part").sortWithinPartitions("part")
+    return sketch.mapInArrow(merge, "part long, bits binary")
+
+
+def repeated_cells(docs: DataFrame, width: int, cells: int) -> np.ndarray:
+    """The slices of :func:`repeated_slices`, one after the other, for a sketch of at most ``BROADCAST_CELLS``."""
     bits = np.zeros(ROWS * cells // 8, np.uint8)
     step = SLICE // 8
-    for r in sketch.mapInArrow(merge, "part long, bits binary").toLocalIterator():  # at most ROWS * cells / SLICE rows
+    for r in repeated_slices(docs, width, cells).toLocalIterator():  # at most ROWS * cells / SLICE rows
         bits[r["part"] * step:(r["part"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
 
-def suspected(h: np.ndarray, width: int, bits: np.ndarray, cells: int) -> np.ndarray:
-    """Whether each window of the document may also occur in another."""
+def repeated_marks(docs: DataFrame, width: int, cells: int) -> DataFrame:
+    """``id, marks``: the minimisers of each document whose cells are set in all rows of the sketch, by joins with the table
+    of set cells. A cell that many documents fill meets one row of that table, so its side can be split."""
+    def flat(batches):
+        for b in batches:
+            for part, bits in zip(b.column("part").to_pylist(), b.column("bits").to_pylist()):
+                at = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64) + part * SLICE)], names=["cell"])
+
+    def ask(batches):
+        names = ["id", "mark", *(f"cell{r}" for r in range(ROWS))]
+        for b in batches:
+            for i, body in zip(b.column("id"), b.column("body")):
+                if i.is_valid:
+                    m = np.unique(minimisers(word_hashes(body.as_py()), width))
+                    at = [(_cells(m, r, cells) + np.uint64(r * cells)).astype(np.int64) for r in range(ROWS)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(m), i.as_py(), np.int64), m.view(np.int64), *at)], names=names)
+
+    filled = hold(repeated_slices(docs, width, cells).mapInArrow(flat, "cell long"), "substring-cells")
+    asked = docs.mapInArrow(ask, "id long, mark long, " + ", ".join(f"cell{r} long" for r in range(ROWS)))
+    for r in range(ROWS):
+        asked = asked.join(filled.withColumnRenamed("cell", f"cell{r}"), f"cell{r}", "left_semi")
+    return hold(asked.groupBy("id").agg(F.collect_set("mark").alias("marks")), "substring-marks")  # no more than a text has
+
+
+def suspected(h: np.ndarray, width: int, known) -> np.ndarray:
+    """Whether each window of the document may also occur in another; ``known`` tells it of minimisers."""
     m = minimisers(h, width)
     if not len(m):
         return np.empty(0, bool)
     few, back = np.unique(m, return_inverse=True)
-    maybe = np.ones(len(few), bool)
-    for row in range(ROWS):
-        at = _cells(few, row, cells) + np.uint64(row * cells)
-        maybe &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return maybe[back]
+    return known(few)[back]
+
+
+def _by_bits(bits: Broadcast, cells: int):
+    """For the ``i``-th document of a batch, what its sketch bits say of minimisers."""
+    def known(few):
+        maybe = np.ones(len(few), bool)
+        for row in range(ROWS):
+            at = _cells(few, row, cells) + np.uint64(row * cells)
+            maybe &= (bits.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return maybe
 
+    return lambda batch, i: known
 
-def _split(bits: Broadcast, cells: int, width: int, keep_suspects: bool):
+
+def _by_marks(batch, i: int):
+    """The same from the marks that the ``i``-th document was joined with."""
+    marks = batch.column("marks")[i]
+    own = marks.values.to_numpy(zero_copy_only=False).view(np.uint64) if marks.is_valid else np.empty(0, np.uint64)
+    return lambda few: np.isin(few, own)
+
+
+def _split(knows, width: int, keep_suspects: bool):
     """Documents with a suspected window as they are, or the others with all their words kept."""
     def run(batches):
         for b in batches:
@@ -130,7 +178,7 @@ def _split(bits: Broadcast, cells: int, width: int, keep_suspects: bool):
             for i, (ident, body) in enumerate(zip(b.column("id"), b.column("body"))):
                 raw = body.as_py()
                 h = word_hashes(raw)
-                suspect = ident.is_valid and bool(suspected(h, width, bits.value, cells).any())
+                suspect = ident.is_valid and bool(suspected(h, width, knows(b, i)).any())
                 if suspect != keep_suspects:
                     continue
                 chosen.append(i)
@@ -144,20 +192,20 @@ def _split(bits: Broadcast, cells: int, width: int, keep_suspects: bool):
                 yield out
             else:
                 n = len(chosen)
-                columns = [out.column(c) for c in out.schema.names if c != "body"]
+                rest = [c for c in out.schema.names if c not in ("body", "marks")]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(words, pa.int64()), pa.array([0] * n, pa.int64()), pa.array(kept, pa.binary())],
-                    names=[*[c for c in out.schema.names if c != "body"], "n_words", "n_removed", "kept"])
+                    [*[out.column(c) for c in rest], pa.array(words, pa.int64()), pa.array([0] * n, pa.int64()), pa.array(kept, pa.binary())],
+                    names=[*rest, "n_words", "n_removed", "kept"])
     return run
 
 
-def _occurrences(bits: Broadcast, cells: int, width: int):
+def _occurrences(knows, width: int):
     def run(batches):
         for b in batches:
             parts = []
-            for ident, body in zip(b.column("id").to_pylist(), b.column("body")):
+            for i, (ident, body) in enumerate(zip(b.column("id").to_pylist(), b.column("body"))):
                 h = word_hashes(body.as_py())
-                at = np.flatnonzero(suspected(h, width, bits.value, cells))
+                at = np.flatnonzero(suspected(h, width, knows(b, i)))
                 parts.append((np.full(len(at), ident), at, window_hashes(h, width)[at], window_hashes(h, width, 1)[at]))
                 if sum(len(p[1]) for p in parts) > 500_000:
                     yield _windows(parts)
@@ -199,14 +247,14 @@ def _cut(width: int):
 
 def cells_for(docs: DataFrame) -> int:
     """Cells of a sketch row: a power of two near an eighth of the bytes of text (ten times the minimisers of usual
-    prose), within the bounds; a fuller sketch suspects more and is slower, never wrong."""
+    prose), whatever the size; a fuller sketch suspects more and is slower, never wrong."""
     size = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    return min(MOST_CELLS, max(LEAST_CELLS, 1 << max(0, (size // 8 - 1).bit_length())))
+    return max(LEAST_CELLS, 1 << max(0, (size // 8 - 1).bit_length()))
 
 
 def cut_repeats(
     docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), cells: int | None = None,
-    changed_only: bool = False,
+    changed_only: bool = False, most_broadcast: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Per row of ``docs``: ``id, n_words, n_removed, kept`` (UTF-8 bytes of the kept words, joined by one space), and a
     struct ``carried`` of the columns named in ``carry``.
@@ -215,7 +263,8 @@ def cut_repeats(
     are judged on the input. Null text has no words. A row without an id loses nothing and counts for nothing; rows that
     share an id must share the text and take nothing from each other. Documents with the same word sequence as a smaller id are grouped by
     SHA-256 and lose all words at once; their windows are not listed. An empty table gives no rows. With ``changed_only``
-    rows that lose no word are left out, and texts without a suspected window are not written at all.
+    rows that lose no word are left out, and texts without a suspected window are not written at all. A sketch of more than
+    ``most_broadcast`` cells in a row is joined instead of broadcast; the result is the same.
     """
     columns = [F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b"")).alias("body")]
     if carry:
@@ -223,23 +272,27 @@ def cut_repeats(
     rows = docs.select(*columns)
     slim = rows.select("id", "body")
     cells = cells or cells_for(slim)
-    bits = docs.sparkSession.sparkContext.broadcast(repeated_cells(slim, width, cells))
+    keep = [c for c in rows.columns if c != "body"]
+    if cells <= most_broadcast:
+        knows, marks = _by_bits(docs.sparkSession.sparkContext.broadcast(repeated_cells(slim, width, cells)), cells), []
+    else:
+        knows, marks = _by_marks, ["marks"]
+        rows = rows.join(repeated_marks(slim, width, cells), "id", "left").select(*rows.columns, "marks")
 
     extra = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
-    clean = rows.mapInArrow(_split(bits, cells, width, False), f"id long{extra}, n_words long, n_removed long, kept binary")
+    clean = rows.mapInArrow(_split(knows, width, False), f"id long{extra}, n_words long, n_removed long, kept binary")
     schema = rows.schema
-    suspects = hold(rows.mapInArrow(_split(bits, cells, width, True), schema), "substring-suspects")
+    suspects = hold(rows.mapInArrow(_split(knows, width, True), schema), "substring-suspects")
 
     one_space = F.sha2(F.btrim(F.regexp_replace(F.col("body").cast("string"), r"[\x20\x09-\x0D]+", " ")).cast("binary"), 256)
     marked = suspects.select("id", one_space.alias("fp"))
     first = marked.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     copies = hold(marked.join(first.where("first < last"), "fp").where("id > first").select("id").distinct(), "substring-copies")
     firsts = suspects.join(copies, "id", "left_anti")
-    occurrences = firsts.select("id", "body").mapInArrow(_occurrences(bits, cells, width), "w1 long, w2 long, id long, at int")
+    occurrences = firsts.select("id", "body", *marks).mapInArrow(_occurrences(knows, width), "w1 long, w2 long, id long, at int")
     shared = occurrences.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
     shared = hold(shared, "substring-shared")  # a table beside the windows, so that a window that many documents have can be split
     starts = occurrences.join(shared, ["w1", "w2"]).where("id > first").select("id", "at").distinct().groupBy("id").agg(F.collect_list("at").alias("starts"))
-    keep = [c for c in rows.columns if c != "body"]
     cut = firsts.join(hold(starts, "substring-starts"), "id", "left").select(*keep, "body", "starts").mapInArrow(
         _cut(width), f"id long{extra}, n_words long, n_removed long, kept binary")
     n = F.size(F.split(F.btrim(F.regexp_replace(F.col("body").cast("string"), r"[\x20\x09-\x0D]+", " ")), " ")).cast("long")

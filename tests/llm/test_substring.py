@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from shelfseries.llm import substring
+from shelfseries.llm.staging import hold
 from shelfseries.llm.words import window_hashes, word_hashes
 from tests.llm import brute
 
@@ -27,6 +28,39 @@ def test_full_sketch_loses_nothing(make, odd, monkeypatch):
     assert got(substring.cut_repeats(make(pairs), cells=cells)) == brute.cut_repeats(pairs)
 
 
+def test_a_sketch_beyond_the_broadcast_is_joined(make, odd, monkeypatch):
+    """The same result, and documents without a repeated window are suspected no more than with a broadcast."""
+    held = {}
+
+    def keep(df, name):
+        held[name] = hold(df, name)
+        return held[name]
+
+    monkeypatch.setattr(substring, "hold", keep)
+    pairs = [(i, t) for i, t in odd if i is not None]
+    pairs = [(i, t) for i, t in pairs if (i, t) != (21, None)]
+    docs = make(pairs + [(None, pairs[0][1])])
+    listed = []
+    for most in (0, substring.BROADCAST_CELLS):
+        rows = substring.cut_repeats(docs, carry=("source",), most_broadcast=most)
+        assert rows.columns == ["id", "carried", "n_words", "n_removed", "kept"]
+        assert got(rows) == brute.cut_repeats(pairs)
+        assert sum(r["id"] is None for r in rows.collect()) == 1
+        listed.append(sorted(r["id"] for r in held["substring-suspects"].select("id").collect()))
+    assert listed[0] == listed[1]
+    assert not {9, 10, 12, 15, 18, 19, 20, 21} & set(listed[0])
+    assert {"substring-cells", "substring-marks"} <= set(held)
+    assert substring.cut_repeats(make([]), most_broadcast=0).count() == 0
+
+
+def test_the_sketch_grows_with_the_text(spark):
+    """A cell for every eight bytes of text, also beyond the bound of a broadcast."""
+    def docs(megabytes):
+        return spark.range(megabytes).selectExpr("id", f"repeat('x', {1 << 20}) as body")
+
+    assert [substring.cells_for(docs(m)) for m in (1, 64, 512)] == [substring.LEAST_CELLS, 1 << 23, 1 << 26]
+
+
 def test_no_id_and_carried_columns(make, odd):
     docs = make(odd)
     rows = substring.cut_repeats(docs, carry=tuple(docs.columns)).collect()
