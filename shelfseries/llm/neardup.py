@@ -199,9 +199,13 @@ def _prefix(reps: DataFrame, coords: int, matches: int) -> DataFrame:
 
 
 def _still_open(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """Lists with the component of each member, without lists of a single component."""
+    """Lists with the component of each member, without lists of a single component, and with the list's largest component
+    (``major``), its number of ``blocks`` of members and of ``chunks`` of members outside that component."""
     found = lists.select("rep", "key").join(comps, lists["rep"] == comps["u"], "left").select("rep", "key", F.coalesce("component", "rep").alias("comp"))
-    mixed = found.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    sizes = found.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n")).where(F.col("n") > F.col("most.n")).select(
+        "key", F.col("most.comp").alias("major"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("chunks"))
     return hold(found.join(mixed, "key"), "neardup-lists")
 
 
@@ -214,18 +218,14 @@ def _stars(lists: DataFrame) -> DataFrame:
 
 
 def _dealt(lists: DataFrame) -> DataFrame:
-    """``key, block, chunk, rep, comp, minor, home, asks``: members of a list dealt to blocks, and those outside its largest
+    """From :func:`_still_open`: ``key, block, chunk, rep, comp, minor, home, asks``: members of a list dealt to blocks, and those outside its largest
     component (minor) to chunks. A member is at home in its block, beside each chunk; a minor one asks in each block with
     its chunk. So a list of ``m`` members with few minor ones gives little more than ``m`` rows, and no group more than
     about two blocks."""
-    sizes = hold(lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")), "neardup-sizes")
-    most = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n")).select(
-        "key", F.col("most.comp").alias("major"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-        F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("chunks"))
-    members = lists.join(hold(most, "neardup-blocks"), "key").withColumns({
+    members = lists.withColumns({
         "minor": F.col("comp") != F.col("major"),
         "mine": F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"),
-        "own": F.pmod(F.xxhash64("rep"), F.greatest("chunks", F.lit(1))).cast("int")})
+        "own": F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")})
 
     def place(block, chunk):
         return F.struct(block.cast("int").alias("block"), chunk.cast("int").alias("chunk"))
@@ -233,7 +233,7 @@ def _dealt(lists: DataFrame) -> DataFrame:
     at_home = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: place(F.col("mine"), c))
     asking = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: place(b, F.col("own")))
     places = F.when(F.col("minor"), F.array_union(at_home, asking)).otherwise(at_home)
-    return members.where("chunks > 0").withColumn("at", F.explode(places)).select(
+    return members.withColumn("at", F.explode(places)).select(
         "key", "at.block", "at.chunk", "rep", "comp", "minor", (F.col("mine") == F.col("at.block")).alias("home"),
         (F.col("minor") & (F.col("own") == F.col("at.chunk"))).alias("asks"))
 

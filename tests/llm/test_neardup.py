@@ -65,16 +65,18 @@ def test_pairs_below_the_match_threshold_are_not_retained(make):
 
 def test_a_long_list_stays_near_linear(spark):
     """100,000 members, of which 300 stand outside the largest component, and a short list."""
-    lists = spark.range(100_000).selectExpr("7L as key", "id as rep", "if(id < 300, id, 999999L) as comp").unionByName(
-        spark.createDataFrame([(8, 1, 1), (8, 2, 2), (9, 5, 5), (9, 6, 5)], "key long, rep long, comp long"))
-    dealt = neardup._dealt(lists).cache()
+    lists = spark.range(100_000).selectExpr("7L as key", "id as rep").unionByName(
+        spark.createDataFrame([(8, 100_001), (8, 100_002), (9, 100_005), (9, 100_006)], "key long, rep long"))
+    comps = spark.range(300, 100_000).selectExpr("id as u", "999999L as component").unionByName(
+        spark.createDataFrame([(100_006, 100_005)], "u long, component long"))
+    dealt = neardup._dealt(neardup._still_open(lists, comps)).cache()
     blocks = -(-100_000 // neardup.BLOCK)
     assert dealt.where("key = 7").count() <= 100_000 + 300 * blocks
     assert dealt.groupBy("key", "block", "chunk").count().agg({"count": "max"}).first()[0] < 2 * neardup.BLOCK
     met = dealt.where("asks").select("key", "block", "chunk", "rep").join(
         dealt.where("home").select("key", "block", "chunk", dealt["rep"].alias("other")), ["key", "block", "chunk"])
     assert met.where("key = 7").select("rep", "other").distinct().count() == 300 * 100_000
-    assert {tuple(r) for r in dealt.where("key = 8").select("block", "chunk", "rep").collect()} == {(0, 0, 1), (0, 0, 2)}
+    assert {tuple(r) for r in dealt.where("key = 8").select("block", "chunk", "rep").collect()} == {(0, 0, 100_001), (0, 0, 100_002)}
     assert dealt.where("key = 9").count() == 0
 
 
