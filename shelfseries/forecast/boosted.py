@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators.windows import cols, lagged, last_values
+from ..sources.staging import hold
 
 TREES, DEPTH, RATE, LAGS = 100, 4, 0.05, 3
 LEAF_PENALTY = 1.0
@@ -153,11 +154,14 @@ def pooled_boosting(
 
     Values are divided by the mean of their series so that series of any size
     share the trees; the keys enter as indexed features. Each step of the
-    recursion shifts the lag columns, so the plan stays narrow.
+    recursion shifts the lag columns, so the plan stays narrow. The panel, the
+    training rows and the state before the first step are held: training, residuals
+    and every step read them and not the transactions.
     """
     if not keys:
         # a constant key, so that one series takes the same path as many
         return pooled_boosting(panel.withColumn("_series", F.lit("all")), ("_series",), horizon, date_col, value_col, trees).drop("_series")
+    panel = hold(panel.select(*cols(keys), F.col(f"`{date_col}`"), F.col(f"`{value_col}`")), "pooled-panel")
     mean = panel.groupBy(*cols(keys)).agg(F.avg(F.col(f"`{value_col}`")).alias("_mean"))
     unit = F.when(F.col("_mean") > 0, F.col("_mean")).otherwise(F.lit(1.0))
 
@@ -169,7 +173,7 @@ def pooled_boosting(
     indexed = [f"_key{i}" for i in range(len(keys))]
     calendar_cols = {"_month": F.month(d).cast("double"), "_quarter": F.quarter(d).cast("double")}
     scaled = with_unit(panel).withColumn("_y", F.col(f"`{value_col}`") / F.col("_unit"))
-    train = lagged(scaled, keys, LAGS, date_col, "_y").withColumns(calendar_cols)
+    train = hold(lagged(scaled, keys, LAGS, date_col, "_y").withColumns(calendar_cols), "pooled-train")
     stages = [
         *[StringIndexer(inputCol=k, outputCol=i, handleInvalid="keep") for k, i in zip(keys, indexed)],
         VectorAssembler(inputCols=[*lag_names, "_month", "_quarter", *indexed], outputCol="features"),
@@ -190,7 +194,7 @@ def pooled_boosting(
     ).withColumn(
         date_col, cal.next_month("_last")
     )
-    state = state.join(residual, list(keys))
+    state = hold(state.join(residual, list(keys)), "pooled-state")
     steps = []
     for step in range(1, horizon + 1):
         predicted = model.transform(state.withColumns(calendar_cols)).withColumn("_p", F.greatest("_p", F.lit(0.0)))

@@ -165,6 +165,21 @@ def test_pooled_boosting(spark):
     assert boosted.pooled_boosting(df.where("key = 'shop'").drop("key"), (), 1, trees=5).count() == 1
 
 
+def test_pooled_boosting_reads_the_panel_once(spark):
+    """Training, residuals and all steps share one evaluation of what the panel comes from."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = panel(spark, shop=golden.MONTHLY, double=[2 * v for v in golden.MONTHLY])
+    rows = df.count()
+    out = boosted.pooled_boosting(df.mapInPandas(counted, df.schema), ("key",), horizon=3, trees=2)
+    assert out.count() == 6 and seen.value == rows
+
+
 def test_history_and_forecast_axis(spark):
     df = panel(spark, shop=golden.MONTHLY)
     out = models.history_and_forecast(df, models.forecast(df, ("key",), "TrendSeasonal"), ("key",))
