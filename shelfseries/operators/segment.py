@@ -63,7 +63,8 @@ def product_features(df: DataFrame, key: str | None = None, approximate_orders:
     but the order count comes from that small table), one for the distinct
     orders, which Spark de-duplicates by (product, order) before counting, so a
     hot product is spread out. Growth and volatility count absent years and
-    months as 0 without writing them out.
+    months as 0 without writing them out. The history that follows the product-month
+    totals stays where the product is: one shuffle deals them out for all its steps.
     """
     key = key or product_key(df)
     metas = [m for m in ("Category", "Sub-Category") if m in df.columns and m != key]
@@ -107,7 +108,7 @@ def _sales_history(monthly: DataFrame, key: str) -> DataFrame:
     months = monthly.agg(F.count_distinct("YearMonth")).scalar()
 
     yearly = (
-        monthly.groupBy(_c(key), "Year", "YearMonth").agg(F.sum("s").alias("s"))
+        monthly.repartition(_c(key)).groupBy(_c(key), "Year", "YearMonth").agg(F.sum("s").alias("s"))
         .groupBy(_c(key), "Year").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("squares"))
         .join(F.broadcast(years), "Year")
     )
@@ -147,7 +148,11 @@ def _most_frequent(monthly: DataFrame, key: str, metas: list[str]) -> DataFrame:
 
 
 def scale_features(features: DataFrame) -> DataFrame:
-    """Adds ``z_<feature>``: log of the skewed ones, then standardised by the population deviation."""
+    """Adds ``z_<feature>``: log of the skewed ones, then standardised by the population deviation.
+
+    The features are held: their statistics and the scaling read them, and neither works them out again.
+    """
+    features = hold(features, "features")
     logged = {f: F.log1p(_c(f)) if f in LOGGED else _c(f) for f in FEATURES}
     stats = features.agg(F.struct(
         *[F.avg(e).alias(f"a_{f}") for f, e in logged.items()],

@@ -104,6 +104,20 @@ def test_seeds_do_not_depend_on_the_layout(spark):
         assert np.array_equal(a, b) and np.array_equal(n, m)
 
 
+def test_scaling_works_out_the_features_once(spark, facts):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    features = segment.product_features(transactions(spark, facts))
+    rows = features.count()
+    scaled = segment.scale_features(features.mapInPandas(counted, features.schema))
+    assert len(scaled.collect()) == rows and seen.value == rows
+
+
 def test_few_distinct_points(spark):
     df = spark.createDataFrame([(1.0, 1.0)] * 5 + [(2.0, 2.0)], "a double, b double")
     found, cost = kmeans.fit_many(df, ["a", "b"], [1, 4], 2, 42)[4]
