@@ -38,6 +38,16 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*held: DataFrame) -> None:
+    """Removes tables that ``hold`` wrote and no later step reads, so that the disk has only what is still needed."""
+    for df in held:
+        files = df.inputFiles()
+        if files:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def positions(df: DataFrame, order: list[str], name: str, weight: Column | None = None, partitions: int | None = None) -> DataFrame:
     """``df`` held, with ``position``: the sum of ``weight`` (1 if None) over all rows before this one in ``order``.
 

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import hold
+from .staging import discard, hold
 from .words import find, runs, word_grams
 
 #: Bytes that a byte is predicted from, and one.
@@ -237,6 +237,7 @@ def learn(grams: DataFrame, most_grams: int = MOST_GRAMS) -> Differences:
     discounts = {m: _share(int(once[size == m].sum()), int(twice[size == m].sum())) for m in range(SHARED + 1, ORDER)}
     start = spark.sparkContext.broadcast(Backoff(codes, p, discounts))
     table = hold(dealt.mapInArrow(_differences(start), "context long, code long, value double, docs long, grams long"), "toxicity-differences")
+    discard(grams)
     sizes = {r["size"]: r for r in table.groupBy(F.floor(F.log2("docs") * 8).alias("size")).agg(F.sum("grams").alias("grams"), F.min("docs").alias("least")).collect()}  # eight rows per power of two
     least, held, whole = 1 << 62, 0, True
     for k in sorted(sizes, reverse=True):
@@ -298,11 +299,14 @@ def _sum_words(head: Broadcast, whole: bool):
 
 
 def word_values(words: DataFrame, model: Differences) -> DataFrame:
-    """``word, n, value``: the difference of each word of ``words`` (``word, n``), summed over its bytes and its end."""
+    """``word, n, value`` as a held table: the difference of each word of ``words`` (``word, n``), summed over its bytes and
+    its end."""
     words = hold(words.withColumn("number", F.monotonically_increasing_id()), "toxicity-words")
     sums = words.mapInArrow(_sum_words(model.head, model.rest is None), "number long, code long, value double")
     if model.rest is None:
-        return words.join(sums.select("number", "value"), "number").select("word", "n", "value")
+        values = hold(words.join(sums.select("number", "value"), "number").select("word", "n", "value"), "toxicity-values")
+        discard(words)
+        return values
     sums = hold(sums, "toxicity-sums")
     seen = model.rest.where("code is not null").select("code", F.col("value").alias("seen"))
     unseen = model.rest.where("code is null").select("context", F.col("value").alias("unseen"))
@@ -310,7 +314,9 @@ def word_values(words: DataFrame, model: Differences) -> DataFrame:
     found = asked.join(unseen, "context").join(seen, "code", "left").select("code", F.coalesce("seen", "unseen").alias("value"))  # other contexts give 0
     rest = sums.where("code is not null").select("number", "code").join(found, "code").select("number", "value")
     total = sums.where("code is null").select("number", "value").unionByName(rest).groupBy("number").agg(F.sum("value").alias("value"))
-    return words.join(total, "number").select("word", "n", "value")
+    values = hold(words.join(total, "number").select("word", "n", "value"), "toxicity-values")
+    discard(words, sums)
+    return values
 
 
 class _Numbers(dict):
@@ -359,11 +365,12 @@ def _look_up(head: Broadcast):
     return run
 
 
-def _features(rows: DataFrame, model: Differences, head: int = HEAD) -> DataFrame:
-    """``id, x`` and ``carried`` if there is one per row of ``rows`` (``id, body``); ``x`` are the features."""
+def _features(rows: DataFrame, model: Differences, head: int = HEAD) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """``id, x`` and ``carried`` if there is one per row of ``rows`` (``id, body``); ``x`` are the features. And the held tables
+    that these are read from."""
     spark = rows.sparkSession
     words = rows.select("body").mapInArrow(_list_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    values = hold(word_values(words, model), "toxicity-values")
+    values = word_values(words, model)
     top = values.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("n").desc(), "word").limit(head).toArrow()
     frequent = spark.sparkContext.broadcast((top["word"].to_pylist(), top["value"].to_numpy()))
     carry = ["carried"] if "carried" in rows.columns else []
@@ -379,7 +386,7 @@ def _features(rows: DataFrame, model: Differences, head: int = HEAD) -> DataFram
     best = F.sort_array(F.concat("top", F.coalesce("_top", F.array().cast("array<double>"))), False)
     tops = [F.coalesce(F.get(best, F.lit(i)), F.lit(0.0)) for i in range(3)]
     x = F.array(total / F.greatest(size, F.lit(1)), *tops, telling, telling / F.sqrt(F.greatest(n, F.lit(1))), F.log1p(n))
-    return both.select("id", x.alias("x"), *carry)
+    return both.select("id", x.alias("x"), *carry), (values, parts)
 
 
 def _body(text_col: str) -> Column:
@@ -406,7 +413,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grams = words.mapInArrow(_count_grams, "code long, n0 long, n1 long").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     model = learn(grams, most_grams)
     fold_one = train.where(fold(F.col("id")) == 1).select("id", "body", F.struct("toxic").alias("carried"))
-    rows = _features(fold_one, model).select("carried.toxic", "x").toArrow()
+    features, held = _features(fold_one, model)
+    rows = features.select("carried.toxic", "x").toArrow()
+    discard(*held)
     y = rows["toxic"].to_numpy().astype(float)
     if len(y) and 0 < y.mean() < 1:
         scale, weights = logistic(np.array(rows["x"].to_pylist()), y)
@@ -428,7 +437,7 @@ def score(docs: DataFrame, fitted: tuple[Differences, np.ndarray, np.ndarray], i
     for k in range(FEATURES):
         z = z + F.col("x")[k] * float(weights[k] / scale[k])
     z = F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))
-    scored = _features(docs.select(*columns), model)
+    scored, _ = _features(docs.select(*columns), model)
     return scored.select("id", *["carried"] * bool(carry), (1 / (1 + F.exp(-z))).alias("score"))
 
 

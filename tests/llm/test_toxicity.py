@@ -1,10 +1,12 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from shelfseries.llm import toxicity
+from shelfseries.llm.staging import shared_folder
 from shelfseries.llm.words import word_grams
 
 
@@ -126,3 +128,15 @@ def test_word_values_against_the_whole_model(spark):
     for most in (1_000_000, 20, 0):
         got = {bytes(r["word"]): r["value"] for r in toxicity.word_values(listed, toxicity.learn(grams, most)).collect()}
         assert np.allclose([got[w] for w in asked], expected, atol=1e-6)
+
+
+def test_fit_leaves_only_the_model_on_disk(make, odd, spark):
+    """Tables that only the fit reads are gone after it; the score still has what it reads."""
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(folder.glob("toxicity-*"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 23)], "doc_id long, toxic int")
+    fitted = toxicity.fit(make(odd), labels, most_grams=50)
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("toxicity-*")) - before} == {"toxicity-differences"}
+    scored = toxicity.score(make(odd), fitted)
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("toxicity-*")) - before} == {"toxicity-differences", "toxicity-values", "toxicity-parts"}
+    assert len(scored.collect()) == len(odd) == len(scored.collect())
