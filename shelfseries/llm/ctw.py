@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frequent import HEAD, MORE, Frequent, Places, frequent, hashes, least_count
 from .staging import hold
-from .words import find, runs
+from .words import Slots, find, runs
 
 #: Bytes of context.
 DEPTH = 6
@@ -33,8 +35,6 @@ ROOT = 3
 HEAD_CODES = 1 << 21
 #: Codes whose trees a task works out together, about.
 _SLICE = 500_000
-#: Frequent words that tasks look up in memory, none longer than this many bytes; all others are joined.
-HEAD, HEAD_BYTES = 1 << 17, 64
 #: Byte after a text, and before it, as often as there are bytes of context.
 END = b"\n"
 _FLUSH = 400_000
@@ -237,12 +237,13 @@ def _count_grams(depth: int):
                 bodies = b.column("body").filter(pa.array(train == learn))
                 for _, codes, begin, size in coded((x.as_py() for x in bodies), depth):
                     few, m = np.unique(codes[_inside(len(codes), begin, size)], return_counts=True)
+                    m = m.astype(np.int32)  # a stretch has fewer bytes
                     seen.append((few, m if learn else np.zeros_like(m), m))
                     held += len(few)
-                    if held > 2_000_000:
+                    if held > 3_000_000:
                         seen = [_merge(seen)]
                         held = len(seen[0][0])
-                        if held > 1_000_000:
+                        if held > 2_250_000:
                             yield _grams(*seen[0])
                             seen, held = [], 0
         if seen:
@@ -259,7 +260,7 @@ def _inside(n: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _grams(codes, n, m):
-    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n), pa.array(m)], names=["code", "n", "m"])
+    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), *[pa.array(x.astype(np.int64)) for x in (n, m)]], names=["code", "n", "m"])
 
 
 def _nodes(table: np.ndarray, level: int):
@@ -423,80 +424,72 @@ def code_values(grams: DataFrame, depth: int, most_pairs: int | None = None) ->
     return lower.where("code is not null"), lambda rows: rows.select("code", "m", "p").mapInArrow(_finish(shared), "code long, m long, value double")
 
 
-def _least(codes: DataFrame, most: int) -> int:
-    """The count from which on at most ``most`` codes have it."""
-    size = F.floor(F.log2("m") * 8)
-    sizes = {r["size"]: (r["codes"], r["least"]) for r in codes.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("codes"), F.min("m").alias("least")).collect()}  # eight rows per power of two
-    least, held = 1 << 62, 0
-    for s in sorted(sizes, reverse=True):
-        held += sizes[s][0]
-        if held > most:
-            break
-        least = sizes[s][1]
-    return least
-
-
-class _Numbers(dict):
-    def __missing__(self, word):
-        return -1
-
-
 _PARTS = "row long, word binary, code long, n long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
-def _look_up(head: Broadcast, frequent: Broadcast, depth: int, end: tuple[float, bool]):
+def _look_up(head: Broadcast, known: Broadcast, depth: int, base: Callable, end: tuple[float, bool]):
     """A row per document with what its frequent codes and words and its end give, and a row per other code or word of it."""
     from pyspark import TaskContext
 
     def run(batches):
-        number = _Numbers((w, i) for i, w in enumerate(head.value[0]))
-        known, base = head.value[1:]
-        table, value = frequent.value
+        top: Frequent = head.value
+        place, more = Places(top.words), Slots(top.hashes)
+        own_seen, own_base, more_seen, more_base = (x for c in (top.numbers, top.more) for x in ((c > 0).astype(np.int64), base(c)))
+        table, value = known.value
+        slots = Slots(table)
         row = (TaskContext.get().partitionId() << 36) + 1
         for b in batches:
             score = np.zeros(b.num_rows)
             for texts, codes, begin, size in coded((x.as_py() for x in b.column("body")), depth):
-                few, back = np.unique(codes[_inside(len(codes), begin, size)], return_inverse=True)
-                text = np.repeat(texts, size)
-                at, hit = find(table, few)
-                here = np.where(hit, value[at], 0.0) if len(table) else np.zeros(len(few))
-                score += np.bincount(text, here[back], b.num_rows)
-                rare = ~hit[back]
-                if rare.any():
-                    pair, n = np.unique(text[rare] * len(few) + back[rare], return_counts=True)
-                    yield _rare_codes(row + pair // len(few), few[pair % len(few)], n)
-            out = []
-            for i, held, s, body in zip(b.column("id").to_pylist(), b.column("held_out").to_pylist(), score.tolist(), b.column("body")):
-                n, seen, b_sum, rest = 1, int(end[1]), end[0], Counter()
+                codes, text = codes[_inside(len(codes), begin, size)], np.repeat(texts, size)
+                at, hit = slots.find(codes)
+                rare = np.flatnonzero(~hit)
+                if len(table):
+                    here = value[at]
+                    here[rare] = 0
+                    score += np.bincount(text, here, b.num_rows)
+                if len(rare):
+                    few, back = np.unique(codes[rare], return_inverse=True)
+                    pair, n = np.unique(text[rare] * len(few) + back, return_counts=True)
+                    yield _parts(len(n), row=row + pair // len(few), code=few[pair % len(few)].view(np.int64), n=n)
+            tokens, seen, total = np.ones(b.num_rows, np.int64), np.full(b.num_rows, int(end[1])), np.full(b.num_rows, end[0])
+            text, words, n = [], [], []
+
+            def others():
+                """Adds the words held by hash; a row for each one that is not."""
+                at, hit = more.find(hashes(words))
+                k, times, here = np.array(text), np.array(n), at[hit]
+                np.add.at(seen, k[hit], times[hit] * more_seen[here])
+                np.add.at(total, k[hit], times[hit] * more_base[here])
+                return _parts(int((~hit).sum()), row=row + k[~hit], word=list(compress(words, ~hit)), n=times[~hit])
+
+            for k, body in enumerate(b.column("body")):
+                rest = Counter()
                 for ws in runs(body.as_py().lower()):
-                    at = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
+                    at = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
                     hit = at[at >= 0]
-                    n += len(ws)
-                    seen += int(known[hit].sum())
-                    b_sum += float(base[hit].sum())
-                    rest.update([ws[k] for k in np.flatnonzero(at < 0).tolist()])
-                out.append((row, None, None, None, i, held, n, seen, b_sum, s))
-                out.extend((row, w, None, k, None, None, None, None, None, None) for w, k in rest.items())
-                row += 1
-                if len(out) > 50_000:
-                    yield _parts(out)
-                    out = []
-            if out:
-                yield _parts(out)
+                    tokens[k] += len(ws)
+                    seen[k] += own_seen[hit].sum()
+                    total[k] += own_base[hit].sum()
+                    rest.update(compress(ws, at < 0))
+                text.extend(repeat(k, len(rest)))
+                words.extend(rest.keys())
+                n.extend(rest.values())
+                if len(words) > 50_000:
+                    yield others()
+                    text, words, n = [], [], []
+            if words:
+                yield others()
+            yield _parts(b.num_rows, row=row + np.arange(b.num_rows), id=b.column("id"), held_out=b.column("held_out"), n_tokens=tokens, n_known=seen, base=total, score=score)
+            row += b.num_rows
     return run
 
 
-_KINDS = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-_NAMES = ["row", "word", "code", "n", "id", "held_out", "n_tokens", "n_known", "base", "score"]
-
-
-def _parts(rows):
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
+_KINDS = {"row": pa.int64(), "word": pa.binary(), "code": pa.int64(), "n": pa.int64(), "id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64()}
 
 
-def _rare_codes(row, code, n):
-    have = {"row": row, "code": code.view(np.int64), "n": n}
-    return pa.RecordBatch.from_arrays([pa.array(have[c], k) if c in have else pa.nulls(len(row), k) for c, k in zip(_NAMES, _KINDS)], names=_NAMES)
+def _parts(size: int, **have):
+    return pa.RecordBatch.from_arrays([pa.array(have[c], k) if c in have else pa.nulls(size, k) for c, k in _KINDS.items()], names=list(_KINDS))
 
 
 def grow(grams: DataFrame, depth: int, most: int) -> Tree:
@@ -522,7 +515,7 @@ def grow(grams: DataFrame, depth: int, most: int) -> Tree:
 
 def score(
     docs: DataFrame, held_out: Column, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text",
-    head: int = HEAD, most_pairs: int | None = None, head_codes: int = HEAD_CODES,
+    head: int = HEAD, most_pairs: int | None = None, head_codes: int = HEAD_CODES, more: int = MORE,
 ) -> DataFrame:
     """Per row of ``docs``: ``id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -530,8 +523,9 @@ def score(
     words, A-Z in lower case, and one end. ``base_score`` is the log10-probability under smoothed token counts, ``score``
     that of the same tokens under the context trees; ``-score`` per byte is the code length. Null text is empty: the end
     alone. Without training rows every bit costs one bit. Rows that repeat are scored each; a null id stays null.
-    The model has all that training has seen, unless ``most_pairs`` asks for one of bounded size. ``head`` and ``head_codes``
-    say how many words and codes are looked up in memory instead of joined; results do not depend on them.
+    The model has all that training has seen, unless ``most_pairs`` asks for one of bounded size. ``head``, ``more`` and
+    ``head_codes`` say how many words, words by hash, and codes are looked up in memory instead of joined; results do not
+    depend on them.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
@@ -544,7 +538,7 @@ def score(
 
     grams = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(_count_grams(depth), "code long, n long, m long")
     codes, valued = code_values(grams.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), depth, most_pairs)
-    least = _least(codes, head_codes)
+    least, _ = least_count(codes, "m", head_codes)
     table = valued(codes.where(F.col("m") >= least)).select("code", "value").toArrow()  # head_codes at most
     sort = np.argsort(table["code"].to_numpy().view(np.uint64))
     known = spark.sparkContext.broadcast((table["code"].to_numpy().view(np.uint64)[sort], table["value"].to_numpy()[sort]))
@@ -552,10 +546,8 @@ def score(
     def base(c):
         return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
 
-    top = words.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("c").desc(), "word").limit(head).toArrow()
-    c = top["c"].to_numpy()
-    frequent = spark.sparkContext.broadcast((top["word"].to_pylist(), (c > 0).astype(np.int64), base(c)))
-    parts = hold(rows.mapInArrow(_look_up(frequent, known, depth, (float(base(ends)), ends > 0)), _PARTS), "ctw-parts")
+    top = spark.sparkContext.broadcast(frequent(words, "c", "c", head, more))
+    parts = hold(rows.mapInArrow(_look_up(top, known, depth, base, (float(base(ends)), ends > 0)), _PARTS), "ctw-parts")
     rare = F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))
     own = parts.where("n is null").select("row", "id", "held_out", "n_tokens", "n_known", "base", "score")
     nothing = [F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("held_out")]

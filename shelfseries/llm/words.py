@@ -112,3 +112,43 @@ def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.searchsorted(table, keys)
     at[at == len(table)] = 0
     return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
+
+
+#: Odd numbers; the high bits of a key's product with one of them are its slot.
+_SLOTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+
+
+class Slots:
+    """Finds keys in a sorted table as :func:`find` does. A key stands in a slot of one of a few hash tables, each for what the
+    one before could not place; the few keys that none has placed are searched for."""
+
+    def __init__(self, table: np.ndarray):
+        self.table, self.levels = table, []
+        left = np.arange(len(table), dtype=np.int32)
+        for factor in _SLOTS:
+            if not len(left):
+                break
+            shift = np.uint64(63 - len(left).bit_length())
+            at = np.zeros(1 << (64 - int(shift)), np.int32)
+            slot = (table[left] * np.uint64(factor)) >> shift
+            at[slot] = left
+            self.levels.append((np.uint64(factor), shift, at))
+            left = left[at[slot] != left]
+        self.left = left
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the table the keys stand, and whether they are there."""
+        out, hit, open_ = np.zeros(len(keys), np.int32), np.zeros(len(keys), bool), None
+        for factor, shift, at in self.levels:
+            asked = keys if open_ is None else keys[open_]
+            here = at[(asked * factor) >> shift]
+            found = self.table[here] == asked
+            if open_ is None:
+                out, hit, open_ = here, found, np.flatnonzero(~found)
+            else:
+                out[open_[found]], hit[open_[found]] = here[found], True
+                open_ = open_[~found]
+        if len(self.left):
+            here, found = find(self.table[self.left], keys[open_])
+            out[open_[found]], hit[open_[found]] = self.left[here[found]], True
+        return out, hit
