@@ -8,12 +8,14 @@ the same difference of its most telling words; a logistic curve, fitted on label
 turns these into a score.
 
 All n-grams of the labelled sample are a table. Each distinct word of the texts gets its difference once: n-grams of frequent
-contexts are looked up in memory, all others joined. Texts find frequent words in memory and the others by a join.
+contexts are looked up in memory, all others joined. Texts find frequent words in memory, most of them by a hash, and the
+others by a join.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
@@ -22,18 +24,17 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frequent import HEAD, MORE, Frequent, Places, frequent, hashes
 from .staging import discard, hold
-from .words import find, runs, word_grams
+from .words import Slots, find, runs, word_grams
 
 #: Bytes that a byte is predicted from, and one.
 ORDER = 7
 #: Labelled documents that are used at most, and n-grams that tasks look up in memory (those of the most frequent contexts).
 MOST_LABELS, MOST_GRAMS = 200_000, 1_000_000
-#: Frequent words that tasks look up in memory, none longer than this many bytes.
-HEAD, HEAD_BYTES = 1 << 17, 64
 #: A word counts as telling from this difference on (nats).
 TELLING = 3.0
-_FLUSH = 400_000
+_FLUSH = 200_000
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -319,11 +320,6 @@ def word_values(words: DataFrame, model: Differences) -> DataFrame:
     return values
 
 
-class _Numbers(dict):
-    def __missing__(self, word):
-        return -1
-
-
 def _look_up(head: Broadcast):
     """A row per text with what its frequent words give, and a row per other distinct word of it."""
     from pyspark import TaskContext
@@ -331,52 +327,67 @@ def _look_up(head: Broadcast):
     kinds = {"row": pa.int64(), "word": pa.binary(), "n": pa.int64(), "total": pa.float64(), "size": pa.int64(), "top": pa.list_(pa.float64()), "telling": pa.float64(), "id": pa.int64()}
 
     def run(batches):
-        words, value = head.value
-        number = _Numbers((w, i) for i, w in enumerate(words))
-        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        top: Frequent = head.value
+        place, slots = Places(top.words), Slots(top.hashes)
+        value, more = np.append(top.numbers, 0.0), np.append(top.more, 0.0)
         row = TaskContext.get().partitionId() << 36
+        own, group, words = [], [], []
+
+        def others(carried):
+            """Notes what the texts of the group have in memory; a row for each word that is not."""
+            nonlocal row
+            at, hit = slots.find(hashes(words))
+            at = np.where(hit, at, -1)
+            k, rows, counts = 0, [], []
+            for seen, places in group:
+                row += 1
+                known, v, n = places >= 0, value[places], np.fromiter(seen.values(), np.int64, len(seen))
+                rest = np.flatnonzero(~known)
+                found = at[k:k + len(rest)]
+                k += len(rest)
+                v[rest], known[rest] = more[found], found >= 0
+                size = np.fromiter(map(len, seen), np.int64, len(seen)) + 1
+                rows.append(np.full(len(seen) - np.count_nonzero(known), row))
+                counts.append(n[~known])
+                v, n = v[known], n[known]
+                own.append((row, None, len(v), float((v * n).sum()), int((size[known] * n).sum()), np.sort(v)[:-4:-1].tolist(), float(np.maximum(v - TELLING, 0).sum())))
+            have = [pa.array(np.concatenate(rows)), pa.array(list(compress(words, ~hit)), pa.binary()), pa.array(np.concatenate(counts))]
+            have += [pa.nulls(len(have[0]), k) for k in list(kinds.values())[3:]] + ([pa.nulls(len(have[0]), carried)] if carried is not None else [])
+            group.clear()
+            words.clear()
+            return pa.RecordBatch.from_arrays(have, names=[*kinds] + ["carried"] * (carried is not None))
+
         for b in batches:
-            own, rest = [], []
             carried = b.column("carried").type if "carried" in b.schema.names else None
             for body in b.column("body"):
-                row += 1
                 seen = Counter()
                 for ws in runs(body.as_py().lower()):
                     seen.update(ws)
-                at = np.fromiter(map(number.__getitem__, seen), np.int64, len(seen))
-                n = np.fromiter(seen.values(), np.int64, len(seen))
-                hit = at >= 0
-                v = value[at[hit]]
-                own.append((row, None, int(hit.sum()), float((v * n[hit]).sum()), int((size[at[hit]] * n[hit]).sum()), np.sort(v)[:-4:-1].tolist(), float(np.maximum(v - TELLING, 0).sum())))
-                rest.extend((row, w, k) for (w, k), h in zip(seen.items(), hit.tolist()) if not h)
-                if len(rest) > 50_000:
-                    yield rare(rest, carried)
-                    rest = []
-            if rest:
-                yield rare(rest, carried)
+                at = np.fromiter(map(place.__getitem__, seen), np.int64, len(seen))
+                group.append((seen, at))
+                words.extend(compress(seen, at < 0))
+                if len(words) > 20_000 or len(group) > 1_000:
+                    yield others(carried)
+            if group:
+                yield others(carried)
             if own:
                 columns = [pa.array(c, k) for c, k in zip(zip(*own), kinds.values())] + [b.column("id")]
                 yield pa.RecordBatch.from_arrays(columns + ([b.column("carried")] if carried is not None else []), names=[*kinds] + ["carried"] * (carried is not None))
-
-    def rare(rows, carried):
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())]
-        columns += [pa.nulls(len(rows), k) for k in list(kinds.values())[3:]] + ([pa.nulls(len(rows), carried)] if carried is not None else [])
-        return pa.RecordBatch.from_arrays(columns, names=[*kinds] + ["carried"] * (carried is not None))
+                own.clear()
     return run
 
 
-def _features(rows: DataFrame, model: Differences, head: int = HEAD) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+def _features(rows: DataFrame, model: Differences, head: int = HEAD, more: int = MORE) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """``id, x`` and ``carried`` if there is one per row of ``rows`` (``id, body``); ``x`` are the features. And the held tables
     that these are read from."""
     spark = rows.sparkSession
     words = rows.select("body").mapInArrow(_list_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     values = word_values(words, model)
-    top = values.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("n").desc(), "word").limit(head).toArrow()
-    frequent = spark.sparkContext.broadcast((top["word"].to_pylist(), top["value"].to_numpy()))
+    top = spark.sparkContext.broadcast(frequent(values, "n", "value", head, more))
     carry = ["carried"] if "carried" in rows.columns else []
     extra = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
     parts = hold(rows.mapInArrow(
-        _look_up(frequent), f"row long, word binary, n long, total double, size long, top array<double>, telling double, id long{extra}"), "toxicity-parts")
+        _look_up(top), f"row long, word binary, n long, total double, size long, top array<double>, telling double, id long{extra}"), "toxicity-parts")
     v, n = F.col("value"), F.col("k")
     rest = parts.where("word is not null").select("row", "word", F.col("n").alias("k")).join(values.select("word", "value"), "word").groupBy("row").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(v * n).alias("_total"), F.sum((F.octet_length("word") + 1) * n).alias("_size"),
