@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frequent import HEAD, MORE, Frequent, Places, frequent, hashes, least_count
-from .staging import hold
+from .staging import hold, text_batches
 from .words import Slots, find, runs
 
 #: Bytes of context.
@@ -57,10 +57,10 @@ def codes_after(before: bytes, data: bytes) -> np.ndarray:
     return out
 
 
-def coded(bodies, depth: int):
+def coded(bodies, depth: int, chunk: int | None = None):
     """``(texts, codes, begin, size)`` for stretches of texts: the numbers of the texts that the stretch has parts of,
     codes of all their bytes, and where in the codes each part stands."""
-    group, held, pad = [], 0, END * depth
+    group, held, pad, chunk = [], 0, END * depth, chunk or _CHUNK
 
     def stretch():
         data = (END * (depth - 1)).join([x for _, x in group])
@@ -70,14 +70,14 @@ def coded(bodies, depth: int):
 
     for k, body in enumerate(bodies):
         data = stream(body)
-        if len(data) > _CHUNK:
-            for at in range(0, len(data), _CHUNK):
-                part = data[at:at + _CHUNK]
+        if len(data) > chunk:
+            for at in range(0, len(data), chunk):
+                part = data[at:at + chunk]
                 yield [k], codes_after((pad + data[max(0, at - depth):at])[-depth:], part), np.zeros(1, np.int64), np.array([len(part)])
             continue
         group.append((k, data))
         held += len(data)
-        if held > _CHUNK:
+        if held > chunk:
             yield stretch()
             group, held = [], 0
     if group:
@@ -218,36 +218,40 @@ def _count_words(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
 
 
-def _merge(parts: list[tuple]) -> tuple[np.ndarray, ...]:
-    """The sums of ``(codes, n, m)`` per code; sorted parts are merged as runs."""
-    codes, *counts = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(codes, kind="stable")
-    codes = codes[order]
-    begin = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, np.int64)
-    return codes[begin], *(np.add.reduceat(c[order], begin) if len(begin) else c for c in counts)
+def _add(table: tuple | None, codes: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(codes, n, m)`` with the counts of more codes, sorted and distinct: those of known codes are added in place, and
+    new codes inserted, so that nothing but the table itself is held twice."""
+    if table is None:
+        return codes, n, m
+    at = np.searchsorted(table[0], codes)
+    np.minimum(at, len(table[0]) - 1, out=at)
+    hit = table[0][at] == codes
+    for held, more in zip(table[1:], (n, m)):
+        held[at[hit]] += more[hit]
+    new = ~hit
+    at, codes = at[new], codes[new]
+    at += codes > table[0][at]  # behind the last one
+    return tuple(np.insert(held, at, more) for held, more in zip(table, (codes, n[new], m[new])))
 
 
 def _count_grams(depth: int):
-    """How often training documents (n) and all documents (m) have a code; a batch lists each code of a few stretches once."""
+    """How often training documents (n) and all documents (m) have a code; each code of a few stretches is listed once."""
     def run(batches):
-        seen, held = [], 0
+        table = None
         for b in batches:
             train = b.column("train").to_numpy(zero_copy_only=False).astype(bool)
             for learn in (True, False):
-                bodies = b.column("body").filter(pa.array(train == learn))
+                bodies = compress(b.column("body"), train == learn)
                 for _, codes, begin, size in coded((x.as_py() for x in bodies), depth):
-                    few, m = np.unique(codes[_inside(len(codes), begin, size)], return_counts=True)
-                    m = m.astype(np.int32)  # a stretch has fewer bytes
-                    seen.append((few, m if learn else np.zeros_like(m), m))
-                    held += len(few)
-                    if held > 3_000_000:
-                        seen = [_merge(seen)]
-                        held = len(seen[0][0])
-                        if held > 2_250_000:
-                            yield _grams(*seen[0])
-                            seen, held = [], 0
-        if seen:
-            yield _grams(*_merge(seen))
+                    codes = codes[_inside(len(codes), begin, size)]
+                    few, m = np.unique(codes, return_counts=True)
+                    del codes
+                    table = _add(table, few, m.copy() if learn else np.zeros_like(m), m)
+                    if len(table[0]) > 2_250_000:
+                        yield from _grams(*table)
+                        table = None
+        if table is not None:
+            yield from _grams(*table)
     return run
 
 
@@ -260,7 +264,8 @@ def _inside(n: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _grams(codes, n, m):
-    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), *[pa.array(x.astype(np.int64)) for x in (n, m)]], names=["code", "n", "m"])
+    for at in range(0, len(codes), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 50_000]) for x in (codes.view(np.int64), n, m)], names=["code", "n", "m"])
 
 
 def _nodes(table: np.ndarray, level: int):
@@ -440,8 +445,8 @@ def _look_up(head: Broadcast, known: Broadcast, depth: int, base: Callable, end:
         row = (TaskContext.get().partitionId() << 36) + 1
         for b in batches:
             score = np.zeros(b.num_rows)
-            for texts, codes, begin, size in coded((x.as_py() for x in b.column("body")), depth):
-                codes, text = codes[_inside(len(codes), begin, size)], np.repeat(texts, size)
+            for texts, codes, begin, size in coded((x.as_py() for x in b.column("body")), depth, _CHUNK >> 1):
+                codes, text = codes[_inside(len(codes), begin, size)], np.repeat(np.array(texts, np.int32), size)
                 at, hit = slots.find(codes)
                 rare = np.flatnonzero(~hit)
                 if len(table):
@@ -450,7 +455,7 @@ def _look_up(head: Broadcast, known: Broadcast, depth: int, base: Callable, end:
                     score += np.bincount(text, here, b.num_rows)
                 if len(rare):
                     few, back = np.unique(codes[rare], return_inverse=True)
-                    pair, n = np.unique(text[rare] * len(few) + back, return_counts=True)
+                    pair, n = np.unique(text[rare].astype(np.int64) * len(few) + back, return_counts=True)
                     yield _parts(len(n), row=row + pair // len(few), code=few[pair % len(few)].view(np.int64), n=n)
             tokens, seen, total = np.ones(b.num_rows, np.int64), np.full(b.num_rows, int(end[1])), np.full(b.num_rows, end[0])
             text, words, n = [], [], []
@@ -531,13 +536,15 @@ def score(
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), body.alias("body"))
     counted = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(_count_words, "word binary, c long")
-    words = hold(counted.groupBy("word").agg(F.sum("c").alias("c")), "ctw-words")
+    with text_batches(spark):
+        words = hold(counted.groupBy("word").agg(F.sum("c").alias("c")), "ctw-words")
     total, kinds = words.where("c > 0").agg(F.sum("c"), F.count(F.lit(1))).first()
     ends = rows.where(~F.col("held_out")).count()
     n, v = (total or 0) + ends, kinds + (ends > 0)
 
     grams = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(_count_grams(depth), "code long, n long, m long")
-    codes, valued = code_values(grams.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), depth, most_pairs)
+    with text_batches(spark):
+        codes, valued = code_values(grams.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), depth, most_pairs)
     least, _ = least_count(codes, "m", head_codes)
     table = valued(codes.where(F.col("m") >= least)).select("code", "value").toArrow()  # head_codes at most
     sort = np.argsort(table["code"].to_numpy().view(np.uint64))
@@ -547,7 +554,8 @@ def score(
         return np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
 
     top = spark.sparkContext.broadcast(frequent(words, "c", "c", head, more))
-    parts = hold(rows.mapInArrow(_look_up(top, known, depth, base, (float(base(ends)), ends > 0)), _PARTS), "ctw-parts")
+    with text_batches(spark):
+        parts = hold(rows.mapInArrow(_look_up(top, known, depth, base, (float(base(ends)), ends > 0)), _PARTS), "ctw-parts")
     rare = F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))
     own = parts.where("n is null").select("row", "id", "held_out", "n_tokens", "n_known", "base", "score")
     nothing = [F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("held_out")]

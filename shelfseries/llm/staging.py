@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Bytes of texts that a Python function gets at a time, about.
+BATCH_BYTES, _BATCH = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 _own: dict[str, str] = {}
 
 
@@ -38,6 +41,20 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def text_batches(spark: SparkSession):
+    """Tables held inside have their texts go to Python in batches of ``BATCH_BYTES``, unless the session has a bound of its
+    own. Spark's own bound is 10,000 rows, which are as large as the texts are, in the JVM and in Python."""
+    bound = spark.conf.get(_BATCH, None) is None
+    if bound:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if bound:
+            spark.conf.unset(_BATCH)
+
+
 def discard(*held: DataFrame) -> None:
     """Removes tables that ``hold`` wrote and no later step reads, so that the disk has only what is still needed."""
     for df in held:
