@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frequent import HEAD, MORE, Frequent, Places, frequent, hashes
-from .staging import discard, hold
+from .staging import discard, hold, text_batches, tidy
 from .words import Slots, find, runs, word_grams
 
 #: Bytes that a byte is predicted from, and one.
@@ -219,9 +219,10 @@ class Differences(NamedTuple):
 def learn(grams: DataFrame, most_grams: int = MOST_GRAMS) -> Differences:
     """The model of all ``grams`` (``code, n0, n1``); the most frequent contexts, up to ``most_grams`` n-grams, in memory."""
     spark = grams.sparkSession
-    grams = hold(grams, "toxicity-grams")
+    with text_batches(spark):
+        grams = hold(grams, "toxicity-grams")
     dealt = grams.repartition(F.col("code").bitwiseAND(F.lit(((1 << 8 * SHARED) - 1) << 8)))
-    rows = dealt.select("code").mapInArrow(_continuations, "size int, code long, once long, twice long").groupBy("size", "code").agg(
+    rows = dealt.select("code").mapInArrow(tidy(_continuations), "size int, code long, once long, twice long").groupBy("size", "code").agg(
         F.sum("once").alias("once"), F.sum("twice").alias("twice")).toArrow().sort_by("code")  # 256 ^ SHARED rows at most
     size, code, once, twice = (rows[c].to_numpy() for c in rows.column_names)
     low = size == SHARED
@@ -237,7 +238,7 @@ def learn(grams: DataFrame, most_grams: int = MOST_GRAMS) -> Differences:
         codes = kept
     discounts = {m: _share(int(once[size == m].sum()), int(twice[size == m].sum())) for m in range(SHARED + 1, ORDER)}
     start = spark.sparkContext.broadcast(Backoff(codes, p, discounts))
-    table = hold(dealt.mapInArrow(_differences(start), "context long, code long, value double, docs long, grams long"), "toxicity-differences")
+    table = hold(dealt.mapInArrow(tidy(_differences(start)), "context long, code long, value double, docs long, grams long"), "toxicity-differences")
     discard(grams)
     sizes = {r["size"]: r for r in table.groupBy(F.floor(F.log2("docs") * 8).alias("size")).agg(F.sum("grams").alias("grams"), F.min("docs").alias("least")).collect()}  # eight rows per power of two
     least, held, whole = 1 << 62, 0, True
@@ -302,8 +303,9 @@ def _sum_words(head: Broadcast, whole: bool):
 def word_values(words: DataFrame, model: Differences) -> DataFrame:
     """``word, n, value`` as a held table: the difference of each word of ``words`` (``word, n``), summed over its bytes and
     its end."""
-    words = hold(words.withColumn("number", F.monotonically_increasing_id()), "toxicity-words")
-    sums = words.mapInArrow(_sum_words(model.head, model.rest is None), "number long, code long, value double")
+    with text_batches(words.sparkSession):
+        words = hold(words.withColumn("number", F.monotonically_increasing_id()), "toxicity-words")
+    sums = words.mapInArrow(tidy(_sum_words(model.head, model.rest is None)), "number long, code long, value double")
     if model.rest is None:
         values = hold(words.join(sums.select("number", "value"), "number").select("word", "n", "value"), "toxicity-values")
         discard(words)
@@ -381,13 +383,14 @@ def _features(rows: DataFrame, model: Differences, head: int = HEAD, more: int =
     """``id, x`` and ``carried`` if there is one per row of ``rows`` (``id, body``); ``x`` are the features. And the held tables
     that these are read from."""
     spark = rows.sparkSession
-    words = rows.select("body").mapInArrow(_list_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = rows.select("body").mapInArrow(tidy(_list_words), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     values = word_values(words, model)
     top = spark.sparkContext.broadcast(frequent(values, "n", "value", head, more))
     carry = ["carried"] if "carried" in rows.columns else []
     extra = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
-    parts = hold(rows.mapInArrow(
-        _look_up(top), f"row long, word binary, n long, total double, size long, top array<double>, telling double, id long{extra}"), "toxicity-parts")
+    with text_batches(spark):
+        parts = hold(rows.mapInArrow(
+            tidy(_look_up(top)), f"row long, word binary, n long, total double, size long, top array<double>, telling double, id long{extra}"), "toxicity-parts")
     v, n = F.col("value"), F.col("k")
     rest = parts.where("word is not null").select("row", "word", F.col("n").alias("k")).join(values.select("word", "value"), "word").groupBy("row").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(v * n).alias("_total"), F.sum((F.octet_length("word") + 1) * n).alias("_size"),
@@ -419,9 +422,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * most_labels / n))
     known = F.broadcast(known.select("id", (F.col("toxic") > 0).cast("int").alias("toxic")))  # two numbers for each of most_labels
     train = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _body(text_col).alias("body")).join(known, "id")
-    words = train.where(fold(F.col("id")) > 1).select("toxic", "body").mapInArrow(_count_words, "word binary, n0 long, n1 long")
+    words = train.where(fold(F.col("id")) > 1).select("toxic", "body").mapInArrow(tidy(_count_words), "word binary, n0 long, n1 long")
     words = words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    grams = words.mapInArrow(_count_grams, "code long, n0 long, n1 long").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    grams = words.mapInArrow(tidy(_count_grams), "code long, n0 long, n1 long").groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     model = learn(grams, most_grams)
     fold_one = train.where(fold(F.col("id")) == 1).select("id", "body", F.struct("toxic").alias("carried"))
     features, held = _features(fold_one, model)
