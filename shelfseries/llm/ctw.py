@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frequent import HEAD, MORE, Frequent, Places, frequent, hashes, least_count
-from .staging import hold, text_batches
+from .staging import hold, text_batches, tidy
 from .words import Slots, find, runs
 
 #: Bytes of context.
@@ -38,8 +38,8 @@ _SLICE = 500_000
 #: Byte after a text, and before it, as often as there are bytes of context.
 END = b"\n"
 _FLUSH = 400_000
-#: Bytes that are looked at together.
-_CHUNK = 2 << 20
+#: Bytes that are looked at together, and bytes that 32 bits count for sure.
+_CHUNK, _COUNTED = 2 << 20, 1 << 30
 
 
 def stream(body: bytes) -> bytes:
@@ -218,38 +218,42 @@ def _count_words(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
 
 
-def _add(table: tuple | None, codes: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``(codes, n, m)`` with the counts of more codes, sorted and distinct: those of known codes are added in place, and
-    new codes inserted, so that nothing but the table itself is held twice."""
+def _add(table: list | None, codes: np.ndarray, n: np.ndarray, m: np.ndarray) -> list:
+    """``[codes, n, m]`` with the counts of more codes, sorted and distinct: those of known codes are added in place, and
+    new codes inserted column by column, so that little but the table itself is held twice."""
     if table is None:
-        return codes, n, m
+        return [codes, n, m]
     at = np.searchsorted(table[0], codes)
     np.minimum(at, len(table[0]) - 1, out=at)
     hit = table[0][at] == codes
     for held, more in zip(table[1:], (n, m)):
         held[at[hit]] += more[hit]
     new = ~hit
-    at, codes = at[new], codes[new]
+    at, codes, n, m = at[new], codes[new], n[new], m[new]
     at += codes > table[0][at]  # behind the last one
-    return tuple(np.insert(held, at, more) for held, more in zip(table, (codes, n[new], m[new])))
+    for k, more in enumerate((codes, n, m)):
+        table[k] = np.insert(table[k], at, more)
+    return table
 
 
 def _count_grams(depth: int):
     """How often training documents (n) and all documents (m) have a code; each code of a few stretches is listed once."""
     def run(batches):
-        table = None
+        table, held = None, 0
         for b in batches:
             train = b.column("train").to_numpy(zero_copy_only=False).astype(bool)
             for learn in (True, False):
                 bodies = compress(b.column("body"), train == learn)
                 for _, codes, begin, size in coded((x.as_py() for x in bodies), depth):
                     codes = codes[_inside(len(codes), begin, size)]
+                    held += len(codes)
                     few, m = np.unique(codes, return_counts=True)
                     del codes
+                    m = m.astype(np.int32)
                     table = _add(table, few, m.copy() if learn else np.zeros_like(m), m)
-                    if len(table[0]) > 2_250_000:
+                    if len(table[0]) > 2_250_000 or held > _COUNTED:
                         yield from _grams(*table)
-                        table = None
+                        table, held = None, 0
         if table is not None:
             yield from _grams(*table)
     return run
@@ -260,12 +264,13 @@ def _inside(n: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     edge = np.zeros(n + 1, np.int8)
     np.add.at(edge, begin, 1)
     np.add.at(edge, begin + size, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int8) > 0
 
 
 def _grams(codes, n, m):
     for at in range(0, len(codes), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 50_000]) for x in (codes.view(np.int64), n, m)], names=["code", "n", "m"])
+        part = slice(at, at + 50_000)
+        yield pa.RecordBatch.from_arrays([pa.array(codes[part].view(np.int64)), *[pa.array(x[part].astype(np.int64)) for x in (n, m)]], names=["code", "n", "m"])
 
 
 def _nodes(table: np.ndarray, level: int):
@@ -422,7 +427,7 @@ def code_values(grams: DataFrame, depth: int, most_pairs: int | None = None) ->
     root = min(ROOT, depth)
     context = F.col("code").bitwiseAND(F.lit(((1 << 8 * root) - 1) << 8))
     lower = hold(grams.repartition(context).mapInArrow(
-        _lower(depth, root), "code long, m long, p binary, node long, zeros double, ones double, log double"), "ctw-lower")
+        tidy(_lower(depth, root)), "code long, m long, p binary, node long, zeros double, ones double, log double"), "ctw-lower")
     nodes = lower.where("node is not null").groupBy("node").agg(*[F.sum(c).alias(c) for c in _LOWER[4:]]).toArrow()  # bounded by the contexts of ROOT - 1 bytes
     upper = upper_trees(nodes["node"].to_numpy().view(np.uint64), *(nodes[c].to_numpy() for c in _LOWER[4:]), root)
     shared = spark.sparkContext.broadcast(upper)
@@ -535,14 +540,14 @@ def score(
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text_col}`").cast("string").cast("binary"), F.lit(b""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), body.alias("body"))
-    counted = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(_count_words, "word binary, c long")
+    counted = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(tidy(_count_words), "word binary, c long")
     with text_batches(spark):
         words = hold(counted.groupBy("word").agg(F.sum("c").alias("c")), "ctw-words")
     total, kinds = words.where("c > 0").agg(F.sum("c"), F.count(F.lit(1))).first()
     ends = rows.where(~F.col("held_out")).count()
     n, v = (total or 0) + ends, kinds + (ends > 0)
 
-    grams = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(_count_grams(depth), "code long, n long, m long")
+    grams = rows.select("body", (~F.col("held_out")).alias("train")).mapInArrow(tidy(_count_grams(depth)), "code long, n long, m long")
     with text_batches(spark):
         codes, valued = code_values(grams.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), depth, most_pairs)
     least, _ = least_count(codes, "m", head_codes)
@@ -555,7 +560,7 @@ def score(
 
     top = spark.sparkContext.broadcast(frequent(words, "c", "c", head, more))
     with text_batches(spark):
-        parts = hold(rows.mapInArrow(_look_up(top, known, depth, base, (float(base(ends)), ends > 0)), _PARTS), "ctw-parts")
+        parts = hold(rows.mapInArrow(tidy(_look_up(top, known, depth, base, (float(base(ends)), ends > 0))), _PARTS), "ctw-parts")
     rare = F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))
     own = parts.where("n is null").select("row", "id", "held_out", "n_tokens", "n_known", "base", "score")
     nothing = [F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("held_out")]

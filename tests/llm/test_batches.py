@@ -1,5 +1,7 @@
 import random
+import re
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -56,3 +58,34 @@ def test_texts_go_to_python_in_short_batches(spark, monkeypatch):
     with pytest.raises(ValueError), staging.text_batches(spark):
         raise ValueError
     assert spark.conf.get(staging._BATCH, None) is None
+
+
+def _resident():
+    rollup = Path("/proc/self/smaps_rollup").read_text()
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", rollup)[1]) / 1024
+
+
+def _leave_holes(batches):
+    """Frees most of many small blocks, but not the last ones, as a task does that remembers words."""
+    yield from batches
+    blocks = [np.ones(1000) for _ in range(20_000)]
+    _kept.append(blocks[-1])
+
+
+_kept = []
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="no figures of memory")
+def test_tasks_give_freed_memory_back():
+    before = _resident()
+    list(staging.tidy(_leave_holes)([]))
+    assert _resident() - before < 50  # of 160
+
+
+def test_counts_are_listed_before_they_overflow(letters, monkeypatch):
+    monkeypatch.setattr(ctw, "_COUNTED", 500)
+    monkeypatch.setattr(ctw, "_CHUNK", 200)
+    batch = pa.RecordBatch.from_arrays([pa.array([b"a" * 5000], pa.binary()), pa.array([True])], names=["body", "train"])
+    found = list(ctw._count_grams(2)([batch]))
+    assert len(found) == 9 and sum(sum(b.column("m").to_pylist()) for b in found) == 5001
+    assert max(max(b.column("n").to_pylist()) for b in found) <= 700
