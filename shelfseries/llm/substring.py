@@ -3,7 +3,8 @@
 A window (50 words) is stood for by its minimiser, the hash-smallest of the 25-word runs in it, so neighbouring windows
 share one and equal windows have equal ones. Every document adds its distinct minimisers once to a count-min sketch; a
 window that occurs in two documents has a minimiser counted at least twice, and count-min never underestimates, so no
-repeated window escapes. Only documents with a suspected window are written out and grouped by exact window hashes.
+repeated window escapes. One more pass over the texts asks the sketch: documents without a suspected window are done with
+it, the others are written out with a fingerprint and grouped by exact window hashes.
 
 The sketch grows with the text, so it suspects no more at any size. Up to a stated size its bits are broadcast; beyond, the
 cells that two documents fill stay a table, and the documents' minimisers are joined with it.
@@ -11,14 +12,16 @@ cells that two documents fill stay a table, and the documents' minimisers are jo
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import hold
-from .words import mix, runs, window_hashes, word_hashes
+from .staging import hold, text_batches
+from .words import hashes_and_text, mix, runs, window_hashes, word_hashes
 
 #: The sketch has this many rows, each with its own hash; cells of a slice travel together.
 ROWS, SLICE = 2, 1 << 16
@@ -43,6 +46,17 @@ def minimisers(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:-rest], m[rest:]) if rest else m
 
 
+def _turns(m: np.ndarray) -> np.ndarray:
+    """Where an entry differs from the one before; neighbouring windows mostly share their minimiser."""
+    return np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]])) if len(m) else np.empty(0, np.int64)
+
+
+def _distinct(raw: bytes, width: int) -> np.ndarray:
+    """The distinct minimisers of a text."""
+    m = minimisers(word_hashes(raw), width)
+    return np.unique(m[_turns(m)])
+
+
 def _cells(m: np.ndarray, row: int, cells: int) -> np.ndarray:
     return mix(m ^ _SALTS[row]) & np.uint64(cells - 1)
 
@@ -76,7 +90,7 @@ def repeated_slices(docs: DataFrame, width: int, cells: int) -> DataFrame:
             for i, body in zip(b.column("id"), b.column("body")):
                 if not i.is_valid:
                     continue
-                m = np.unique(minimisers(word_hashes(body.as_py()), width))
+                m = _distinct(body.as_py(), width)
                 if len(m):
                     seen.append(m)
                     n += len(m)
@@ -131,7 +145,7 @@ def repeated_marks(docs: DataFrame, width: int, cells: int) -> DataFrame:
         for b in batches:
             for i, body in zip(b.column("id"), b.column("body")):
                 if i.is_valid:
-                    m = np.unique(minimisers(word_hashes(body.as_py()), width))
+                    m = _distinct(body.as_py(), width)
                     at = [(_cells(m, r, cells) + np.uint64(r * cells)).astype(np.int64) for r in range(ROWS)]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(m), i.as_py(), np.int64), m.view(np.int64), *at)], names=names)
 
@@ -147,8 +161,8 @@ def suspected(h: np.ndarray, width: int, known) -> np.ndarray:
     m = minimisers(h, width)
     if not len(m):
         return np.empty(0, bool)
-    few, back = np.unique(m, return_inverse=True)
-    return known(few)[back]
+    begin = _turns(m)
+    return np.repeat(known(m[begin]), np.diff(begin, append=len(m)))
 
 
 def _by_bits(bits: Broadcast, cells: int):
@@ -170,32 +184,28 @@ def _by_marks(batch, i: int):
     return lambda few: np.isin(few, own)
 
 
-def _split(knows, width: int, keep_suspects: bool):
-    """Documents with a suspected window as they are, or the others with all their words kept."""
+def _split(knows, width: int, suspects_only: bool):
+    """A row per document, texts as their words joined by one blank: as ``kept`` where no window is suspected, else as
+    ``body`` with its SHA-256 as ``fp``."""
     def run(batches):
         for b in batches:
-            chosen, words, kept, size = [], [], [], 0
+            chosen, words, kept, bodies, prints = [], [], [], [], []
             for i, (ident, body) in enumerate(zip(b.column("id"), b.column("body"))):
-                raw = body.as_py()
-                h = word_hashes(raw)
+                h, text = hashes_and_text(body.as_py())
                 suspect = ident.is_valid and bool(suspected(h, width, knows(b, i)).any())
-                if suspect != keep_suspects:
+                if suspects_only and not suspect:
                     continue
                 chosen.append(i)
-                if not keep_suspects:
-                    words.append(len(h))
-                    kept.append(b" ".join([b" ".join(ws) for ws in runs(raw) if ws]))
-            if not chosen:
-                continue
-            out = b.take(pa.array(chosen))
-            if keep_suspects:
-                yield out
-            else:
-                n = len(chosen)
-                rest = [c for c in out.schema.names if c not in ("body", "marks")]
+                words.append(len(h))
+                kept.append(None if suspect else text)
+                bodies.append(text if suspect else None)
+                prints.append(sha256(text).digest() if suspect else None)
+            if chosen:
+                names = [c for c in b.schema.names if c != "body"]
+                out = b.select(names).take(pa.array(chosen))
                 yield pa.RecordBatch.from_arrays(
-                    [*[out.column(c) for c in rest], pa.array(words, pa.int64()), pa.array([0] * n, pa.int64()), pa.array(kept, pa.binary())],
-                    names=[*rest, "n_words", "n_removed", "kept"])
+                    [*out.columns, pa.array(words, pa.int64()), *[pa.array(x, pa.binary()) for x in (kept, bodies, prints)]],
+                    names=[*names, "n_words", "kept", "body", "fp"])
     return run
 
 
@@ -280,26 +290,26 @@ def cut_repeats(
         rows = rows.join(repeated_marks(slim, width, cells), "id", "left").select(*rows.columns, "marks")
 
     extra = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
-    clean = rows.mapInArrow(_split(knows, width, False), f"id long{extra}, n_words long, n_removed long, kept binary")
-    schema = rows.schema
-    suspects = hold(rows.mapInArrow(_split(knows, width, True), schema), "substring-suspects")
-
-    one_space = F.sha2(F.btrim(F.regexp_replace(F.col("body").cast("string"), r"[\x20\x09-\x0D]+", " ")).cast("binary"), 256)
-    marked = suspects.select("id", one_space.alias("fp"))
-    first = marked.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    copies = hold(marked.join(first.where("first < last"), "fp").where("id > first").select("id").distinct(), "substring-copies")
-    firsts = suspects.join(copies, "id", "left_anti")
+    known = ", marks array<long>" if marks else ""
+    with text_batches(docs.sparkSession):
+        texts = hold(rows.select(*keep, *marks, "body").mapInArrow(
+            _split(knows, width, changed_only), f"id long{extra}{known}, n_words long, kept binary, body binary, fp binary"), "substring-texts")
+    clean, dubious = texts.where("fp is null"), texts.where("fp is not null")
+    suspects = hold(dubious.select("id", "fp"), "substring-suspects")
+
+    first = suspects.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    copies = hold(suspects.join(first.where("first < last"), "fp").where("id > first").select("id").distinct(), "substring-copies")
+    firsts = dubious.join(copies, "id", "left_anti")
     occurrences = firsts.select("id", "body", *marks).mapInArrow(_occurrences(knows, width), "w1 long, w2 long, id long, at int")
     shared = occurrences.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
     shared = hold(shared, "substring-shared")  # a table beside the windows, so that a window that many documents have can be split
     starts = occurrences.join(shared, ["w1", "w2"]).where("id > first").select("id", "at").distinct().groupBy("id").agg(F.collect_list("at").alias("starts"))
     cut = firsts.join(hold(starts, "substring-starts"), "id", "left").select(*keep, "body", "starts").mapInArrow(
         _cut(width), f"id long{extra}, n_words long, n_removed long, kept binary")
-    n = F.size(F.split(F.btrim(F.regexp_replace(F.col("body").cast("string"), r"[\x20\x09-\x0D]+", " ")), " ")).cast("long")
-    whole = suspects.join(copies, "id", "left_semi").select(*keep, n.alias("n_words"), n.alias("n_removed"), F.lit(b"").alias("kept"))
+    whole = dubious.join(copies, "id", "left_semi").select(*keep, "n_words", F.col("n_words").alias("n_removed"), F.lit(b"").alias("kept"))
     if changed_only:
         return cut.unionByName(whole).where("n_removed > 0")
-    return clean.unionByName(cut).unionByName(whole)
+    return clean.select(*keep, "n_words", F.lit(0).cast("long").alias("n_removed"), "kept").unionByName(cut).unionByName(whole)
 
 
 def without_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:

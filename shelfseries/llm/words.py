@@ -37,6 +37,16 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
+def hashes_and_text(raw: bytes) -> tuple[np.ndarray, bytes]:
+    """What :func:`word_hashes` gives, and the words joined by one blank, from splitting ``raw`` once."""
+    digest, parts, texts = xxhash.xxh3_64_intdigest, [np.empty(0, np.uint64)], []
+    for ws in runs(raw):
+        if ws:
+            parts.append(np.fromiter(map(digest, ws), np.uint64, len(ws)))
+            texts.append(b" ".join(ws))
+    return parts[-1] if len(parts) <= 2 else np.concatenate(parts), b" ".join(texts)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Each bit of the result depends on all bits of ``x``."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

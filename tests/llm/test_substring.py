@@ -5,7 +5,7 @@ import pytest
 
 from shelfseries.llm import substring
 from shelfseries.llm.staging import hold
-from shelfseries.llm.words import window_hashes, word_hashes
+from shelfseries.llm.words import hashes_and_text, window_hashes, word_hashes
 from tests.llm import brute
 
 
@@ -82,3 +82,41 @@ def test_window_hash_depends_on_words_alone():
     a, b = word_hashes(b"q w e r t y u i o p"), word_hashes(b"zz q w e r t y")
     assert np.array_equal(window_hashes(a, 4)[:3], window_hashes(b, 4)[1:])
     assert len(window_hashes(a, 11)) == 0
+
+
+def test_texts_are_sorted_out_once(make, odd, monkeypatch):
+    """One pass decides on every text and keeps what it read: the result neither asks the sketch again nor normalises text."""
+    held = {}
+
+    def keep(df, name):
+        held[name] = hold(df, name)
+        return held[name]
+
+    monkeypatch.setattr(substring, "hold", keep)
+    pairs = [(i, t) for i, t in odd if i is not None]
+    pairs = [(i, t) for i, t in pairs if (i, t) != (21, None)]
+    rows = substring.cut_repeats(make(pairs), carry=("source",))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "regexp_replace" not in plan  # the words of the suspects are cut
+    assert got(rows) == brute.cut_repeats(pairs)
+    texts = {r["id"]: r for r in held["substring-texts"].collect()}
+    assert set(texts) == {i for i, _ in pairs}
+    suspects = {r["id"] for r in held["substring-suspects"].collect()}
+    assert {i for i, r in texts.items() if r["kept"] is None} == suspects == {i for i, r in texts.items() if r["body"] is not None}
+    substring.cut_repeats(make(pairs), changed_only=True)
+    assert {r["id"] for r in held["substring-texts"].collect()} == suspects
+
+
+def test_suspicion_of_neighbouring_windows():
+    """Windows that share a minimiser share what is known of it."""
+    h = word_hashes(" ".join(str(k % 90) for k in range(400)).encode())
+    m = substring.minimisers(h, 50)
+    for some in (m[:0], m[::7], m):
+        assert np.array_equal(substring.suspected(h, 50, lambda few: np.isin(few, some)), np.isin(m, some))
+
+
+@pytest.mark.parametrize("raw", [b"", b" \n", b"one", b" two  words\x0b", b"ab " * 3_000_000])
+def test_hashes_and_text(raw):
+    h, text = hashes_and_text(raw)
+    assert np.array_equal(h, word_hashes(raw)) and h.dtype == np.uint64
+    assert text == b" ".join(raw.split())
