@@ -12,9 +12,8 @@ join.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable
-from itertools import compress, repeat
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .frequent import HEAD, MORE, Frequent, Places, frequent, hashes, least_count
 from .staging import hold, text_batches, tidy
-from .words import Slots, find, runs
+from .words import Slots, find, lower_words, runs
 
 #: Bytes of context.
 DEPTH = 6
@@ -50,10 +49,10 @@ def stream(body: bytes) -> bytes:
 def codes_after(before: bytes, data: bytes) -> np.ndarray:
     """Each byte of ``data`` with the ``len(before)`` bytes in front of it: the byte itself lowest, then the one before."""
     depth = len(before)
-    a = np.frombuffer(before + data, np.uint8).astype(np.uint64)
-    out = a[depth:].copy()
-    for back in range(1, depth + 1):
-        out |= a[depth - back: len(a) - back] << np.uint64(8 * back)
+    if not data:
+        return np.empty(0, np.uint64)
+    out = np.ndarray(len(data), ">u8", bytes(7 - depth) + before + data, strides=(1,)).astype(np.uint64)  # eight bytes ending in each
+    out &= _mask(depth)
     return out
 
 
@@ -203,19 +202,22 @@ class Tree:
 
 def _count_words(batches):
     """How often training documents have a word; words of other documents are listed too."""
-    seen: Counter = Counter()
+    seen, held = [], 0
     for b in batches:
-        for body, train in zip(b.column("body"), b.column("train").to_pylist()):
-            for ws in runs(body.as_py().lower()):
-                if train:
-                    seen.update(ws)
-                else:
-                    for w in set(ws):
-                        seen.setdefault(w, 0)
-                if len(seen) > _FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "c"])
-                    seen = Counter()
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
+        train = b.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        for text, words, at in lower_words(b.column("body")):
+            seen.append(pa.table({"word": words, "c": np.bincount(at[train[text]], minlength=len(words))}))
+            held += len(words)
+            if held > 2 * _FLUSH:
+                yield from _summed(seen)
+                seen, held = [], 0
+    if seen:
+        yield from _summed(seen)
+
+
+def _summed(seen: list[pa.Table]):
+    """Each word of a few tables once."""
+    return pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"]).to_batches(50_000)
 
 
 def _add(table: list | None, codes: np.ndarray, n: np.ndarray, m: np.ndarray) -> list:
@@ -245,7 +247,7 @@ def _count_grams(depth: int):
             for learn in (True, False):
                 bodies = compress(b.column("body"), train == learn)
                 for _, codes, begin, size in coded((x.as_py() for x in bodies), depth):
-                    codes = codes[_inside(len(codes), begin, size)]
+                    codes = _inside(codes, begin, size)
                     held += len(codes)
                     few, m = np.unique(codes, return_counts=True)
                     del codes
@@ -259,12 +261,11 @@ def _count_grams(depth: int):
     return run
 
 
-def _inside(n: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Which of ``n`` codes belong to a text."""
-    edge = np.zeros(n + 1, np.int8)
-    np.add.at(edge, begin, 1)
-    np.add.at(edge, begin + size, -1)
-    return np.cumsum(edge[:-1], dtype=np.int8) > 0
+def _inside(codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Those of a stretch's codes that belong to a text."""
+    if len(begin) == 1:
+        return codes[begin[0]:begin[0] + size[0]]
+    return np.concatenate([codes[at:to] for at, to in zip(begin.tolist(), (begin + size).tolist())])
 
 
 def _grams(codes, n, m):
@@ -451,7 +452,7 @@ def _look_up(head: Broadcast, known: Broadcast, depth: int, base: Callable, end:
         for b in batches:
             score = np.zeros(b.num_rows)
             for texts, codes, begin, size in coded((x.as_py() for x in b.column("body")), depth, _CHUNK >> 1):
-                codes, text = codes[_inside(len(codes), begin, size)], np.repeat(np.array(texts, np.int32), size)
+                codes, text = _inside(codes, begin, size), np.repeat(np.array(texts, np.int32), size)
                 at, hit = slots.find(codes)
                 rare = np.flatnonzero(~hit)
                 if len(table):
@@ -463,33 +464,23 @@ def _look_up(head: Broadcast, known: Broadcast, depth: int, base: Callable, end:
                     pair, n = np.unique(text[rare].astype(np.int64) * len(few) + back, return_counts=True)
                     yield _parts(len(n), row=row + pair // len(few), code=few[pair % len(few)].view(np.int64), n=n)
             tokens, seen, total = np.ones(b.num_rows, np.int64), np.full(b.num_rows, int(end[1])), np.full(b.num_rows, end[0])
-            text, words, n = [], [], []
-
-            def others():
-                """Adds the words held by hash; a row for each one that is not."""
-                at, hit = more.find(hashes(words))
-                k, times, here = np.array(text), np.array(n), at[hit]
-                np.add.at(seen, k[hit], times[hit] * more_seen[here])
-                np.add.at(total, k[hit], times[hit] * more_base[here])
-                return _parts(int((~hit).sum()), row=row + k[~hit], word=list(compress(words, ~hit)), n=times[~hit])
-
-            for k, body in enumerate(b.column("body")):
-                rest = Counter()
-                for ws in runs(body.as_py().lower()):
-                    at = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
-                    hit = at[at >= 0]
-                    tokens[k] += len(ws)
-                    seen[k] += own_seen[hit].sum()
-                    total[k] += own_base[hit].sum()
-                    rest.update(compress(ws, at < 0))
-                text.extend(repeat(k, len(rest)))
-                words.extend(rest.keys())
-                n.extend(rest.values())
-                if len(words) > 50_000:
-                    yield others()
-                    text, words, n = [], [], []
-            if words:
-                yield others()
+            for text, words, at in lower_words(b.column("body")):
+                words = words.to_numpy(zero_copy_only=False).tolist()
+                here = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                own, left = here >= 0, np.flatnonzero(here < 0)
+                word_seen, word_base = np.zeros(len(words)), np.zeros(len(words))
+                word_seen[own], word_base[own] = own_seen[here[own]], own_base[here[own]]
+                here, hit = more.find(hashes([words[k] for k in left.tolist()]))
+                word_seen[left[hit]], word_base[left[hit]] = more_seen[here[hit]], more_base[here[hit]]
+                tokens += np.bincount(text, minlength=b.num_rows)
+                seen += np.bincount(text, word_seen[at], b.num_rows).astype(np.int64)
+                total += np.bincount(text, word_base[at], b.num_rows)
+                own[left[hit]] = True
+                rare = np.flatnonzero(~own[at])
+                pair, n = np.unique(text[rare].astype(np.int64) * len(words) + at[rare], return_counts=True)
+                for k in range(0, len(n), 50_000):
+                    some, times = pair[k:k + 50_000], n[k:k + 50_000]
+                    yield _parts(len(times), row=row + some // len(words), word=[words[w] for w in (some % len(words)).tolist()], n=times)
             yield _parts(b.num_rows, row=row + np.arange(b.num_rows), id=b.column("id"), held_out=b.column("held_out"), n_tokens=tokens, n_known=seen, base=total, score=score)
             row += b.num_rows
     return run

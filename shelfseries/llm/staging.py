@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,8 @@ def text_batches(spark: SparkSession):
 
 
 def _give_back() -> None:
-    """What this process has freed goes back to the system, where the C library can do that."""
+    """What this process has freed goes back to the system: from Arrow's pool, and where the C library can do that."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)

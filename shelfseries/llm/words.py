@@ -10,6 +10,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _BLANK = re.compile(rb"[\x20\x09-\x0d]")
@@ -18,16 +20,52 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def runs(raw: bytes) -> Iterator[list[bytes]]:
-    """The words of ``raw`` in order, a list for each few megabytes, so that a huge text is never split all at once."""
+def pieces(raw: bytes) -> Iterator[bytes]:
+    """``raw`` in pieces of a few megabytes, cut at blanks."""
     at = 0
     while len(raw) - at > _SLICE:
         cut = _BLANK.search(raw, at + _SLICE)
         end = cut.start() if cut else len(raw)
-        yield raw[at:end].split()
+        yield raw[at:end]
         at = end
     if at < len(raw):
-        yield (raw[at:] if at else raw).split()
+        yield raw[at:] if at else raw
+
+
+def runs(raw: bytes) -> Iterator[list[bytes]]:
+    """The words of ``raw`` in order, a list for each few megabytes, so that a huge text is never split all at once."""
+    return (piece.split() for piece in pieces(raw))
+
+
+def lower_words(bodies) -> Iterator[tuple[np.ndarray, pa.BinaryArray, np.ndarray]]:
+    """``(text, words, at)`` for every few megabytes of a column of texts, A-Z in lower case: the distinct words, and for each
+    word in turn the number of its text and its place among them."""
+    group, held = [], 0
+
+    def stretch():
+        # views as strings, which nothing here takes for UTF-8
+        lower = pc.ascii_lower(pa.array([x for _, x in group], pa.binary()).view(pa.string()))
+        parts = pc.ascii_split_whitespace(lower)
+        coded = parts.flatten().dictionary_encode()
+        at, words = coded.indices.to_numpy(), coded.dictionary
+        text = np.repeat(np.array([k for k, _ in group], np.int32), pc.list_value_length(parts).to_numpy())
+        none = pc.index(words, "").as_py()  # before a blank that a text begins with, and after one at its end
+        if none >= 0:
+            there = at != none
+            text, at = text[there], at[there]
+            at = at - (at > none)
+            words = pa.concat_arrays([words.slice(0, none), words.slice(none + 1)])
+        return text, words.view(pa.binary()), at
+
+    for k, body in enumerate(bodies):
+        for piece in pieces(body.as_py()):
+            group.append((k, piece))
+            held += len(piece)
+            if held > _SLICE:
+                yield stretch()
+                group, held = [], 0
+    if group:
+        yield stretch()
 
 
 def word_hashes(raw: bytes) -> np.ndarray:

@@ -4,9 +4,11 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from shelfseries.llm import ctw
+from shelfseries.llm import ctw, words
 
 
 def naive(codes, depth):
@@ -143,3 +145,61 @@ def test_values_do_not_depend_on_the_tables_in_memory(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     some, none = ({r["id"]: r["score"] for r in ctw.score(docs, F.col("doc_id") % 5 == 1, depth=depth, head_codes=k).collect()} for depth, k in ((4, 1 << 21), (4, 0)))
     assert some.keys() == none.keys() and all(math.isclose(some[i], none[i], rel_tol=1e-9) for i in some)
+
+
+def _odd_bytes():
+    r = random.Random(4)
+    some = [0, 9, 10, 11, 12, 13, 28, 31, 32, 32, 65, 90, 97, 133, 160, 194, 255]
+    return [bytes(r.choices(some, k=r.randint(0, 40))) for _ in range(400)] + [b"", b" ", b"a", b"A\x00b ", b"Ab aB " * 300]
+
+
+@pytest.mark.parametrize("size", [1 << 22, 100, 1])
+def test_lower_words_are_those_of_split(monkeypatch, size):
+    """Also for bytes that are no UTF-8, and where a text is looked at in pieces."""
+    monkeypatch.setattr(words, "_SLICE", size)
+    texts = _odd_bytes()
+    got = [[] for _ in texts]
+    for text, few, at in words.lower_words(pa.array(texts, pa.binary())):
+        few = few.to_pylist()
+        assert len(few) == len(set(few)) and b"" not in few
+        for k, w in zip(text.tolist(), at.tolist()):
+            got[k].append(few[w])
+    assert got == [x.lower().split() for x in texts]
+
+
+@pytest.mark.parametrize("flush", [400_000, 10])
+def test_count_words(monkeypatch, flush):
+    """Words of training texts are counted, those of other texts listed too."""
+    monkeypatch.setattr(ctw, "_FLUSH", flush)
+    monkeypatch.setattr(words, "_SLICE", 200)
+    texts = _odd_bytes()
+    train = [k % 3 > 0 for k in range(len(texts))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at:at + 90], pa.binary()), pa.array(train[at:at + 90])], names=["body", "train"]) for at in range(0, len(texts), 90)]
+    want, got = Counter(), Counter()
+    for x, learn in zip(texts, train):
+        for w in x.lower().split():
+            want[w] += learn
+    for b in ctw._count_words(batches):
+        for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist()):
+            got[w] += c
+    assert dict(got) == dict(want)
+
+
+@pytest.mark.parametrize("depth", range(8))
+def test_codes_after_are_the_bytes_before(depth):
+    before, data = bytes(range(1, depth + 1)), b"\xff\x00some text\n"
+    for x in (data, b"q", b""):
+        want = [int.from_bytes((before + x)[k:k + depth + 1], "big") for k in range(len(x))]
+        assert ctw.codes_after(before, x).tolist() == want
+
+
+def test_codes_inside_texts():
+    """Codes of the bytes between two texts are left out."""
+    texts = [ctw.stream(x) for x in _odd_bytes()]
+    for chunk in (1 << 20, 50, 7):
+        got = [[] for _ in texts]
+        for own, codes, begin, size in ctw.coded(_odd_bytes(), 3, chunk):
+            kept = ctw._inside(codes, begin, size)
+            for k, part in zip(own, np.split(kept, np.cumsum(size)[:-1])):
+                got[k].extend(part.tolist())
+        assert got == [ctw.codes_after(b"\n" * 3, x).tolist() for x in texts]
